@@ -81,7 +81,7 @@ def features_cte(source: str = "panel", inclusive: bool = False, per_day: int =
 
 F_DAY = P_DAY + ",\n" + features_cte()
 
-CLEAN = f"clean AS (SELECT * FROM feats WHERE {' AND '.join(f'{f} IS NOT NULL' for f in FEATURES)})"
+CLEAN = f"clean AS MATERIALIZED (SELECT * FROM feats WHERE {' AND '.join(f'{f} IS NOT NULL' for f in FEATURES)})"
 
 
 def part_sql(train: tuple[int, ...], validation: int, test: int) -> str:
