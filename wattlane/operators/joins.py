@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.schema import KEYS, VALUE, require_columns
@@ -46,9 +46,11 @@ def union_with_group_key(tables: dict[str, DataFrame], name: str) -> DataFrame:
     )
 
 
-def run_labels(spark: SparkSession, strategies: list[str], splits: list[str]) -> DataFrame:
-    """Label of every strategy and split; both lists are short and fixed."""
-    pairs = [(s, p) for s in strategies for p in splits]
-    return spark.createDataFrame(pairs, "strategy string, split string").withColumn(
-        "label", F.concat_ws(" | ", "strategy", "split")
+def run_labels(runs: DataFrame, strategy: str, split: str) -> DataFrame:
+    """Strategy and split of each run under their usual names, and both as one label."""
+    return runs.select(
+        "run_id",
+        F.col(strategy).alias("strategy"),
+        F.col(split).alias("split"),
+        F.concat_ws(" | ", F.col(strategy), F.col(split)).alias("label"),
     )

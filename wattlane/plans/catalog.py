@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlane.plans import model_queries, panel_queries
+from wattlane.plans import model_queries, panel_queries, registry_queries
 from wattlane.plans.registry import Catalog
 
 
 def catalog() -> Catalog:
     out = Catalog()
-    for module in (panel_queries, model_queries):
+    for module in (panel_queries, model_queries, registry_queries):
         out.include(module.CATALOG)
     return out
 

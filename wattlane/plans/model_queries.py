@@ -9,10 +9,10 @@ from wattlane.operators import drift, evaluate, features, filters, linear, panel
 from wattlane.operators import sampling, scoring, splits, trees
 from wattlane.plans import panels as P
 from wattlane.plans.oracle import (
-    CLEAN, F_DAY, P_DAY, P_HOUR, P_NATION, PART_V1, PART_V2, features_cte, lag_sql, r, with_ctes,
+    CLEAN, F_DAY, P_DAY, P_HOUR, PART_V1, PART_V2, lag_sql, r, with_ctes,
 )
 from wattlane.plans.oracle_linear import metrics_sql, predict_sql, solve_ctes
-from wattlane.plans.panel_queries import bin_sql
+from wattlane.plans.panel_queries import HASH_SQL, bin_sql
 from wattlane.plans.registry import Catalog, rounded
 from wattlane.schema import (
     FEATURES, KEYS, MEMORY_STRATEGIES, PART, RIDGE_ALPHAS, SERIES, STRATEGIES, TS, VALUE,
@@ -51,17 +51,16 @@ add(
     lambda s, d: P.daily_panel(s, d).orderBy(F.desc(VALUE), *KEYS).limit(20),
     f"{DAY} SELECT series_id, ts, value, pos FROM panel ORDER BY value DESC, series_id, ts LIMIT 20",
 )
-HASH = "md5('{seed}|' || series_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S'))"
 add(
     "sample_n",
     lambda s, d: sampling.sample_n(P.daily_panel(s, d), 5000, seed=42),
-    f"{DAY} SELECT series_id, ts, value, pos FROM panel ORDER BY {HASH.format(seed=42)} LIMIT 5000",
+    f"{DAY} SELECT series_id, ts, value, pos FROM panel ORDER BY {HASH_SQL.format(seed=42)} LIMIT 5000",
 )
 add(
     "sample_fraction",
     lambda s, d: sampling.sample_fraction(P.daily_panel(s, d), 0.01, seed=0),
     f"""{DAY} SELECT series_id, ts, value, pos FROM panel
-    WHERE CAST('0x' || substr({HASH.format(seed=0)}, 1, 8) AS BIGINT) < {int(0.01 * 2**32)}""",
+    WHERE CAST('0x' || substr({HASH_SQL.format(seed=0)}, 1, 8) AS BIGINT) < {int(0.01 * 2**32)}""",
 )
 
 # ---- temporal splits
@@ -174,7 +173,7 @@ add(
     "random_split",
     lambda s, d: part_digest(sampling.random_split(P.daily_panel(s, d), 0.2, seed=42)),
     part_digest_sql(
-        f"CASE WHEN CAST('0x' || substr({HASH.format(seed=42)}, 1, 8) AS BIGINT)"
+        f"CASE WHEN CAST('0x' || substr({HASH_SQL.format(seed=42)}, 1, 8) AS BIGINT)"
         f" < {int(0.2 * 2**32)} THEN 'test' ELSE 'train' END"
     ),
 )

@@ -9,7 +9,7 @@ from wattlane.operators import features, filters, joins, panel, profiles, qualit
 from wattlane.plans import panels as P
 from wattlane.plans.oracle import (
     CLEAN, DAILY, DAY_FACTS, F_DAY, FLEET, HOUR_FACTS, NATION_FACTS, P_DAY, P_HOUR, P_NATION,
-    features_cte, lag_sql, r, window_sql, with_ctes,
+    lag_sql, r, window_sql, with_ctes,
 )
 from wattlane.plans.registry import Catalog, rounded
 from wattlane.schema import FEATURES, KEYS, SERIES, STRATEGIES, TS, VALUE
@@ -22,6 +22,7 @@ FEAT = with_ctes(F_DAY)
 DAY_FLEET = with_ctes(P_DAY, FLEET)
 HOUR_FLEET = with_ctes(P_HOUR, FLEET)
 TRAIN_YEARS = [1998, 1999]
+HASH_SQL = "md5('{seed}|' || series_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S'))"
 
 
 def nation_wide(spark, sf):
@@ -95,16 +96,6 @@ add(
     f"""{FEAT} SELECT series_id, ts, lag_1d, lag_7d, {r('rolling_mean_7d')} AS rolling_mean_7d,
     {r('rolling_mean_30d')} AS rolling_mean_30d, value FROM feats""",
 )
-add(
-    "label_columns",
-    lambda s, d: joins.run_labels(s, list(STRATEGIES), ["v1", "v2"]).join(
-        P.daily_panel(s, d).agg(F.count("*").alias("panel_rows")), F.lit(True)
-    ),
-    f"""{DAY} SELECT s.strategy, p.split, s.strategy || ' | ' || p.split AS label,
-    (SELECT count(*) FROM panel) AS panel_rows
-    FROM (VALUES ('minimal'), ('weekly'), ('rolling'), ('full')) s(strategy),
-         (VALUES ('v1'), ('v2')) p(split)""",
-)
 add(
     "calendar_fields",
     lambda s, d: rounded(
@@ -176,9 +167,9 @@ add(
 )
 add(
     "complete_history",
-    lambda s, d: filters.complete_history(P.nation_panel(s, d), 1998),
-    f"{NATION} SELECT series_id FROM panel WHERE year(ts) = 1998 GROUP BY 1"
-    " HAVING bool_and(value <> 0)",
+    lambda s, d: filters.complete_history(P.user_days(s, d), 2024),
+    """SELECT user_id AS series_id FROM events, (SELECT count(DISTINCT CAST(ts AS DATE)) AS n FROM events)
+    GROUP BY 1 HAVING count(DISTINCT CASE WHEN value <> 0 THEN CAST(ts AS DATE) END) = any_value(n)""",
 )
 
 # ---- quality

@@ -63,6 +63,16 @@ def hourly_panel(spark: SparkSession, sf_dir: str, key: str = "user_id") -> Data
     return dense_panel(hourly_facts(spark, sf_dir, key), HOUR)
 
 
+def user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event value per user and day."""
+    facts = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias(SERIES),
+        floor_day("ts").alias(TS),
+        F.col("value").cast("decimal(18,2)").alias(VALUE),
+    )
+    return dense_panel(facts, DAY)
+
+
 def daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily panel with the six default features."""
     return build_features(daily_panel(spark, sf_dir), steps_per_day=1)
@@ -76,7 +86,3 @@ def hourly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         lags={"lag_1d": 24, "lag_7d": 168},
         windows={"rolling_mean_7d": 168},
     )
-
-
-def daily_series_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_panel(spark, sf_dir).select(*KEYS, VALUE)
