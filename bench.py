@@ -46,6 +46,10 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
+            # The tables compress to a few megabytes, so the usual sizes would leave most
+            # cores without a partition.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+            "spark.sql.files.openCostInBytes": "128k",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

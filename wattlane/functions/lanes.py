@@ -1,0 +1,65 @@
+"""Many two-column aggregates in one pass, in lanes narrow enough to be compiled.
+
+Beyond roughly twenty covariance or correlation aggregates the code generated for one
+aggregation grows past what the JVM compiles, and the pass becomes several times slower.
+Each row is therefore repeated once per lane, and a lane computes a dozen of the pairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+WIDTH = 14
+
+
+def lane_count(jobs: int, width: int = WIDTH) -> int:
+    return max(1, -(-jobs // width))
+
+
+def pair_lanes(
+    df: DataFrame,
+    group: list[str],
+    pairs: list[tuple[str, str]],
+    aggregate: Callable[[Column, Column], Column],
+    means: list[str] | None = None,
+    width: int = WIDTH,
+) -> DataFrame:
+    """One row per group and ``_lane`` with ``_n`` (rows), ``_r0``.. and ``_m0``...
+
+    Pair k is column k % width of lane k // width; means are laid out the same way over
+    their own width.
+    """
+    means = means or []
+    lanes = lane_count(len(pairs), width)
+    mean_width = -(-len(means) // lanes)
+
+    def slot(names: list[str]) -> Column:
+        """The column each lane reads; ``names`` has one entry per lane."""
+        out = F.lit(None).cast("double")
+        for lane, name in reversed(list(enumerate(names))):
+            out = F.when(F.col("_lane") == lane, F.col(name).cast("double")).otherwise(out)
+        return out
+
+    columns = []
+    for i in range(min(width, len(pairs))):
+        mine = pairs[i::width]
+        columns += [slot([a for a, _ in mine]).alias(f"_a{i}"), slot([b for _, b in mine]).alias(f"_b{i}")]
+    for i in range(mean_width):
+        columns.append(slot(means[i::mean_width]).alias(f"_x{i}"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))
+    return (
+        df.select("*", every.alias("_lane"))
+        .select(*group, "_lane", *columns)
+        .groupBy(*group, "_lane")
+        .agg(
+            F.count("*").alias("_n"),
+            *[
+                aggregate(F.col(f"_a{i}"), F.col(f"_b{i}")).alias(f"_r{i}")
+                for i in range(min(width, len(pairs)))
+            ],
+            *[F.avg(f"_x{i}").alias(f"_m{i}") for i in range(mean_width)],
+        )
+    )

@@ -16,7 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.operators.splits import Fold, fold_segment
+from wattlane.functions.lanes import WIDTH, lane_count, pair_lanes
+from wattlane.operators.splits import Fold, fold_segment, in_validation
 from wattlane.schema import PART, VALUE, require_columns
 
 
@@ -135,27 +136,24 @@ def moments(
     """
     require_columns(df, [*features, target])
     columns = [*features, target]
-    numbers = [F.col(c).cast("double") for c in columns]
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    group = [by.alias("_group")] if by is not None else []
-    row_list = (
-        df.na.drop(subset=columns)
-        .groupBy(*group)
-        .agg(
-            F.count("*").alias("_n"),
-            *[F.avg(x).alias(f"_m{i}") for i, x in enumerate(numbers)],
-            *[F.covar_pop(numbers[i], numbers[j]).alias(f"_c{i}_{j}") for i, j in pairs],
-        )
-        .collect()
-    )
+    index = {name: i for i, name in enumerate(columns)}
+    pairs = list(combinations_with_replacement(columns, 2))
+    rows = df.na.drop(subset=columns)
+    rows = rows.select(*columns, by.alias("_group")) if by is not None else rows.select(*columns)
+    group = ["_group"] if by is not None else []
+    lanes = lane_count(len(pairs))
+    mean_width = -(-len(columns) // lanes)
     out: dict[object, Moments] = {}
-    for row in row_list:
-        n = row["_n"]
-        mean = np.array([row[f"_m{i}"] or 0.0 for i in range(len(columns))])
-        cross = np.zeros((len(columns), len(columns)))
-        for i, j in pairs:
-            cross[i, j] = cross[j, i] = (row[f"_c{i}_{j}"] or 0.0) * n
-        out[row["_group"] if group else None] = Moments(tuple(features), n, mean, cross)
+    for row in pair_lanes(rows, group, pairs, F.covar_pop, columns).collect():
+        key, lane, n = (row["_group"] if group else None), row["_lane"], row["_n"]
+        if key not in out:
+            size = len(columns)
+            out[key] = Moments(tuple(features), n, np.zeros(size), np.zeros((size, size)))
+        for i, (x, y) in enumerate(pairs[lane * WIDTH : (lane + 1) * WIDTH]):
+            value = (row[f"_r{i}"] or 0.0) * n
+            out[key].cross[index[x], index[y]] = out[key].cross[index[y], index[x]] = value
+        for i, name in enumerate(columns[lane * mean_width : (lane + 1) * mean_width]):
+            out[key].mean[index[name]] = row[f"_m{i}"] or 0.0
     return out
 
 
@@ -176,6 +174,8 @@ def part_moments(df: DataFrame, features: list[str], target: str = VALUE) -> dic
 
 
 def total(parts: list[Moments]) -> Moments:
+    if not parts:
+        raise ValueError("no complete rows to fit on")
     out = parts[0]
     for part in parts[1:]:
         out = out + part
@@ -235,19 +235,47 @@ def _validation_mae(df, models, features, target):
 
 
 def strategy_sweep(
-    df: DataFrame, strategies: dict[str, list[str]], target: str = VALUE, alpha: float = 0.0
+    df: DataFrame,
+    strategies: dict[str, list[str]],
+    splits: dict[str, Column] | None = None,
+    target: str = VALUE,
+    alpha: float = 0.0,
 ) -> list[dict]:
-    """Every feature set fitted on the same complete rows; one pass for all of them."""
+    """Every feature set on every split, all fitted on the same complete rows, best first.
+
+    ``splits`` maps a name to the expression of a row's part. One pass gives the moments of
+    all splits and feature sets, a second one the absolute errors of all models.
+    """
+    splits = splits or {"split": F.col(PART)}
     every = list(dict.fromkeys(name for names in strategies.values() for name in names))
-    stats = part_moments(df, every, target)
-    models = {name: stats["train"].fit(alpha, names) for name, names in strategies.items()}
-    mae = _validation_mae(df, models, every, target)
-    return _ranked_rows(
-        [
-            {"strategy": name, **stats["validation"].score(m), "mae": mae[name], "model": m}
-            for name, m in models.items()
-        ]
+    # A row's parts under all splits at once; each split then adds up the groups it needs.
+    parts = F.concat_ws("|", *[F.coalesce(part, F.lit("")) for part in splits.values()])
+    stats = moments(df, every, target, parts)
+    models, rows = {}, []
+    for place, split in enumerate(splits):
+
+        def of(part: str) -> Moments:
+            return total([m for key, m in stats.items() if key.split("|")[place] == part])
+
+        train, validation = of("train"), of("validation")
+        for name, names in strategies.items():
+            model = train.fit(alpha, names)
+            models[(split, name)] = model
+            rows.append(
+                {"strategy": name, "split": split, **validation.score(model), "model": model}
+            )
+    y = F.col(target).cast("double")
+    errors = (
+        df.na.drop(subset=[*every, target])
+        .agg(
+            *[
+                F.avg(F.when(splits[split] == "validation", F.abs(y - m.prediction()))).alias(f"_e{i}")
+                for i, ((split, _), m) in enumerate(models.items())
+            ]
+        )
+        .first()
     )
+    return _ranked_rows([{**row, "mae": errors[f"_e{i}"]} for i, row in enumerate(rows)])
 
 
 def regularisation_curve(
@@ -355,8 +383,6 @@ def model_cv(
 
 def fold_absolute_errors(df, folds, models, features, target) -> dict:
     """MAE of each fold's models on its validation rows, all from one pass."""
-    from wattlane.operators.splits import in_validation
-
     by_fold = {f.fold: in_validation(f) for f in folds}
     y = F.col(target).cast("double")
     row = (

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattlane.functions.columns import hour_of_day, weekday_name
+from wattlane.functions.lanes import pair_lanes
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.functions.ranking import ranked, time_index
 from wattlane.operators.filters import complete_history, in_years, keep_series, label_slice
@@ -310,22 +311,31 @@ def quantile_bins(df: DataFrame, value: str, bins: int = 10, name: str = "bucket
     return df.withColumn(name, F.when(F.col(value).isNotNull(), bucket))
 
 
+_CORR_WIDTH = 10  # correlations keep more state than covariances
+
+
 def correlation_matrix(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlations in long form, from one pass."""
     by = by or []
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.groupBy(*by).agg(
-        *[F.corr(number(a), number(b)).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
+    lanes = pair_lanes(df.select(*by, *columns), by, pairs, F.corr, width=_CORR_WIDTH)
+
+    def name(side: int, i: int) -> Column:
+        labels = F.array(*[F.lit(pair[side]) for pair in pairs])
+        return F.get(labels, F.col("_lane") * _CORR_WIDTH + i)
+
+    rows = [
+        F.struct(name(0, i).alias("x"), name(1, i).alias("y"), F.col(f"_r{i}").alias("correlation"))
+        for i in range(min(_CORR_WIDTH, len(pairs)))
+    ]
+    half = lanes.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
+    half = half.where(F.col("x").isNotNull())
+    sides = F.array(
+        F.struct(F.col("x"), F.col("y")), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
     )
-    both = [(a, b, i) for i, (a, b) in enumerate(pairs)]
-    both += [(b, a, i) for a, b, i in both if a != b]
-    rows = F.array(
-        *[
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"_c{i}").alias("correlation"))
-            for a, b, i in both
-        ]
+    return half.select(*by, F.explode(F.array_distinct(sides)).alias("s"), "correlation").select(
+        *by, "s.*", "correlation"
     )
-    return wide.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
 
 
 def target_correlation(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wattlane.functions.columns import hex_number, row_hash
 from wattlane.schema import KEYS
 
-_DIGITS = 5  # leading hex digits that name a bucket: about a million buckets
+_DIGITS = 4  # leading hex digits that name a bucket: 65 536 buckets
 
 
 def sample_n(
@@ -18,8 +18,8 @@ def sample_n(
     """Exactly ``n`` rows without replacement, or all rows if there are no more than ``n``.
 
     These are the n rows of least hash, found without a global sort: counts per hash bucket
-    give the bucket in which the n-th row falls, lower buckets are taken whole, and only
-    that one bucket is sorted.
+    give the bucket in which the n-th row falls, and only rows up to that bucket are
+    shuffled, each bucket being sorted on its own.
     """
     if n is None:
         return df
@@ -36,14 +36,15 @@ def sample_n(
         .agg(F.min(F.struct("_bucket", (F.lit(n) - F.col("_upto") + F.col("_n")).alias("room"))))
         .scalar()
     )
-    whole = tagged.where(edge.isNull() | (F.col("_bucket") < edge["_bucket"]))
+    kept = tagged.where(edge.isNull() | (F.col("_bucket") <= edge["_bucket"]))
     place = F.row_number().over(W.partitionBy("_bucket").orderBy("_hash", *(keys or KEYS)))
-    split = (
-        tagged.where(F.col("_bucket") == edge["_bucket"])
-        .withColumn("_place", place)
-        .where(F.col("_place") <= edge["room"])
+    return (
+        kept.withColumn("_place", place)
+        .where(
+            edge.isNull() | (F.col("_bucket") < edge["_bucket"]) | (F.col("_place") <= edge["room"])
+        )
+        .select(*columns)
     )
-    return whole.select(*columns).unionByName(split.select(*columns))
 
 
 def in_fraction(fraction: float, seed: int, keys: list[str] | None = None):

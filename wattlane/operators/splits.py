@@ -43,19 +43,38 @@ class Fold:
     val_end: datetime
 
 
-def _keep_parts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+def part_of(conditions: dict[str, Column]) -> Column:
     part = F.lit(None).cast("string")
     for name, condition in reversed(conditions.items()):
         part = F.when(condition, name).otherwise(part)
+    return part
+
+
+def _keep_parts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     # The plain disjunction of ranges is what the Parquet reader can use.
-    return df.where(any_of(list(conditions.values()))).withColumn(PART, part)
+    return df.where(any_of(list(conditions.values()))).withColumn(PART, part_of(conditions))
+
+
+def year_parts(
+    train: list[int], validation: list[int], test: list[int]
+) -> dict[str, Column]:
+    sets = {"train": train, "validation": validation, "test": test}
+    return {name: in_years(years) for name, years in sets.items() if years}
+
+
+def cutoff_parts(train_year: int, cutoff: str) -> dict[str, Column]:
+    ts = F.col(TS)
+    return {
+        "train": in_years([train_year]),
+        "validation": (ts >= stamp(f"{train_year + 1}-01-01")) & (ts < stamp(cutoff)),
+        "test": ts >= stamp(cutoff),
+    }
 
 
 def split_by_years(
     df: DataFrame, train: list[int], validation: list[int], test: list[int]
 ) -> DataFrame:
-    sets = {"train": train, "validation": validation, "test": test}
-    return _keep_parts(df, {name: in_years(years) for name, years in sets.items() if years})
+    return _keep_parts(df, year_parts(train, validation, test))
 
 
 def split_v1(df: DataFrame, years: tuple[int, int, int, int] = (2011, 2012, 2013, 2014)) -> DataFrame:
@@ -65,16 +84,7 @@ def split_v1(df: DataFrame, years: tuple[int, int, int, int] = (2011, 2012, 2013
 
 def split_v2(df: DataFrame, train_year: int = 2013, cutoff: str = "2014-07-01") -> DataFrame:
     """One year of training, validation up to the cutoff, test open-ended from there."""
-    next_year = stamp(f"{train_year + 1}-01-01")
-    ts = F.col(TS)
-    return _keep_parts(
-        df,
-        {
-            "train": in_years([train_year]),
-            "validation": (ts >= next_year) & (ts < stamp(cutoff)),
-            "test": ts >= stamp(cutoff),
-        },
-    )
+    return _keep_parts(df, cutoff_parts(train_year, cutoff))
 
 
 def build_temporal_split(df: DataFrame, name: str, **options) -> DataFrame:

@@ -285,20 +285,18 @@ add("alpha_grid", *_alpha_grid((False,)))
 add("alpha_by_standardize_grid", *_alpha_grid((False, True)))
 
 
-def sweep_rows(spark, sf, strategies=STRATEGIES) -> list[dict]:
-    """Every strategy on both splits, one list in the order they ran."""
-    rows = []
-    for name, split in (("v1", split_v1), ("v2", split_v2)):
-        ranked_rows = linear.strategy_sweep(prepared(spark, sf, split), strategies)
-        by_name = {row["strategy"]: row for row in ranked_rows}
-        rows += [{**by_name[s], "split": name} for s in strategies]
-    return rows
-
-
 def strategy_leaderboard(spark, sf, strategies=STRATEGIES) -> DataFrame:
-    rows = linear._ranked_rows(sweep_rows(spark, sf, strategies))
+    """Every strategy on both splits, ranked by validation error."""
+    rows = filters.drop_incomplete(P.daily_features(spark, sf), FEATURES)
+    rows = materialize(rows.drop("pos"), "features")
+    first, second, third, fourth = YEARS
+    parts = {
+        "v1": splits.part_of(splits.year_parts([first, second], [third], [fourth])),
+        "v2": splits.part_of(splits.cutoff_parts(third, f"{fourth}-07-01")),
+    }
+    ranked = linear.strategy_sweep(rows, strategies, parts)
     schema = "strategy string, split string, rmse double, mae double, r2 double, rank long"
-    table = linear.results_frame(spark, rows, schema)
+    table = linear.results_frame(spark, ranked, schema)
     return rounded(table.withColumn("label", F.concat_ws(" | ", "strategy", "split")))
 
 
