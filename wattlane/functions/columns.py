@@ -55,11 +55,6 @@ def floor_minute(ts: str | Column) -> Column:
     return floor_day(ts) + F.make_dt_interval(hours=F.hour(ts), mins=F.minute(ts))
 
 
-def month_number(ts: str | Column) -> Column:
-    ts = col(ts)
-    return F.year(ts) * 12 + F.month(ts)
-
-
 def hour_of_day(ts: str | Column) -> Column:
     """Hour plus the minute as a fraction of an hour."""
     return F.hour(col(ts)) + F.minute(col(ts)) / F.lit(60.0)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattlane.functions.columns import all_of, epoch_seconds, month_number
+from wattlane.functions.columns import all_of, epoch_seconds
 from wattlane.schema import SERIES, TS
 from wattlane.session import materialize, shuffle_width
 
@@ -71,9 +71,9 @@ def time_index(df: DataFrame, ts: str = TS) -> DataFrame:
 def series_positions(df: DataFrame) -> DataFrame:
     """0-based position of each row in its series by time, as column ``pos``.
 
-    A long series is counted month by month, so no task holds more than one month of it.
+    A long series is counted day by day, so no task holds more than one day of it.
     """
-    return _positions(df.withColumn("_month", month_number(TS)), [SERIES], "_month", TS)
+    return _positions(df.withColumn("_day", F.to_date(TS)), [SERIES], "_day", TS)
 
 
 def _positions(df: DataFrame, group: list[str], bucket: str, order: str) -> DataFrame:

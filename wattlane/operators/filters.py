@@ -15,9 +15,18 @@ def stamp(text: str | date) -> Column:
     return F.lit(str(text)).cast("timestamp_ntz")
 
 
-def keep_series(panel: DataFrame, allowed: DataFrame) -> DataFrame:
-    """Rows of the listed series. Spark broadcasts the list only if its measured size allows."""
-    return panel.join(allowed.select(SERIES), SERIES, "left_semi")
+def keep_series(panel: DataFrame, allowed: DataFrame, salts: int = 16) -> DataFrame:
+    """Rows of the listed series.
+
+    Spark broadcasts the list if its measured size allows. For longer lists the join key is
+    salted by time, so the rows of a dominant series meet their id in ``salts`` places.
+    """
+    salt = F.pmod(F.xxhash64(TS), F.lit(salts)).cast("int")
+    ids = allowed.select(SERIES).distinct()
+    ids = ids.select(SERIES, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    return panel.withColumn("_salt", salt).join(ids, [SERIES, "_salt"], "left_semi").select(
+        *panel.columns
+    )
 
 
 def existing_series(panel: DataFrame, requested: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattlane.functions.columns import all_of, epoch_seconds, month_number
+from wattlane.functions.columns import all_of, epoch_seconds
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.operators.filters import label_slice
 from wattlane.schema import KEYS, SERIES, TS, VALUE
@@ -125,27 +125,35 @@ def first_active_by_year(panel: DataFrame) -> DataFrame:
 
 
 def consecutive_steps(panel: DataFrame) -> DataFrame:
-    """Seconds between consecutive rows of each series.
+    """Seconds between consecutive rows of each series, as (series_id, step_seconds, n).
 
-    Steps inside a month come from windows over one series and month; steps across months
-    come from the first and last row of each month. No task holds a whole series.
+    Repeated keys are first collapsed to counts, which are steps of 0. Steps inside a day
+    come from windows over one series and day, and steps across days from the first and
+    last row of each day, so no task holds a whole series.
     """
-    keyed = panel.select(*KEYS).withColumn("_month", month_number(TS))
-    inside = W.partitionBy(SERIES, "_month").orderBy(TS)
-    within = keyed.select(
-        SERIES, (epoch_seconds(TS) - epoch_seconds(F.lag(TS).over(inside))).alias("step_seconds")
+    keys = panel.groupBy(*KEYS).agg(F.count("*").alias("_n")).withColumn("_day", F.to_date(TS))
+    repeated = keys.where(F.col("_n") > 1).select(
+        SERIES, F.lit(0).cast("bigint").alias("step_seconds"), (F.col("_n") - 1).alias("n")
     )
-    edges = keyed.groupBy(SERIES, "_month").agg(F.min(TS).alias("_lo"), F.max(TS).alias("_hi"))
-    months = W.partitionBy(SERIES).orderBy("_month")
+    inside = W.partitionBy(SERIES, "_day").orderBy(TS)
+    within = keys.select(
+        SERIES,
+        (epoch_seconds(TS) - epoch_seconds(F.lag(TS).over(inside))).alias("step_seconds"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    edges = keys.groupBy(SERIES, "_day").agg(F.min(TS).alias("_lo"), F.max(TS).alias("_hi"))
+    days = W.partitionBy(SERIES).orderBy("_day")
     between = edges.select(
         SERIES,
-        (epoch_seconds("_lo") - epoch_seconds(F.lag("_hi").over(months))).alias("step_seconds"),
+        (epoch_seconds("_lo") - epoch_seconds(F.lag("_hi").over(days))).alias("step_seconds"),
+        F.lit(1).cast("bigint").alias("n"),
     )
-    return within.unionByName(between).where(F.col("step_seconds").isNotNull())
+    steps = repeated.unionByName(within).unionByName(between)
+    return steps.where(F.col("step_seconds").isNotNull())
 
 
 def step_histogram(panel: DataFrame) -> DataFrame:
-    return consecutive_steps(panel).groupBy("step_seconds").agg(F.count("*").alias("n"))
+    return consecutive_steps(panel).groupBy("step_seconds").agg(F.sum("n").alias("n"))
 
 
 def irregular_steps(panel: DataFrame, step_seconds: int) -> DataFrame:
@@ -154,7 +162,7 @@ def irregular_steps(panel: DataFrame, step_seconds: int) -> DataFrame:
         consecutive_steps(panel)
         .where(F.col("step_seconds") != step_seconds)
         .groupBy(SERIES)
-        .agg(F.count("*").alias("violations"))
+        .agg(F.sum("n").alias("violations"))
     )
 
 
