@@ -15,15 +15,23 @@ from wattlane.functions.columns import all_of, value_bin
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], group: list[str] | None = None
+    df: DataFrame,
+    value: str,
+    probabilities: dict[str, float],
+    group: list[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """One row per group with a column per entry of ``probabilities`` (linear interpolation)."""
+    """One row per group with a column per entry of ``probabilities`` (linear interpolation).
+
+    With ``weight``, each row stands for that many equal values.
+    """
     group = group or []
+    rows = F.count("*") if weight is None else F.sum(weight)
     counts = (
-        df.select(*group, F.col(value).cast("double").alias("_v"))
+        df.select(*group, F.col(value).cast("double").alias("_v"), *([weight] if weight else []))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*group, "_v")
-        .agg(F.count("*").alias("_n"))
+        .agg(rows.alias("_n"))
         .withColumn("_bin", value_bin("_v"))
     )
     by_bin = W.partitionBy(*group).orderBy("_bin")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.operators.profiles import bin_index
 from wattlane.schema import PART
+from wattlane.session import materialize
 
 BINS = 1000
 COLUMN_THRESHOLD = 0.1
@@ -20,37 +21,51 @@ def drift_report(
 ) -> DataFrame:
     """Per feature: KS, Wasserstein distance over the reference deviation, and PSI.
 
-    Both parts are binned in one pass over shared edges, so the distance between the two
+    Both parts are binned over shared edges, so the distance between the two
     distribution functions is taken over at most ``BINS`` rows per feature. PSI uses the
     exact deciles of the reference with half a row added to each count.
     """
-    long = (
+    # Equal readings are counted once here; everything below reads these counts.
+    counts = materialize(
         df.where(F.col(PART).isin(reference, current))
         .select(PART, *[F.col(c).cast("double").alias(c) for c in features])
         .unpivot([PART], features, "feature", "x")
         .where(F.col("x").isNotNull())
+        .groupBy("feature", "x")
+        .agg(
+            F.count_if(F.col(PART) == reference).alias("ref"),
+            F.count_if(F.col(PART) == current).alias("cur"),
+        ),
+        "counts",
     )
-    is_ref, is_cur = F.col(PART) == reference, F.col(PART) == current
-    spans = long.groupBy("feature").agg(
+    spans = counts.groupBy("feature").agg(
         F.min("x").alias("lo"),
         F.max("x").alias("hi"),
-        F.count_if(is_ref).alias("n_ref"),
-        F.count_if(is_cur).alias("n_cur"),
-        F.stddev_pop(F.when(is_ref, F.col("x"))).alias("sigma"),
+        F.sum("ref").alias("n_ref"),
+        F.sum("cur").alias("n_cur"),
+    )
+    spread = (
+        df.where(F.col(PART) == reference)
+        .agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in features])
+        .unpivot([], features, "feature", "sigma")
     )
     deciles = exact_quantiles(
-        long.where(is_ref), "x", {f"d{i}": i / 10 for i in range(1, 10)}, ["feature"]
+        counts.where(F.col("ref") > 0),
+        "x",
+        {f"d{i}": i / 10 for i in range(1, 10)},
+        ["feature"],
+        weight="ref",
     )
     # One row per feature of the table.
-    limits = F.broadcast(spans.join(deciles, "feature"))
+    limits = F.broadcast(spans.join(spread, "feature").join(deciles, "feature"))
     binned = (
-        long.join(limits, "feature")
+        counts.join(limits, "feature")
         .withColumn("bin", bin_index(F.col("x"), F.col("lo"), F.col("hi"), BINS))
         .withColumn("decile", _decile())
         .groupBy("feature", "bin", "decile")
-        .agg(F.count_if(is_ref).alias("ref"), F.count_if(is_cur).alias("cur"))
+        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     )
-    return _summarise(_distances(binned, limits), _psi(binned, limits), limits)
+    return _summarise(_distances(binned, limits), _psi(binned, limits))
 
 
 def _decile() -> Column:
@@ -100,7 +115,7 @@ def _psi(binned: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def _summarise(distances: DataFrame, psi: DataFrame, limits: DataFrame) -> DataFrame:
+def _summarise(distances: DataFrame, psi: DataFrame) -> DataFrame:
     table = distances.join(psi, "feature").withColumn(
         "drifted", F.coalesce(F.col("wasserstein") >= COLUMN_THRESHOLD, F.lit(False))
     )

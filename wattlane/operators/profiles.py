@@ -14,6 +14,7 @@ from wattlane.operators.filters import complete_history, in_years, keep_series,
 from wattlane.operators.panel import calendar_fill
 from wattlane.operators.quality import with_quantiles
 from wattlane.schema import SERIES, TS, VALUE
+from wattlane.session import materialize
 
 
 def number(name: str = VALUE) -> Column:
@@ -135,7 +136,7 @@ def series_totals(panel: DataFrame) -> DataFrame:
 
 def concentration(panel: DataFrame) -> DataFrame:
     """Series by descending total, with rank and cumulative share."""
-    totals = series_totals(panel)
+    totals = materialize(series_totals(panel), "totals")
     grand = totals.agg(F.sum("total")).scalar()
     order = [F.desc("total"), F.asc(SERIES)]
     return ranked(totals, order, running={"cum_total": "total"}).withColumn(
@@ -145,7 +146,7 @@ def concentration(panel: DataFrame) -> DataFrame:
 
 def concentration_summary(panel: DataFrame, tops: tuple[int, ...] = (10, 50)) -> DataFrame:
     """Shares of the largest series, and the largest over the median."""
-    totals = series_totals(panel)
+    totals = materialize(series_totals(panel), "totals")
     median = exact_quantiles(totals, "total", {"m": 0.5}).scalar()
     grand = totals.agg(F.sum("total")).scalar()
     order = [F.desc("total"), F.asc(SERIES)]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wattlane.operators.features import persistence_errors
 from wattlane.plans import panels as P
 from wattlane.plans.oracle import P_DAY, lag_sql, r
-from wattlane.schema import SERIES
+from wattlane.schema import SERIES, TS
 from wattlane.session import materialize
 
 LAGS = {"1": 1, "2": 7, "3": 30, "4": 365}
@@ -20,22 +20,19 @@ LAGS = {"1": 1, "2": 7, "3": 30, "4": 365}
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per series and lag."""
-    panel = P.daily_panel(spark, sf_dir)
-
-    def errors(start: str, end: str, name: str) -> DataFrame:
-        table = persistence_errors(panel, LAGS, start, end, [SERIES])
-        return table.select(
-            SERIES,
-            F.col("baseline").alias("version"),
-            F.col("lag_steps").alias("start_time"),
-            F.round("rmse", 6).alias(f"{name}_rmse"),
-            F.round("mae", 6).alias(f"{name}_mae"),
-        )
-
-    validation = errors("2000-01-01", "2001-01-01", "validation")
-    test = errors("2001-01-01", "2002-01-01", "test").drop("start_time")
+    panel = P.daily_panel(spark, sf_dir).withColumn("year", F.year(TS))
+    by_year = persistence_errors(panel, LAGS, "2000-01-01", "2002-01-01", [SERIES, "year"])
+    years = {"validation": 2000, "test": 2001}
+    metrics = [
+        F.max(F.when(F.col("year") == year, F.round(metric, 6))).alias(f"{name}_{metric}")
+        for name, year in years.items()
+        for metric in ("rmse", "mae")
+    ]
+    both = by_year.groupBy(
+        SERIES, F.col("baseline").alias("version"), F.col("lag_steps").alias("start_time")
+    ).agg(*metrics)
     number = F.col(SERIES).cast("string")
-    table = validation.join(test, [SERIES, "version"]).select(
+    table = both.na.drop(subset=["validation_rmse", "test_rmse"]).select(
         F.concat(F.lit("run_"), number, F.lit("_"), "version").alias("run_id"),
         F.concat(F.lit("supplier_"), number).alias("model_name"),
         "version",
