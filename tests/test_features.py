@@ -2,7 +2,14 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from wattlane.operators.features import build_features, persistence_errors, step_label, sub_day_lags
+from wattlane.functions.ranking import series_positions
+from wattlane.operators.features import (
+    build_features,
+    in_blocks,
+    persistence_errors,
+    step_label,
+    sub_day_lags,
+)
 from wattlane.operators.panel import dense_panel
 
 
@@ -77,3 +84,12 @@ def test_dense_panel_fills_gaps_with_zero(make_panel, spark):
     assert [(r.series_id, r.pos, r.value) for r in rows] == [
         ("a", 0, 5), ("a", 1, 0), ("a", 2, 2), ("b", 0, 1), ("b", 1, 0), ("b", 2, 0)
     ]
+
+
+def test_a_dominant_series_is_spread_over_bounded_groups(make_panel):
+    panel = make_panel({"hot": [1.0] * 2000, **{f"s{i}": [1.0] * 40 for i in range(100)}})
+    blocked = in_blocks(series_positions(panel), lookback=10, min_block=64)
+    sizes = [r["count"] for r in blocked.groupBy("series_id", "_block").count().collect()]
+    assert max(sizes) <= 64 + 10
+    assert blocked.where("not _lead_in").count() == 6000
+    assert blocked.count() <= 6000 * 1.25

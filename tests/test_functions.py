@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wattlane.functions.columns import epoch_seconds, floor_minute, value_bin
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.functions.ranking import ranked, series_positions, time_index
+from wattlane.session import materialize
 
 
 def test_quantiles_equal_numpy_per_group(spark):
@@ -68,3 +69,22 @@ def test_wall_clock_does_not_depend_on_the_session_zone(spark, make_panel):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert [r[0] for r in got] == want
     assert all(r[1] == r[2] for r in got)
+
+
+def test_the_clusters_folder_is_used_when_set(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        table = materialize(spark.range(5))
+        assert table.count() == 5 and any(tmp_path.iterdir())
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert before is None
+
+
+def test_weighted_quantiles_equal_repeated_rows(spark):
+    rows = [(1.0, 3), (2.0, 1), (10.0, 4)]
+    df = spark.createDataFrame(rows, "v double, n int")
+    values = [v for v, n in rows for _ in range(n)]
+    row = exact_quantiles(df, "v", {"a": 0.25, "b": 0.5, "c": 0.9}, weight="n").first()
+    assert list(row) == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.9])))

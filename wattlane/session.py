@@ -33,12 +33,18 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: the cluster's own setting, or a local one if unset."""
-    folder = spark.conf.get(_SHARED_KEY, None) or spark.sparkContext.getCheckpointDir()
+    """Folder all executors can reach: the cluster's own setting, or a local one if unset.
+
+    A machine-local folder is used in local mode only; elsewhere the setting is required.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(_SHARED_KEY, None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_SHARED_KEY} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="wattlane-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
