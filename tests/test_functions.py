@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from wattlane.functions.columns import epoch_seconds, floor_minute, value_bin
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.functions.ranking import ranked, series_positions, time_index
-from wattlane.session import materialize
+from wattlane.session import shared_folder
 
 
 def test_quantiles_equal_numpy_per_group(spark):
@@ -71,15 +73,29 @@ def test_wall_clock_does_not_depend_on_the_session_zone(spark, make_panel):
     assert all(r[1] == r[2] for r in got)
 
 
-def test_the_clusters_folder_is_used_when_set(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        table = materialize(spark.range(5))
-        assert table.count() == 5 and any(tmp_path.iterdir())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert before is None
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):  # noqa: N802
+        return self.folder
+
+    def setCheckpointDir(self, folder):  # noqa: N802
+        self.folder = folder
+
+
+def test_the_clusters_folder_is_used_and_required():
+    def session(master, conf, folder=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)),
+            sparkContext=FakeContext(master, folder),
+        )
+
+    cluster = session("spark://host", {"spark.checkpoint.dir": "hdfs://shared/cut/"})
+    assert shared_folder(cluster) == "hdfs://shared/cut"
+    assert cluster.sparkContext.folder == "hdfs://shared/cut/"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("spark://host", {}))
 
 
 def test_weighted_quantiles_equal_repeated_rows(spark):
