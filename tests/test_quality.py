@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattlane.operators import filters, panel, profiles, quality
+from wattlane.operators import evaluate, filters, panel, profiles, quality
+from wattlane.operators.drift import drift_report
 
 
 def test_gap_and_duplicate_are_found(spark, make_panel):
@@ -91,3 +92,30 @@ def test_calendar_fill(make_panel):
     p = make_panel({"a": [1.0, 5.0, 9.0]}).where("value <> 5")
     assert [r.total for r in profiles.resample_daily_sum(p).orderBy("day").collect()] == [1, 0, 9]
     assert [r.fleet_mean for r in profiles.resample_daily_mean(p).orderBy("day").collect()] == [1, None, 9]
+
+
+def test_weekday_errors_always_have_seven_rows(make_panel):
+    scored = make_panel({"a": [4.0, 6.0]}).withColumn("prediction", F.lit(3.0))
+    rows = evaluate.residual_mae_by_weekday(scored).orderBy("weekday").collect()
+    assert [r.mae for r in rows] == [None, None, 1.0, 3.0, None, None, None]
+    assert rows[2].weekday_name == "Wed"
+
+
+def test_day_curves_have_the_fleet_and_chosen_series(make_panel):
+    scored = make_panel({"a": [4.0], "b": [6.0], "c": [8.0]}).withColumn("prediction", F.lit(3.0))
+    rows = evaluate.day_curves(scored, "2020-01-01", ["b"], baseline="value").collect()
+    assert {r.panel: r.actual for r in rows} == {"all": 6.0, "b": 6.0}
+
+
+def test_drift_of_a_shifted_feature(make_panel):
+    same = [float(i % 50) for i in range(400)]
+    df = make_panel({"a": same, "b": same}).withColumn(
+        "part", F.when(F.col("series_id") == "a", "train").otherwise("test")
+    )
+    moved = F.when(F.col("part") == "test", F.col("value") + 20).otherwise(F.col("value"))
+    rows = {r.feature: r for r in
+            drift_report(df.withColumn("moved", moved), ["value", "moved"]).collect()}
+    assert rows["value"].ks == 0 and not rows["value"].drifted and rows["value"].psi < 1e-9
+    assert rows["moved"].drifted and rows["moved"].ks == pytest.approx(0.4)
+    assert rows["moved"].wasserstein == pytest.approx(20 / np.std(same), rel=0.01)
+    assert rows["moved"].drift_share == 0.5 and rows["moved"].dataset_drift

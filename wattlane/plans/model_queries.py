@@ -579,13 +579,12 @@ add(
 )
 add(
     "residual_mae_by_weekday",
-    lambda s, d: rounded(
-        evaluate.residual_mae_by_weekday(scored_hours(s, d).where(F.weekday(TS) != 6))
-    ),
-    f"""{SCORED_HOUR} SELECT w.range AS weekday,
-    {r('(SELECT avg(abs(residual)) FROM scored WHERE isodow(ts) - 1 = w.range AND w.range <> 6)')}
-    AS mae, ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][CAST(w.range AS INT) + 1]
-    AS weekday_name FROM range(7) w""",
+    lambda s, d: rounded(evaluate.residual_mae_by_weekday(scored_hours(s, d))),
+    f"""{SCORED_HOUR}, found AS (SELECT isodow(ts) - 1 AS d, avg(abs(residual)) AS e FROM scored
+      GROUP BY 1)
+    SELECT w.range AS weekday, {r('e')} AS mae,
+    ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][CAST(w.range AS INT) + 1] AS weekday_name
+    FROM range(7) w LEFT JOIN found ON d = w.range""",
 )
 add(
     "residual_mae_by_month",

@@ -646,11 +646,11 @@ add(
 add(
     "rejoin_target",
     lambda s, d: joins.rejoin_target(
-        filters.year_in(P.daily_features(s, d), [2001]).select(*KEYS, "lag_7d"),
+        P.daily_features(s, d).select(*KEYS, "lag_7d"),
         P.daily_panel(s, d).where(F.col(VALUE) > 0).select(*KEYS, VALUE),
     ),
     f"""{FEAT} SELECT series_id, ts, lag_7d, CASE WHEN value > 0 THEN value END AS value
-    FROM feats WHERE year(ts) = 2001""",
+    FROM feats""",
 )
 add(
     "union_parts",

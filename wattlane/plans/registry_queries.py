@@ -320,14 +320,14 @@ def _pruned(s, d):
     path = scratch_path(s, "features")
     P.daily_features(s, d).write.parquet(path)
     scan = readings.pruned_scan(s, path, ["lag_1d", "rolling_mean_7d"])
-    return rounded(filters.year_in(scan, [2001]), 3)
+    return rounded(scan, 3)
 
 
 add(
     "pruned_scan",
     _pruned,
     f"{FEAT} SELECT series_id, ts, {r('CAST(lag_1d AS FLOAT)', 3)} AS lag_1d,"
-    f" {r('CAST(rolling_mean_7d AS FLOAT)', 3)} AS rolling_mean_7d FROM feats WHERE year(ts) = 2001",
+    f" {r('CAST(rolling_mean_7d AS FLOAT)', 3)} AS rolling_mean_7d FROM feats",
 )
 
 
