@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,17 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 21
 
 
+def use_package(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where the driver has it.
+
+    On a cluster the package is installed or sent along (``--py-files``); an absent folder does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, path]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,27 +56,21 @@ def label_table(labels: DataFrame, name: str) -> DataFrame:
     )
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, name: str, train_rule, per_class: int
-) -> tuple[DataFrame, dict[int, int]]:
-    """Labelled documents for a fit: about ``per_class`` of each class at most.
+def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, train_rule, per_class: int) -> DataFrame:
+    """(doc_id, text, label) of about ``per_class`` labelled documents of each class at most.
 
-    Returns (doc_id, text, label) and the class sizes before sampling. The sample keeps the
-    rows with the lowest hashes of their key, so it does not depend on the partitioning.
+    The rows with the lowest hashes of their key are kept, so the sample does not depend on the
+    partitioning. The chosen keys are bounded by the parameter and go to all tasks; no text is shuffled.
     """
     chosen = label_table(labels, name).where(train_rule)
-    keyed = docs.join(chosen, "doc_id")
-    counts = {
-        int(r["label"]): int(r["n"])
-        for r in docs.select("doc_id").join(chosen, "doc_id").groupBy("label").agg(F.count("*").alias("n")).collect()
-    }
+    counts = {int(r["label"]): int(r["n"]) for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     span = float(1 << 53)
     draw = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(17)), 11)
     keep = F.lit(False)
     for label, n in counts.items():
         share = min(1.0, per_class / max(n, 1))
         keep = keep | ((F.col("label") == label) & (draw < F.lit(share * span)))
-    return keyed.where(keep).select("doc_id", "text", "label"), counts
+    return docs.join(F.broadcast(chosen.where(keep)), "doc_id").select("doc_id", "text", "label")
 
 
 def slices(texts: Sequence[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import packing, token_files
-from wattlane.llm.common import table
+from wattlane.llm import neardup, packing, quality, token_files, toxicity
+from wattlane.llm.common import table, use_package
 from wattlane.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +25,13 @@ def tokenizer(name: str) -> str:
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
@@ -38,3 +44,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer("byte_bpe_50k.json"))
     return token_files.read_token_files(spark, path)
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_weighted_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class) and whether the document is the one that stays."""
+    classes = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", F.equal_null("doc_id", "class_id").alias("stays"))
