@@ -207,10 +207,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rule: Column, per_clas
     return fit_trees(rows[list(STATISTICS)].to_numpy(float), rows["label"].to_numpy(float), **options)
 
 
-def score_quality(docs: DataFrame, model: BoostedTrees, keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, score) of every document, with the columns ``keep`` of the input beside them."""
+def score_quality(docs: DataFrame, model: BoostedTrees, keep: Sequence[str] = (), name: str = "score") -> DataFrame:
+    """The columns ``keep`` of every document and its score, in a column called ``name``."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + ["score double"])
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + [f"`{name}` double"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,7 +218,7 @@ def score_quality(docs: DataFrame, model: BoostedTrees, keep: Sequence[str] = ()
             for a, b in slices(texts):
                 got = model.score(document_statistics(texts[a:b]))
                 arrays = [column_of(batch, k).slice(a, b - a) for k in keep]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(got)], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(got)], [*keep, name])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(score, schema)
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import neardup, packing, quality, token_files, toxicity
+from wattlane.llm import decontaminate, neardup, packing, quality, token_files, toxicity
 from wattlane.llm.common import table, use_package
 from wattlane.session import scratch_path
 
@@ -61,3 +61,8 @@ def op4_weighted_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) and whether the document is the one that stays."""
     classes = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", F.equal_null("doc_id", "class_id").alias("stays"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -163,11 +163,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rule: Column, per_cla
     return NoisyOr(inner["at"].to_numpy(), inner["value"].to_numpy(np.float32), bias)
 
 
-def score_toxicity(docs: DataFrame, model: NoisyOr, keep: Sequence[str] = (), least: float = 0.5) -> DataFrame:
-    """Score of every document and the sentences of at least ``least`` (number, probability, text)."""
+def score_toxicity(
+    docs: DataFrame, model: NoisyOr, keep: Sequence[str] = (), least: float = 0.5, names: Sequence[str] = ("score", "offending")
+) -> DataFrame:
+    """Score of every document, with its columns ``keep``, and the sentences of at least ``least`` (number, probability, text)."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     found = "struct<sentence: int, score: double, text: string>"
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + ["score double", f"offending array<{found}>"])
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + [f"`{names[0]}` double", f"`{names[1]}` array<{found}>"])
     item = pa.struct([("sentence", pa.int32()), ("score", pa.float64()), ("text", pa.string())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +188,7 @@ def score_toxicity(docs: DataFrame, model: NoisyOr, keep: Sequence[str] = (), le
                     spots[d].append({"sentence": number, "score": float(p[k]), "text": cut[d][number].strip()})
                 arrays = [column_of(batch, k).slice(a, b - a) for k in keep]
                 arrays += [pa.array(model.score(s)), pa.array(spots, pa.list_(item))]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, "score", "offending"])
+                yield pa.RecordBatch.from_arrays(arrays, [*keep, *names])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(score, schema)
 
