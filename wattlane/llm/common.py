@@ -12,14 +12,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def use_package(spark: SparkSession) -> None:
     """Let Python workers of this machine import the package from where the driver has it.
 
     On a cluster the package is installed or sent along (``--py-files``); an absent folder does no harm.
+    Texts vary in length, so batches sent to Python are kept small unless the session says otherwise.
     """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, 1000)
     root = str(Path(__file__).resolve().parents[2])
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in path.split(os.pathsep):
