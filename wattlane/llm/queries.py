@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import decontaminate, nearest, neardup, packing, quality, token_files, toxicity
+from wattlane.llm import decontaminate, extract, nearest, neardup, packing, quality, token_files, toxicity
 from wattlane.llm.common import table, use_package
 from wattlane.session import scratch_path
 
@@ -71,3 +71,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
