@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import decontaminate, extract, nearest, neardup, packing, quality, token_files, toxicity
+from wattlane.llm import chat, decontaminate, extract, nearest, neardup, packing, quality, token_files, toxicity
 from wattlane.llm.common import table, use_package
 from wattlane.session import scratch_path
 
@@ -76,3 +76,11 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op1_chat_repair"] = chat.oracle_sql()
