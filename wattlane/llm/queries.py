@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import chat, decontaminate, extract, nearest, neardup, packing, quality, token_files, toxicity
+from wattlane.llm import chat, decontaminate, extract, lmscore, nearest, neardup, packing, quality, token_files, toxicity
 from wattlane.llm.common import table, use_package
 from wattlane.session import scratch_path
 
@@ -84,3 +84,10 @@ def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_chat_repair"] = chat.oracle_sql()
+
+
+@query
+def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounded, since partial sums are added in any order."""
+    scores = lmscore.backoff_scores(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
