@@ -7,10 +7,10 @@ table of their counts at any corpus size. Counts cover all documents.
 
 1. Improved consistent weighted sampling gives ``bands * rows`` samples of a document. Their gamma
    and uniform draws come from a table of 65,536 triples, picked by a hash of shingle and sample.
-2. Documents whose ``rows`` samples of a band agree share a bucket. Each is compared with the least of its
-   bucket, by exact weighted Jaccard similarity of the whole texts.
-3. Components of the links found so far; then, within each bucket, documents of different
-   components are compared with each other too. So every pair that shares a bucket is either compared
+2. Documents whose ``rows`` samples of a band agree share a bucket, led by the least of it. Each is compared
+   with the least of its leads, by exact weighted Jaccard similarity of the whole texts; then with those of its
+   other leads that are not in its component yet.
+3. Then, within each bucket, documents of different components are compared with each other too. So every pair that shares a bucket is either compared
    or already in one class, yet copies are never expanded into all pairs.
 4. Components of all links are the classes.
 
@@ -264,6 +264,27 @@ def _between_components(members: DataFrame, components: DataFrame, block: int =
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
+def _placed(pairs: DataFrame, components: DataFrame, end: str) -> DataFrame:
+    """``pairs`` with the component of the node ``end``, which is the node itself if it has no link."""
+    names = components.select(F.col("node").alias(end), F.col("component").alias(f"in_{end}"))
+    return pairs.join(names, end, "left").withColumn(f"in_{end}", F.coalesce(f"in_{end}", end))
+
+
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are of different components."""
+    return _placed(_placed(pairs, components, "a"), components, "b").where("in_a != in_b").select("a", "b")
+
+
+def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more ``links`` between their nodes: those of the components as nodes, carried over."""
+    ends = _placed(_placed(links.select("a", "b"), components, "a"), components, "b")
+    ends = materialize(ends.select(F.col("in_a").alias("a"), F.col("in_b").alias("b")), "links")
+    over = connected_components(ends).select(F.col("node").alias("component"), F.col("component").alias("over"))
+    old = components.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
+    single = over.join(components, "component", "left_anti").select(F.col("component").alias("node"), F.col("over").alias("component"))
+    return materialize(old.unionByName(single), "components")
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 26, rows: int = 7) -> DataFrame:
     """(doc_id, class_id): the class of a document is the least doc_id in it.
 
@@ -280,11 +301,12 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 26, rows:
     wanted = members.select("node").distinct().join(nodes, "node")
     texts = materialize(_texts_of_nodes(known, materialize(wanted, "wanted")), "candidate-texts")
     leads = materialize(members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "leads")
-    links = materialize(compare(leads, texts, idf, least).select("a", "b"), "links")
-    first = connected_components(links)
-    rest = _between_components(members.select("key", "node"), first).join(leads, ["a", "b"], "left_anti")
-    more = materialize(compare(rest, texts, idf, least).select("a", "b"), "links")
-    component = connected_components(links.unionByName(more))
+    done = materialize(leads.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "least-leads")
+    component = connected_components(materialize(compare(done, texts, idf, least).select("a", "b"), "links"))
+    apart = _apart(leads.join(done, ["a", "b"], "left_anti"), component)
+    component = _joined(component, compare(apart, texts, idf, least))
+    rest = _between_components(members.select("key", "node"), component).join(leads, ["a", "b"], "left_anti")
+    component = _joined(component, compare(rest, texts, idf, least))
     named = nodes.join(component, "node")
     least_id = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     classes = named.join(least_id, "component").select("node", "class_id")
