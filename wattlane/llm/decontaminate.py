@@ -5,7 +5,7 @@
    through is joined with the n-grams themselves. Hits come out in passages: pieces of at most
    ``PASSAGE`` words around them, which overlap by twice the longest item.
 2. Seeds are the rarest of every ``window`` consecutive n-grams of an item, by the number of
-   hits in all documents. So no stretch of an item is without a seed, however frequent its words,
+   hits in all documents, among those that have any. So no stretch of an item is without a seed, however frequent its words,
    and an unchanged run of n + window - 1 words is always found.
 3. A passage and an item that share a seed are aligned as whole word sequences (match 2, other word -1, gap
    -1). The score is the best local alignment over that of the item with itself.
@@ -166,7 +166,8 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n
 
     def choose(key, table):
         table = table.sort_by("place")
-        rank = np.lexsort((table["gram"].to_numpy(), table["hits"].to_numpy()))
+        hits = table["hits"].to_numpy()
+        rank = np.lexsort((table["gram"].to_numpy(), hits, hits == 0))
         order = np.empty(len(rank), dtype=np.int64)
         order[rank] = np.arange(len(rank))
         span = min(window, len(order))

@@ -89,7 +89,7 @@ class Words:
     def grams(self, n: int, short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of all runs of ``n`` words, the text of each, and its first word's position.
 
-        With ``short``, a text of one to n-1 words gives one hash of all its words.
+        With ``short``, a text of one to n-1 words gives one hash of all its words, as ``grams`` of that size does.
         """
         count = np.diff(self.first)
         runs = np.maximum(count - n + 1, 0)
@@ -102,7 +102,7 @@ class Words:
         if short and (few := np.flatnonzero((count > 0) & (count < n))).size:
             extra = np.empty(len(few), dtype=np.uint64)
             for i, d in enumerate(few):
-                h = np.uint64(0x1D)
+                h = np.uint64(count[d])
                 with np.errstate(over="ignore"):
                     for w in self.hash[self.first[d] : self.first[d + 1]]:
                         h = h * np.uint64(0x9FB21C651E98DF25) + w
