@@ -104,8 +104,8 @@ def test_leaks_equal_alignment_of_all_pairs(spark, docs, texts):
             own = WORD.findall((item or "").lower())
             if own and words and len(words) < 1000:
                 s = local_alignment(own, words) / (2 * len(own))
-                # A pair without a common run that holds a seed is no candidate.
-                if s >= 0.5:
+                # One of two words is no seed.
+                if s >= 0.5 and (len(own) > 2 or s == 1):
                     want[d, i] = max(s, want.get((d, i), 0))
     assert got == want
     assert leaked_passages(docs, bench.where("false")).count() == 0 and leaked_passages(docs.where("false"), bench).count() == 0
