@@ -76,9 +76,14 @@ def _tag(name: str) -> Column:
     return F.lower(F.trim(F.coalesce(F.try_element_at("tags", F.lit(name)), F.lit(""))))
 
 
+def has_flag(name: str) -> Column:
+    """A tag reads "true", in any case and spacing; a missing one does not."""
+    return _tag(name) == "true"
+
+
 def is_validated() -> Column:
     """Both flags are true, or the status is "passed"; a missing tag counts as false."""
-    flags = (_tag("validated") == "true") & (_tag("passed_validation") == "true")
+    flags = has_flag("validated") & has_flag("passed_validation")
     return flags | (_tag("validation_status") == "passed")
 
 
@@ -149,7 +154,9 @@ def _metrics_of(versions: DataFrame, events: DataFrame, alias: str) -> DataFrame
         F.col(VERSION).alias(f"{alias}_version"),
         F.col("rmse").alias(f"{alias}_rmse"),
         F.col("mae").alias(f"{alias}_mae"),
-        is_validated().alias(f"{alias}_validated"),
+        has_flag("validated").alias(f"{alias}_validated"),
+        has_flag("passed_validation").alias(f"{alias}_passed"),
+        (_tag("validation_status") == "passed").alias(f"{alias}_status_passed"),
     )
 
 
@@ -159,13 +166,23 @@ def gain(champion: str, other: str) -> Column:
 
 
 def govern_decision(versions: DataFrame, events: DataFrame, min_gain: float = 0.02) -> DataFrame:
-    """Per model: accept the best validated version if it beats the champion by enough."""
+    """Per model: accept the best validated version if it beats the champion by enough.
+
+    Every model of ``versions`` has a row. Without a champion or without a validated version
+    nothing can be decided: the decision is "none" and the reason says what is missing.
+    """
     best = validated_versions(versions).groupBy(MODEL).agg(
         F.min(
             F.struct("rmse", "mae", version_number().alias("_number"), F.col(VERSION))
         ).alias("_best")
     )
-    table = _metrics_of(versions, events, "champion").join(best, MODEL).select(
+    table = (
+        versions.select(MODEL)
+        .distinct()
+        .join(_metrics_of(versions, events, "champion"), MODEL, "left")
+        .join(best, MODEL, "left")
+    )
+    table = table.select(
         MODEL,
         "champion_version",
         "champion_rmse",
@@ -183,8 +200,11 @@ def govern_decision(versions: DataFrame, events: DataFrame, min_gain: float = 0.
     same = F.col("best_version") == F.col("champion_version")
     accepted = F.coalesce(~same & (F.col("rmse_gain") >= min_gain), F.lit(False))
     floor = percent(F.lit(min_gain))
+    missing = F.col("champion_version").isNull() | F.col("best_version").isNull()
     reason = (
-        F.when(
+        F.when(F.col("champion_version").isNull(), "no champion")
+        .when(F.col("best_version").isNull(), "no validated version")
+        .when(
             accepted,
             F.concat(F.lit("gain "), percent(F.col("rmse_gain")), F.lit(" >= "), floor),
         )
@@ -192,13 +212,14 @@ def govern_decision(versions: DataFrame, events: DataFrame, min_gain: float = 0.
         .otherwise(F.concat(F.lit("gain "), percent(F.col("rmse_gain")), F.lit(" < "), floor))
     )
     return table.withColumn(
-        "decision", F.when(accepted, "accepted").otherwise("rejected")
+        "decision",
+        F.when(missing, "none").when(accepted, "accepted").otherwise("rejected"),
     ).withColumn("reason", reason)
 
 
 def alias_changes(decisions: DataFrame, events: DataFrame) -> DataFrame:
     """Alias writes that follow from the decisions, only where they change something."""
-    challenger = decisions.select(
+    challenger = decisions.where(F.col("decision") != "none").select(
         MODEL, F.lit("challenger").alias("alias"), F.col("best_version").alias(VERSION)
     )
     champion = decisions.where(F.col("decision") == "accepted").select(
@@ -213,38 +234,115 @@ def alias_changes(decisions: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def promotion_gate(versions: DataFrame, events: DataFrame, min_gain: float = 0.02) -> DataFrame:
-    """Per model: whether the challenger may replace the champion, with every reason if not."""
-    table = _metrics_of(versions, events, "champion").join(
-        _metrics_of(versions, events, "challenger"), MODEL
+def promotion_gate(
+    versions: DataFrame, events: DataFrame, min_gain: float = 0.02, status_counts: bool = False
+) -> DataFrame:
+    """Per model: whether the challenger may replace the champion, with every reason if not.
+
+    The challenger needs both flags, ``validated`` and ``passed_validation``, and each that
+    is missing is a reason of its own; with ``status_counts`` a status "passed" stands for both.
+    Every model of ``versions`` has a row; without a champion or challenger its status is "none".
+    """
+    table = (
+        versions.select(MODEL)
+        .distinct()
+        .join(_metrics_of(versions, events, "champion"), MODEL, "left")
+        .join(_metrics_of(versions, events, "challenger"), MODEL, "left")
     )
     rmse_gain = gain("champion_rmse", "challenger_rmse")
     short = F.coalesce(rmse_gain < min_gain, F.lit(True))
+    by_status = F.col("challenger_status_passed") & F.lit(status_counts)
+    validated = F.col("challenger_validated") | by_status
+    passed = F.col("challenger_passed") | by_status
+    no_champion, no_challenger = F.col("champion_version").isNull(), F.col("challenger_version").isNull()
+    missing = no_champion | no_challenger
     reasons = F.concat_ws(
         " ; ",
-        F.when(~F.col("challenger_validated"), F.lit("not validated")),
+        F.when(no_champion, F.lit("no champion")),
+        F.when(no_challenger, F.lit("no challenger")),
+        F.when(~missing & ~validated, F.lit("validated is not true")),
+        F.when(~missing & ~passed, F.lit("passed_validation is not true")),
         F.when(
-            short,
+            ~missing & short,
             F.concat(F.lit("gain "), percent(rmse_gain), F.lit(" < "), percent(F.lit(min_gain))),
         ),
     )
+    status = F.when(missing, "none").when(validated & passed & ~short, "accepted").otherwise("rejected")
     return table.select(
         MODEL,
         "champion_version",
         "challenger_version",
         rmse_gain.alias("rmse_gain"),
         gain("champion_mae", "challenger_mae").alias("mae_gain"),
-        F.when(F.col("challenger_validated") & ~short, "accepted")
-        .otherwise("rejected")
-        .alias("promotion_status"),
+        status.alias("promotion_status"),
         reasons.alias("reasons"),
     )
 
 
+def promotion_events(
+    gate: DataFrame, environments: tuple[str, ...] = ("development", "staging", "production")
+) -> DataFrame:
+    """Alias writes of accepted promotions, in order from 1 for each model.
+
+    The old champion becomes the rollback, then the challenger becomes the champion and the
+    version of every environment. Rejected promotions write nothing.
+    """
+    writes = [("rollback", "champion_version"), ("champion", "challenger_version")]
+    writes += [(name, "challenger_version") for name in environments]
+    rows = F.array(
+        *[
+            F.struct(F.lit(a).alias("alias"), F.col(v).alias(VERSION), F.lit(i).cast("long").alias("seq"))
+            for i, (a, v) in enumerate(writes, start=1)
+        ]
+    )
+    accepted = gate.where(F.col("promotion_status") == "accepted")
+    return accepted.select(MODEL, F.explode(rows).alias("_e")).select(MODEL, "_e.*")
+
+
+def governance_tags(ranks: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Tag writes that record a governance round on the validated versions.
+
+    ``ranks`` comes from ``govern_rank`` and ``decisions`` from ``govern_decision``. Every ranked
+    version gets its rank and whether it was selected; the best one also the decision, its
+    reason, the gains and the champion it was compared with.
+    """
+    table = ranks.select(MODEL, VERSION, "rank", "is_best").join(
+        decisions.select(MODEL, "decision", "reason", "rmse_gain", "mae_gain", "champion_version"),
+        MODEL,
+        "left",
+    )
+    best = F.col("is_best")
+    writes = [
+        ("governance_rank", F.col("rank").cast("string")),
+        ("governance_selected", F.col("is_best").cast("string")),
+        ("governance_decision", F.when(best, F.col("decision"))),
+        ("governance_reason", F.when(best, F.col("reason"))),
+        ("governance_rmse_gain", F.when(best, percent(F.col("rmse_gain")))),
+        ("governance_mae_gain", F.when(best, percent(F.col("mae_gain")))),
+        ("governance_compared_with", F.when(best, F.col("champion_version"))),
+    ]
+    rows = F.array(
+        *[
+            F.struct(F.lit(key).alias("key"), value.alias("value"), F.lit(i).cast("long").alias("seq"))
+            for i, (key, value) in enumerate(writes, start=1)
+        ]
+    )
+    written = table.select(MODEL, VERSION, F.explode(rows).alias("_e")).select(MODEL, VERSION, "_e.*")
+    return written.where(F.col("value").isNotNull())
+
+
 def dataset_digest(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Content fingerprint that does not depend on row order: row count and summed row hashes."""
-    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    digest = hex_number(F.md5(F.concat_ws("|", *text)), 8)
+    """Content fingerprint that does not depend on row order: row count and summed row hashes.
+
+    A value enters with its length and a null as "-", so neither nulls and empty texts nor
+    values that contain a separator are mixed up.
+    """
+
+    def tagged(name: str) -> Column:
+        text = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    digest = hex_number(F.md5(F.concat(*map(tagged, columns))), 8)
     return df.groupBy(*(by or [])).agg(
         F.count("*").alias("rows"), F.sum(digest).alias("digest")
     )

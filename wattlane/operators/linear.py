@@ -201,9 +201,18 @@ def model_from_table(table: DataFrame, model_id: str) -> LinearModel:
     return LinearModel(tuple(rows), tuple(rows.values()), intercept)
 
 
-def _ranked_rows(rows: list[dict], metric: str = "rmse") -> list[dict]:
-    """Ascending by the metric; metrics equal to six digits keep their order of entry."""
-    ordered = sorted(enumerate(rows), key=lambda item: (round(item[1][metric], 6), item[0]))
+def _significant(value: float, digits: int) -> float:
+    return float(f"{value:.{digits}g}")
+
+
+def _ranked_rows(rows: list[dict], metric: str = "rmse", digits: int = 9) -> list[dict]:
+    """Ascending by the metric; metrics equal in ``digits`` significant digits keep their order of entry.
+
+    Significant digits do not depend on the unit; what lies beyond them is the order of summation.
+    """
+    ordered = sorted(
+        enumerate(rows), key=lambda item: (_significant(item[1][metric], digits), item[0])
+    )
     return [{**row, "rank": place} for place, (_, row) in enumerate(ordered, start=1)]
 
 

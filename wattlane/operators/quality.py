@@ -176,10 +176,12 @@ def duplicate_keys(panel: DataFrame) -> DataFrame:
     return panel.groupBy(*KEYS).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
-def irregular_days(panel: DataFrame, steps_per_day: int = 96) -> DataFrame:
-    """Days whose number of distinct timestamps differs from the expected one."""
+def irregular_days(
+    panel: DataFrame, steps_per_day: int = 96, by: list[str] | None = None
+) -> DataFrame:
+    """Days whose number of distinct timestamps differs from the expected one, per ``by`` if given."""
     return (
-        panel.groupBy(F.to_date(TS).alias("day"))
+        panel.groupBy(*(by or []), F.to_date(TS).alias("day"))
         .agg(F.count_distinct(TS).alias("intervals"))
         .where(F.col("intervals") != steps_per_day)
     )

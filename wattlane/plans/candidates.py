@@ -158,10 +158,12 @@ runs AS MATERIALIZED (
 
 VERSIONS_SQL = f"""{RUNS_SQL},
 versions AS MATERIALIZED (
-  SELECT r.model_name, r.version, r.validation_rmse AS rmse, r.validation_mae AS mae, r.series_id,
-    (r.validation_rmse <= 1.01 * f.validation_rmse AND r.series_id % 3 <> 0
-      AND r.validation_mae <= 1.01 * f.validation_mae) OR r.test_rmse < f.test_rmse AS ok
-  FROM runs r JOIN runs f ON r.model_name = f.model_name AND f.version = '1')"""
+  SELECT *, validated AND passed OR status AS ok FROM (
+    SELECT r.model_name, r.version, r.validation_rmse AS rmse, r.validation_mae AS mae, r.series_id,
+      r.validation_rmse <= 1.01 * f.validation_rmse AS validated,
+      r.series_id % 3 <> 0 AND r.validation_mae <= 1.01 * f.validation_mae AS passed,
+      r.test_rmse < f.test_rmse AS status
+    FROM runs r JOIN runs f ON r.model_name = f.model_name AND f.version = '1'))"""
 
 EVENTS_SQL = f"""events_log AS (
   SELECT 'supplier_' || series_id AS model_name, alias, version, CAST(seq AS BIGINT) AS seq

@@ -11,7 +11,7 @@ from wattlane.plans import panels as P
 from wattlane.plans.oracle import (
     CLEAN, F_DAY, P_DAY, P_HOUR, PART_V1, PART_V2, lag_sql, r, with_ctes,
 )
-from wattlane.plans.oracle_linear import metrics_sql, predict_sql, solve_ctes
+from wattlane.plans.oracle_linear import metrics_sql, predict_sql, significant_sql, solve_ctes
 from wattlane.plans.panel_queries import HASH_SQL, bin_sql
 from wattlane.plans.registry import Catalog, rounded
 from wattlane.schema import (
@@ -272,12 +272,12 @@ def _alpha_grid(standardize: tuple[bool, ...]):
     body = " UNION ALL ".join(
         metrics_sql(
             f"m{i}", FEATURES, "parts", "part = 'validation'",
-            f"{i} AS seq, CAST({a!r} AS DOUBLE) AS alpha, {str(sc).lower()} AS standardize, ",
+            f"{i} AS seq, CAST({a!r} AS DOUBLE) AS alpha, {str(sc).lower()} AS standardize, ", key=True,
         )
         for i, sc, a in cases
     )
     sql = f"""{V1}{ctes} SELECT alpha, standardize, rmse, mae, r2,
-    row_number() OVER (ORDER BY rmse, seq) AS rank FROM ({body})"""
+    row_number() OVER (ORDER BY rank_key, seq) AS rank FROM ({body})"""
     return query, sql
 
 
@@ -314,11 +314,11 @@ def sweep_sql(strategies: dict[str, list[str]]) -> str:
         bodies.append(
             metrics_sql(
                 f"m{seq}", fs, f"parts_{split}", "part = 'validation'",
-                f"{seq} AS seq, '{name}' AS strategy, '{split}' AS split, ",
+                f"{seq} AS seq, '{name}' AS strategy, '{split}' AS split, ", key=True,
             )
         )
     return f"""{ctes} SELECT strategy, split, rmse, mae, r2,
-    row_number() OVER (ORDER BY rmse, seq) AS rank, strategy || ' | ' || split AS label
+    row_number() OVER (ORDER BY rank_key, seq) AS rank, strategy || ' | ' || split AS label
     FROM ({' UNION ALL '.join(bodies)})"""
 
 
@@ -395,14 +395,16 @@ def _alpha_cv(s, d):
     return rounded(linear.results_frame(s, rows, "alpha double, rmse double, rank long"))
 
 
-def cv_sql(folds: str, candidates: list[tuple[str, float | None]], source_filter: str = "true") -> str:
+def cv_sql(
+    folds: str, candidates: list[tuple[str, float | None]], source_filter: str = "true", row_filter: str = "true"
+) -> str:
     """Fold scores of ridge candidates (penalty None is the mean), as ``scores``."""
     ctes = with_ctes(
         F_DAY, CLEAN,
         f"""times AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS spot, count(*) OVER () AS n
         FROM (SELECT DISTINCT ts FROM feats WHERE {source_filter}))""",
         f"folds AS ({folds})",
-        "cvrows AS MATERIALIZED (SELECT c.*, t.spot FROM clean c JOIN times t ON c.ts = t.ts)",
+        f"cvrows AS MATERIALIZED (SELECT c.*, t.spot FROM (SELECT * FROM clean WHERE {row_filter}) c JOIN times t ON c.ts = t.ts)",
     )
     bodies = []
     for fold in (1, 2, 3):
@@ -432,13 +434,13 @@ add(
     _alpha_cv,
     cv_sql(WARMUP_FOLDS, [(repr(a), a) for a in CV_ALPHAS])
     + f""" SELECT CAST(name AS DOUBLE) AS alpha, {r('avg(rmse)')} AS rmse,
-    row_number() OVER (ORDER BY round(avg(rmse), 6), seq) AS rank FROM scores GROUP BY name, seq""",
+    row_number() OVER (ORDER BY {significant_sql('avg(rmse)')}, seq) AS rank FROM scores GROUP BY name, seq""",
 )
 
 
 def _model_cv(s, d):
-    df = filters.drop_incomplete(P.daily_features(s, d), FEATURES).drop("pos")
-    df = materialize(df.where(F.col(TS) < filters.stamp("2001-01-01")), "features")
+    df = split_v1(filters.drop_incomplete(P.daily_features(s, d), FEATURES).drop("pos"))
+    df = materialize(df.where(F.col(PART) == "train"), "features")
     folds = splits.expanding_cv_timeseries(df, 3)
     rows = linear.model_cv(df, folds, FEATURES)
     return rounded(
@@ -452,10 +454,11 @@ add(
     cv_sql(
         series_folds(3, 0),
         list(linear.CANDIDATES.items()),
-        "lag_365d IS NOT NULL AND ts < TIMESTAMP '2001-01-01'",
+        f"lag_365d IS NOT NULL AND ({PART_V1}) = 'train'",
+        f"({PART_V1}) = 'train'",
     )
     + f""" SELECT name, {r('avg(rmse)')} AS rmse, {r('avg(mae)')} AS mae, {r('avg(r2)')} AS r2,
-    row_number() OVER (ORDER BY round(avg(rmse), 6), seq) AS rank FROM scores GROUP BY name, seq""",
+    row_number() OVER (ORDER BY {significant_sql('avg(rmse)')}, seq) AS rank FROM scores GROUP BY name, seq""",
 )
 CROSS = {f"x{i}": f"2000-01-{i + 4:02d} 00:00:00" for i in range(1, 6)}
 CROSS_COLUMNS = {**CROSS, "y": "2000-01-04 00:00:00"}
@@ -636,11 +639,10 @@ BUCKET_SQL = """edges AS (SELECT list_sort(list_distinct(quantile_cont(value,
     AS bucket FROM {source} t, edges)"""
 add(
     "quantile_bins",
-    lambda s, d: profiles.quantile_bins(filters.year_in(P.daily_panel(s, d), [2001]), VALUE)
+    lambda s, d: profiles.quantile_bins(P.daily_panel(s, d), VALUE)
     .groupBy("bucket")
     .agg(F.count("*").alias("n"), F.min(VALUE).alias("lo"), F.max(VALUE).alias("hi")),
-    f"""{DAY}, cut AS (SELECT * FROM panel WHERE year(ts) = 2001),
-    {BUCKET_SQL.format(source='cut')}
+    f"""{DAY}, {BUCKET_SQL.format(source='panel')}
     SELECT bucket, count(*) AS n, min(value) AS lo, max(value) AS hi FROM bucketed GROUP BY 1""",
 )
 add(

@@ -53,10 +53,19 @@ def predict_sql(model: str, features: list[str]) -> str:
     return f"{model}.b" + "".join(f" + {model}.w{i} * {c}" for i, c in enumerate(features))
 
 
-def metrics_sql(model: str, features: list[str], source: str, where: str, head: str = "") -> str:
+def significant_sql(x: str, digits: int = 9) -> str:
+    """``x`` (not negative) to so many significant digits."""
+    return f"CASE WHEN {x} > 0 THEN round({x}, CAST({digits - 1} - floor(log10({x})) AS INTEGER)) ELSE {x} END"
+
+
+def metrics_sql(
+    model: str, features: list[str], source: str, where: str, head: str = "", key: bool = False
+) -> str:
+    """Metrics to six digits, with ``key`` also the RMSE that decides ranks, as ``rank_key``."""
     e = f"(CAST(value AS DOUBLE) - ({predict_sql(model, features)}))"
     y = "CAST(value AS DOUBLE)"
     return (
-        f"SELECT {head}{r(f'sqrt(avg({e} * {e}))')} AS rmse, {r(f'avg(abs({e}))')} AS mae,"
+        f"SELECT {head}{significant_sql(f'sqrt(avg({e} * {e}))') + ' AS rank_key, ' if key else ''}"
+        f"{r(f'sqrt(avg({e} * {e}))')} AS rmse, {r(f'avg(abs({e}))')} AS mae,"
         f" {r(f'1 - avg({e} * {e}) / var_pop({y})')} AS r2 FROM {source}, {model} WHERE {where}"
     )

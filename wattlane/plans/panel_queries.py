@@ -268,9 +268,17 @@ add(
 )
 add(
     "irregular_days",
-    lambda s, d: quality.irregular_days(P.hourly_facts(s, d), 720),
+    lambda s, d: quality.irregular_days(P.hourly_facts(s, d), 24),
     """SELECT CAST(ts AS DATE) AS day, count(DISTINCT date_trunc('hour', ts)) AS intervals
-    FROM events GROUP BY 1 HAVING count(DISTINCT date_trunc('hour', ts)) <> 720""",
+    FROM events GROUP BY 1 HAVING count(DISTINCT date_trunc('hour', ts)) <> 24""",
+)
+add(
+    "irregular_days_by_series",
+    # Every series has its own days; the hours of some are all there.
+    lambda s, d: quality.irregular_days(P.hourly_facts(s, d, "event_type"), 24, [SERIES]),
+    """SELECT event_type AS series_id, CAST(ts AS DATE) AS day,
+    count(DISTINCT date_trunc('hour', ts)) AS intervals
+    FROM events GROUP BY 1, 2 HAVING count(DISTINCT date_trunc('hour', ts)) <> 24""",
 )
 add(
     "keys_match",
@@ -352,16 +360,12 @@ add(
 )
 add(
     "resample_daily_mean",
-    lambda s, d: rounded(
-        profiles.resample_daily_mean(
-            panel.aggregate_facts(P.daily_facts(s, d).where(F.col(SERIES) == 7))
-        )
-    ),
-    f"""{with_ctes(DAY_FACTS)}, one AS (SELECT * FROM facts WHERE series_id = 7),
+    lambda s, d: rounded(profiles.resample_daily_mean(panel.aggregate_facts(P.daily_facts(s, d)))),
+    f"""{with_ctes(DAY_FACTS)},
     days AS (SELECT CAST(unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) AS DATE) AS day
-             FROM one)
-    SELECT day, {r('value')} AS fleet_mean
-    FROM days LEFT JOIN one ON CAST(one.ts AS DATE) = day""",
+             FROM facts),
+    means AS (SELECT CAST(ts AS DATE) AS day, avg(value) AS m FROM facts GROUP BY 1)
+    SELECT days.day, {r('m')} AS fleet_mean FROM days LEFT JOIN means ON means.day = days.day""",
 )
 add(
     "resample_month_sum",

@@ -91,21 +91,26 @@ add(
 )
 DECISION_SQL = f"""{VERSIONS}, best AS (SELECT * FROM versions WHERE ok QUALIFY row_number() OVER (
     PARTITION BY model_name ORDER BY rmse, mae, CAST(version AS INT)) = 1),
-  pairs AS (SELECT b.model_name, c.version AS cv, c.rmse AS cr, c.mae AS cm, b.version AS bv,
+  pairs AS (SELECT m.model_name, c.version AS cv, c.rmse AS cr, c.mae AS cm, b.version AS bv,
     b.rmse AS br, b.mae AS bm, (c.rmse - b.rmse) / c.rmse AS gain, (c.mae - b.mae) / c.mae AS mgain
-    FROM best b JOIN aliases a ON a.model_name = b.model_name AND a.alias = 'champion'
-    JOIN versions c ON c.model_name = a.model_name AND c.version = a.version),
-  decisions AS (SELECT *, cv <> bv AND gain >= 0.02 AS yes FROM pairs)"""
+    FROM (SELECT DISTINCT model_name FROM versions) m
+    LEFT JOIN best b ON b.model_name = m.model_name
+    LEFT JOIN aliases a ON a.model_name = m.model_name AND a.alias = 'champion'
+    LEFT JOIN versions c ON c.model_name = a.model_name AND c.version = a.version),
+  judged AS (SELECT *, coalesce(cv <> bv AND gain >= 0.02, false) AS yes FROM pairs),
+  decisions AS (SELECT *, CASE WHEN cv IS NULL OR bv IS NULL THEN 'none' WHEN yes THEN 'accepted'
+      ELSE 'rejected' END AS decision,
+    CASE WHEN cv IS NULL THEN 'no champion' WHEN bv IS NULL THEN 'no validated version'
+      WHEN yes THEN printf('gain %.2f%% >= 2.00%%', gain * 100)
+      WHEN cv = bv THEN 'best is the champion'
+      ELSE printf('gain %.2f%% < 2.00%%', gain * 100) END AS reason FROM judged)"""
 add(
     "govern_decision",
     lambda s, d: rounded(governance.govern_decision(C.versions(s, d), C.alias_events(s, d))),
     f"""{DECISION_SQL} SELECT model_name, cv AS champion_version, cr AS champion_rmse,
     cm AS champion_mae, bv AS best_version, br AS best_rmse, bm AS best_mae,
     {r('gain')} AS rmse_gain, {r('mgain')} AS mae_gain,
-    CASE WHEN yes THEN 'accepted' ELSE 'rejected' END AS decision,
-    CASE WHEN yes THEN printf('gain %.2f%% >= 2.00%%', gain * 100)
-      WHEN cv = bv THEN 'best is the champion'
-      ELSE printf('gain %.2f%% < 2.00%%', gain * 100) END AS reason FROM decisions""",
+    decision, reason FROM decisions""",
 )
 
 
@@ -117,25 +122,78 @@ def _alias_changes(s, d):
 add(
     "alias_changes",
     _alias_changes,
-    f"""{DECISION_SQL}, w AS (SELECT model_name, 'challenger' AS alias, bv AS version FROM decisions
+    f"""{DECISION_SQL}, w AS (SELECT model_name, 'challenger' AS alias, bv AS version FROM decisions WHERE decision <> 'none'
       UNION ALL SELECT model_name, 'champion', bv FROM decisions WHERE yes)
     SELECT w.* FROM w LEFT JOIN aliases a ON a.model_name = w.model_name AND a.alias = w.alias
     WHERE a.version IS DISTINCT FROM w.version""",
 )
-add(
-    "promotion_gate",
-    lambda s, d: rounded(governance.promotion_gate(C.versions(s, d), C.alias_events(s, d))),
-    f"""{VERSIONS}, p AS (SELECT c.model_name, c.version AS cv, h.version AS hv, h.ok,
+def _gate_sql(status_counts: bool) -> str:
+    """The gate as ``gated``, from the flags of the challenger's tags."""
+    also = " OR h.status" if status_counts else ""
+    return f"""{VERSIONS}, p AS (SELECT m.model_name, c.version AS cv, h.version AS hv,
+      h.validated{also} AS v, h.passed{also} AS p,
       (c.rmse - h.rmse) / c.rmse AS gain, (c.mae - h.mae) / c.mae AS mgain
-      FROM aliases a JOIN versions c ON c.model_name = a.model_name AND c.version = a.version
-      JOIN aliases x ON x.model_name = a.model_name AND x.alias = 'challenger'
-      JOIN versions h ON h.model_name = x.model_name AND h.version = x.version
-      WHERE a.alias = 'champion')
-    SELECT model_name, cv AS champion_version, hv AS challenger_version,
-    {r('gain')} AS rmse_gain, {r('mgain')} AS mae_gain,
-    CASE WHEN ok AND gain >= 0.02 THEN 'accepted' ELSE 'rejected' END AS promotion_status,
-    concat_ws(' ; ', CASE WHEN NOT ok THEN 'not validated' END,
-      CASE WHEN gain < 0.02 THEN printf('gain %.2f%% < 2.00%%', gain * 100) END) AS reasons FROM p""",
+      FROM (SELECT DISTINCT model_name FROM versions) m
+      LEFT JOIN aliases a ON a.model_name = m.model_name AND a.alias = 'champion'
+      LEFT JOIN versions c ON c.model_name = a.model_name AND c.version = a.version
+      LEFT JOIN aliases x ON x.model_name = m.model_name AND x.alias = 'challenger'
+      LEFT JOIN versions h ON h.model_name = x.model_name AND h.version = x.version),
+    gated AS (SELECT model_name, cv AS champion_version, hv AS challenger_version,
+      {r('gain')} AS rmse_gain, {r('mgain')} AS mae_gain,
+      CASE WHEN cv IS NULL OR hv IS NULL THEN 'none' WHEN v AND p AND gain >= 0.02 THEN 'accepted'
+        ELSE 'rejected' END AS promotion_status,
+      concat_ws(' ; ', CASE WHEN cv IS NULL THEN 'no champion' END,
+        CASE WHEN hv IS NULL THEN 'no challenger' END,
+        CASE WHEN cv IS NOT NULL AND NOT v THEN 'validated is not true' END,
+        CASE WHEN cv IS NOT NULL AND NOT p THEN 'passed_validation is not true' END,
+        CASE WHEN gain < 0.02 THEN printf('gain %.2f%% < 2.00%%', gain * 100) END) AS reasons
+      FROM p)"""
+
+
+def _gate(s, d, status_counts=False):
+    return governance.promotion_gate(C.versions(s, d), C.alias_events(s, d), status_counts=status_counts)
+
+
+add("promotion_gate", lambda s, d: rounded(_gate(s, d)), _gate_sql(False) + " SELECT * FROM gated")
+add(
+    "promotion_gate_by_status",
+    lambda s, d: rounded(_gate(s, d, True)),
+    _gate_sql(True) + " SELECT * FROM gated",
+)
+add(
+    "promotion_events",
+    lambda s, d: governance.promotion_events(_gate(s, d)),
+    _gate_sql(False)
+    + """ SELECT model_name, alias, CASE WHEN alias = 'rollback' THEN champion_version
+      ELSE challenger_version END AS version, CAST(seq AS BIGINT) AS seq
+    FROM gated, (VALUES ('rollback', 1), ('champion', 2), ('development', 3), ('staging', 4),
+      ('production', 5)) w(alias, seq) WHERE promotion_status = 'accepted'""",
+)
+
+
+def _governance_tags(s, d):
+    versions, events = C.versions(s, d), C.alias_events(s, d)
+    ranks = governance.govern_rank(versions, events)
+    return governance.governance_tags(ranks, governance.govern_decision(versions, events))
+
+
+add(
+    "governance_tags",
+    _governance_tags,
+    DECISION_SQL
+    + """, k AS (SELECT model_name, version, row_number() OVER (PARTITION BY model_name
+      ORDER BY rmse, mae, CAST(version AS INT)) AS k FROM versions WHERE ok),
+    w AS (SELECT k.model_name, k.version, t.key, CAST(t.seq AS BIGINT) AS seq, CASE t.seq
+      WHEN 1 THEN CAST(k.k AS VARCHAR) WHEN 2 THEN CAST(k.k = 1 AS VARCHAR)
+      WHEN 3 THEN CASE WHEN k.k = 1 THEN decision END WHEN 4 THEN CASE WHEN k.k = 1 THEN reason END
+      WHEN 5 THEN CASE WHEN k.k = 1 AND gain IS NOT NULL THEN printf('%.2f%%', gain * 100) END
+      WHEN 6 THEN CASE WHEN k.k = 1 AND mgain IS NOT NULL THEN printf('%.2f%%', mgain * 100) END
+      ELSE CASE WHEN k.k = 1 THEN cv END END AS value
+    FROM k JOIN decisions d ON d.model_name = k.model_name,
+      (VALUES ('governance_rank', 1), ('governance_selected', 2), ('governance_decision', 3),
+       ('governance_reason', 4), ('governance_rmse_gain', 5), ('governance_mae_gain', 6),
+       ('governance_compared_with', 7)) t(key, seq))
+    SELECT * FROM w WHERE value IS NOT NULL""",
 )
 add(
     "alias_current",
@@ -166,8 +224,9 @@ add(
     lambda s, d: governance.dataset_digest(
         split_v1(P.daily_panel(s, d)), [SERIES, TS, VALUE], [PART]
     ),
-    f"""{DAY} SELECT part, count(*) AS "rows", CAST(sum(CAST('0x' || substr(md5(series_id || '|' ||
-    strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || value), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+    f"""{DAY} SELECT part, count(*) AS "rows", CAST(sum(CAST('0x' || substr(md5(
+    length(CAST(series_id AS VARCHAR)) || ':' || series_id || '19:' || strftime(ts, '%Y-%m-%d %H:%M:%S')
+    || length(CAST(value AS VARCHAR)) || ':' || value), 1, 8) AS BIGINT)) AS BIGINT) AS digest
     FROM (SELECT *, {PART_V1} AS part FROM panel) WHERE part IS NOT NULL GROUP BY 1""",
 )
 
@@ -443,8 +502,7 @@ add(
     "write_decision_json",
     _decision_json,
     f"""{DECISION_SQL} SELECT model_name, cv AS champion_version, bv AS best_version,
-    CASE WHEN yes THEN 'accepted' ELSE 'rejected' END AS decision, {r('gain')} AS rmse_gain
-    FROM decisions""",
+    decision, {r('gain')} AS rmse_gain FROM decisions""",
 )
 
 
