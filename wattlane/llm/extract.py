@@ -116,8 +116,11 @@ def _page_template(batch: pa.RecordBatch, i: int) -> dict[int, int]:
     return dict(zip(tokens, column_of(batch, "classes")[i].as_py() or ()))
 
 
-def template_classes(pages: DataFrame) -> DataFrame:
-    """(host, token, class) of the templates; class 0 is the root, others are nested in one of its gaps."""
+def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, token, class) of the templates and (host, article), the token of each host's article element.
+
+    Class 0 is the root, others are nested in one of its gaps.
+    """
     vectors = materialize(occurrence_vectors(pages), "vectors")
     size = vectors.where("token = 0").select("host", F.col("pages").alias("host_pages"))
     often = vectors.where("token != 0").join(size, "host").where(
@@ -133,78 +136,72 @@ def template_classes(pages: DataFrame) -> DataFrame:
     )
     template = materialize(named, "classes")
 
-    def orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[tuple[str, int], list] = {}
+            orders: dict[tuple[str, int], list[int]] = {}
+            weights: dict[tuple[str, int], list[int]] = {}
             for i, (host, page) in enumerate(zip(column_of(batch, "host").to_pylist(), column_of(batch, "html").to_pylist())):
-                names = _page_template(batch, i)
-                order: dict[int, list[int]] = {}
-                gaps: dict[int, set[int]] = {}
-                gap = 0
-                for e in events(page):
-                    token = token_of(e)
-                    if token is None or (kind := names.get(token)) is None:
-                        continue
-                    gap += kind == 0
-                    order.setdefault(kind, []).append(token)
-                    gaps.setdefault(kind, set()).add(gap)
-                for kind, seen in order.items():
-                    first = tuple(dict.fromkeys(seen))
-                    where = hash(first) >> 8
-                    if kind:
-                        where = hash((first, min(gaps[kind]))) >> 8 if len(gaps[kind]) == 1 else -1
-                    at = rows.setdefault((host, kind), [where, where])
-                    at[0], at[1] = min(at[0], where), max(at[1], where)
-            hosts, kinds = zip(*rows) if rows else ((), ())
-            low, high = [v[0] for v in rows.values()], [v[1] for v in rows.values()]
-            columns = [pa.array(hosts, pa.string()), pa.array(kinds, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["host", "class", "low", "high"])
+                _examine_page(host, page, _page_template(batch, i), orders, weights)
+            rows = [(h, 0, k, *v, 0) for (h, k), v in orders.items()] + [(h, 1, k, *v) for (h, k), v in weights.items()]
+            columns = list(zip(*rows)) if rows else [()] * 6
+            kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4]
+            names = ["host", "kind", "id", "low", "high", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
     given = _with_template(pages.select("host", "html"), template).where("tokens IS NOT NULL")
-    valid = (
-        given.mapInArrow(orders, "host string, class long, low long, high long")
-        .groupBy("host", "class")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .where("low = high AND low != -1")
-        .select("host", "class")
+    schema = "host string, kind int, id long, low long, high long, words long"
+    seen = given.mapInArrow(examine, schema).groupBy("host", "kind", "id").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("low").alias("main"), F.sum("words").alias("words")
     )
-    return materialize(template.join(valid, ["host", "class"]).select("host", "token", "class"), "templates")
-
-
-def article_elements(pages: DataFrame, template: DataFrame) -> DataFrame:
-    """(host, article): the token of the element that holds the article on the host's pages."""
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total: dict[tuple[str, int], list[int]] = {}
-            for i, (host, page) in enumerate(zip(column_of(batch, "host").to_pylist(), column_of(batch, "html").to_pylist())):
-                names = _page_template(batch, i)
-                inside: list[tuple[str, int]] = []
-                for e in events(page):
-                    if e.kind == "open":
-                        token = token_of(e)
-                        inside.append((e.path, token if names.get(token) == 0 and not e.dropped else 0))
-                        if inside[-1][1]:
-                            at = total.setdefault((host, token), [e.main, e.path.count("/"), 0])
-                    elif e.kind == "close" and inside:
-                        inside.pop()
-                    elif e.kind == "text" and not e.dropped and token_of(e) not in names:
-                        n = len(e.text.split())
-                        for _, token in inside:
-                            if token:
-                                total[(host, token)][2] += n
-            hosts, tokens = zip(*total) if total else ((), ())
-            columns = [pa.array(hosts, pa.string()), pa.array(tokens, pa.int64())]
-            columns += [pa.array([v[k] for v in total.values()], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, ["host", "token", "main", "depth", "words"])
-
-    given = _with_template(pages.select("host", "html"), template).where("tokens IS NOT NULL")
-    found = given.mapInArrow(weigh, "host string, token long, main long, depth long, words long")
-    weights = found.groupBy("host", "token").agg(F.max("main").alias("main"), F.max("depth").alias("depth"), F.sum("words").alias("words"))
+    seen = materialize(seen, "examined")
+    valid = seen.where("kind = 0 AND low = high AND low != -1").select("host", F.col("id").alias("class"))
+    template = materialize(template.join(valid, ["host", "class"]).select("host", "token", "class"), "templates")
+    weights = seen.where("kind = 1").select("host", F.col("id").alias("token"), "main", F.col("high").alias("depth"), "words")
+    weights = weights.join(template.where("class = 0").select("host", "token"), ["host", "token"])
     most = weights.groupBy("host").agg(F.max("words").alias("most"))
     able = weights.join(most, "host").withColumn("holds", F.col("words") >= 0.6 * F.col("most"))
     best = F.max_by("token", F.struct("holds", "main", "depth", "token"))
-    return able.where((F.col("main") > 0) | F.col("holds")).groupBy("host").agg(best.alias("article"))
+    article = able.where((F.col("main") > 0) | F.col("holds")).groupBy("host").agg(best.alias("article"))
+    return template, materialize(article, "articles")
+
+
+def _examine_page(
+    host: str, page: str, names: dict[int, int], orders: dict[tuple[str, int], list[int]], weights: dict[tuple[str, int], list[int]]
+) -> None:
+    """Add up the order and gap of the page's classes, and the variable words inside the root's elements.
+
+    ``orders`` holds the least and greatest hash of (order of tokens, gap) of a class, -1 if it is in several
+    gaps; ``weights`` whether the element is called an article, its depth, and its words.
+    """
+    order: dict[int, list[int]] = {}
+    gaps: dict[int, set[int]] = {}
+    inside: list[int] = []
+    gap = 0
+    for e in events(page):
+        token = token_of(e)
+        kind = names.get(token)
+        if kind is not None:
+            gap += kind == 0
+            order.setdefault(kind, []).append(token)
+            gaps.setdefault(kind, set()).add(gap)
+        if e.kind == "open":
+            inside.append(token if kind == 0 and not e.dropped else 0)
+            if inside[-1]:
+                weights.setdefault((host, token), [e.main, e.path.count("/"), 0])
+        elif e.kind == "close" and inside:
+            inside.pop()
+        elif e.kind == "text" and not e.dropped and kind is None and token is not None:
+            n = e.text.count(" ") + 1
+            for own in inside:
+                if own:
+                    weights[(host, own)][2] += n
+    for kind, seen in order.items():
+        first = tuple(dict.fromkeys(seen))
+        where = hash(first) >> 8
+        if kind:
+            where = hash((first, min(gaps[kind]))) >> 8 if len(gaps[kind]) == 1 else -1
+        at = orders.setdefault((host, kind), [where, where])
+        at[0], at[1] = min(at[0], where), max(at[1], where)
 
 
 def article_text(page: str, template: dict[int, int], article: int | None) -> str:
@@ -228,7 +225,7 @@ def article_text(page: str, template: dict[int, int], article: int | None) -> st
 
     for e in found:
         if e.kind == "text":
-            if (depth or not chosen) and not e.dropped and token_of(e) not in repeated:
+            if (depth or not chosen) and not e.dropped and not (repeated and token_of(e) in repeated):
                 now.append(e.text)
             continue
         close()
@@ -244,8 +241,7 @@ def article_text(page: str, template: dict[int, int], article: int | None) -> st
 def extract_pages(df: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     pages = pages_of(df)
-    template = template_classes(pages)
-    article = article_elements(pages, template)
+    template, article = templates(pages)
     given = _with_template(pages, template)
     small = article.count() <= SENT_TOKENS
     given = given.join(F.broadcast(article) if small else article, "host", "left")
