@@ -1,16 +1,21 @@
 """Properties of the physical plans that the scale of the library rests on."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from wattlane.functions.ranking import series_positions
-from wattlane.operators import features, filters, splits
+from wattlane.operators import features, filters, panel, splits
+from wattlane.plans.catalog import catalog
 from wattlane.session import scratch_path
 from wattlane.sources import readings
 
 
+SF = "/root/testdata/sf0.001"
+
+
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -64,3 +69,34 @@ def test_python_is_not_in_the_row_path(spark, stored):
     df = features.build_features(spark.read.parquet(stored).drop("lag_1d", "rolling_mean_7d"), 1)
     plan = physical(df.groupBy("series_id").agg(F.avg("rolling_mean_7d")))
     assert "Python" not in plan and "Pandas" not in plan
+
+
+PRUNED = [
+    "date_range", "year_in", "label_slice", "at_timestamp", "split_v1", "split_v2", "split_by_ranges",
+    "kpi_summary", "persistence_baseline", "timestamp_slice_transpose", "union_parts",
+]
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="tables are not here")
+@pytest.mark.parametrize("name", PRUNED)
+def test_registered_queries_prune_their_facts(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = physical(catalog().queries[name](spark, SF))
+    scans = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>", plan)
+    facts = [pushed for pushed, columns in scans if "l_quantity" in columns]
+    assert facts
+    for pushed in facts:
+        assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
+
+
+def test_part_of_a_panel_equals_the_cut_of_the_whole(spark, make_panel):
+    facts = make_panel({"a": [1.0] * 9, "b": [2.0] * 3}).where("series_id = 'a' OR value > 1")
+    whole = panel.dense_panel(facts, 86400)
+    for start, end in (("2020-01-03", "2020-01-06"), (None, "2020-01-02"), ("2020-01-08", None), ("2019-01-01", "2019-02-01")):
+        cut = whole
+        if start:
+            cut = cut.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        if end:
+            cut = cut.where(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        got = panel.dense_panel(facts, 86400, start, end)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, cut.collect()))

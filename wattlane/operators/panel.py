@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlane.functions.columns import to_kwh
+from wattlane.functions.columns import epoch_seconds, to_kwh
 from wattlane.schema import KEYS, SERIES, TS, VALUE
 from wattlane.session import shuffle_width
 
@@ -15,9 +15,20 @@ def aggregate_facts(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*KEYS).agg(F.sum(VALUE).alias(VALUE))
 
 
-def dense_panel(facts: DataFrame, step_seconds: int) -> DataFrame:
+def dense_panel(
+    facts: DataFrame,
+    step_seconds: int,
+    start: str | None = None,
+    end: str | None = None,
+    within: DataFrame | None = None,
+) -> DataFrame:
     """Every series on every step between the first and last fact, absent readings as 0.
 
+    With ``start`` and ``end`` only the steps from ``start`` up to, not including, ``end`` are
+    made, with the positions they have in the whole panel. ``within`` can hold the facts of that
+    period alone, with the range put on the raw time column, so that only the ids and time
+    limits are read from the rest.
+
     Facts are summed first, so both sides of the join hold (series, timestamp) once and a
     dominant series spreads over all partitions. ``pos`` is the 0-based step of the row.
     """
@@ -28,6 +39,8 @@ def dense_panel(facts: DataFrame, step_seconds: int) -> DataFrame:
         .scalar()
     )
     step = F.make_dt_interval(secs=F.lit(step_seconds))
+    if start is not None or end is not None:
+        return _part_of_panel(spans, edge, step_seconds, start, end, facts if within is None else within)
     # A fixed width, because the few distinct ids would otherwise be merged into one task
     # that then has to unfold the whole grid.
     grid = (
@@ -40,6 +53,36 @@ def dense_panel(facts: DataFrame, step_seconds: int) -> DataFrame:
     )
 
 
+def _part_of_panel(
+    spans: DataFrame, edge: Column, step_seconds: int, start: str | None, end: str | None, facts: DataFrame
+) -> DataFrame:
+    def steps_to(moment: Column) -> Column:
+        return (epoch_seconds(moment) - epoch_seconds(edge["lo"])) / F.lit(step_seconds)
+
+    def stamp(text: str) -> Column:
+        return F.lit(text).cast("timestamp_ntz")
+
+    first, last = F.lit(0).cast("bigint"), F.floor(steps_to(edge["hi"])).cast("bigint")
+    if start is not None:
+        first = F.greatest(first, F.ceil(steps_to(stamp(start))).cast("bigint"))
+    if end is not None:
+        last = F.least(last, (F.ceil(steps_to(stamp(end))) - 1).cast("bigint"))
+    grid = (
+        spans.select(SERIES, first.alias("_first"), last.alias("_last"))
+        .where("_first <= _last")
+        .repartition(shuffle_width(facts.sparkSession), SERIES)
+        .select(SERIES, F.explode(F.sequence("_first", "_last")).alias("pos"))
+        .select(
+            SERIES,
+            (edge["lo"] + F.make_dt_interval(secs=F.col("pos") * F.lit(step_seconds))).alias(TS),
+            "pos",
+        )
+    )
+    return grid.join(aggregate_facts(facts), KEYS, "left").select(
+        *KEYS, F.coalesce(VALUE, F.lit(0)).alias(VALUE), "pos"
+    )
+
+
 def calendar_fill(daily: DataFrame, day: str, measures: list[str], zero: bool) -> DataFrame:
     """Add the days missing between the first and last: sums become 0, means stay null."""
     edge = daily.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).select(

@@ -23,6 +23,8 @@ CATALOG = Catalog()
 add = CATALOG.add
 
 YEARS = (1998, 1999, 2000, 2001)
+# Days that the splits can hold: from the first, until before the second.
+V1_DAYS, V2_DAYS = ("1998-01-01", "2002-01-01"), ("2000-01-01", "2002-01-01")
 DAY, FEAT = with_ctes(P_DAY), with_ctes(F_DAY)
 CLEAN_V1 = CLEAN + f",\nparts AS MATERIALIZED (SELECT *, {PART_V1} AS part FROM clean)"
 CLEAN_V2 = CLEAN + f",\nparts AS MATERIALIZED (SELECT *, {PART_V2} AS part FROM clean)"
@@ -79,8 +81,8 @@ def part_digest_sql(part: str, ctes: str = DAY, source: str = "panel") -> str:
     WHERE part IS NOT NULL GROUP BY 1, 2"""
 
 
-add("split_v1", lambda s, d: part_digest(split_v1(P.daily_panel(s, d))), part_digest_sql(PART_V1))
-add("split_v2", lambda s, d: part_digest(split_v2(P.daily_panel(s, d))), part_digest_sql(PART_V2))
+add("split_v1", lambda s, d: part_digest(split_v1(P.daily_panel(s, d, *V1_DAYS))), part_digest_sql(PART_V1))
+add("split_v2", lambda s, d: part_digest(split_v2(P.daily_panel(s, d, *V2_DAYS))), part_digest_sql(PART_V2))
 RECENT = {
     "train": ("2000-01-01", "2000-12-31"),
     "validation": ("2001-01-01", "2001-05-31"),
@@ -88,7 +90,7 @@ RECENT = {
 }
 add(
     "split_by_ranges",
-    lambda s, d: part_digest(splits.split_by_ranges(P.daily_panel(s, d), RECENT)),
+    lambda s, d: part_digest(splits.split_by_ranges(P.daily_panel(s, d, *V2_DAYS), RECENT)),
     part_digest_sql(
         "CASE "
         + " ".join(
@@ -101,7 +103,7 @@ add(
 add(
     "split_years_2way",
     lambda s, d: part_digest(
-        splits.split_by_years(P.daily_panel(s, d), [1998, 1999], [], [2000, 2001])
+        splits.split_by_years(P.daily_panel(s, d, *V1_DAYS), [1998, 1999], [], [2000, 2001])
     ),
     part_digest_sql(
         "CASE WHEN year(ts) IN (1998, 1999) THEN 'train'"
@@ -110,7 +112,9 @@ add(
 )
 add(
     "split_years_3way",
-    lambda s, d: part_digest(splits.split_by_years(P.daily_panel(s, d), [1999], [2000], [2001])),
+    lambda s, d: part_digest(splits.split_by_years(
+        P.daily_panel(s, d, "1999-01-01", "2002-01-01"), [1999], [2000], [2001]
+    )),
     part_digest_sql(
         "CASE year(ts) WHEN 1999 THEN 'train' WHEN 2000 THEN 'validation' WHEN 2001 THEN 'test' END"
     ),
@@ -465,7 +469,7 @@ CROSS_COLUMNS = {**CROSS, "y": "2000-01-04 00:00:00"}
 
 
 def _cross_series(s, d):
-    wide = panel.timestamp_slice_transpose(P.daily_panel(s, d), CROSS_COLUMNS)
+    wide = panel.timestamp_slice_transpose(P.daily_panel(s, d, "2000-01-04", "2000-01-10"), CROSS_COLUMNS)
     model = linear.moments(wide, list(CROSS), "y")[None].fit()
     return rounded(linear.coefficient_table(s, {"cross_series": model}))
 
@@ -693,7 +697,7 @@ add(
     "beats_naive",
     lambda s, d: rounded(
         evaluate.beats_naive(
-            scored_test(s, d), P.daily_panel(s, d), NAIVE, "2001-01-01", "2002-01-01"
+            scored_test(s, d), P.daily_panel(s, d, "2000-12-25", "2002-01-01"), NAIVE, "2001-01-01", "2002-01-01"
         )
     ),
     f"{SCORED}, model AS (SELECT {RMSE} AS e FROM scored) "

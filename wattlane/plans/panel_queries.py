@@ -67,7 +67,9 @@ add(
 SLICE = {f"d{i:02d}": f"2000-01-{i:02d} 00:00:00" for i in range(1, 11)}
 add(
     "timestamp_slice_transpose",
-    lambda s, d: panel.timestamp_slice_transpose(P.daily_panel(s, d), SLICE),
+    lambda s, d: panel.timestamp_slice_transpose(
+        P.daily_panel(s, d, "2000-01-01", "2000-01-11"), SLICE
+    ),
     f"{DAY} SELECT series_id, "
     + ", ".join(f"max(value) FILTER (ts = TIMESTAMP '{t}') AS {n}" for n, t in SLICE.items())
     + " FROM panel GROUP BY 1",
@@ -131,24 +133,30 @@ add(
 )
 add(
     "date_range",
-    lambda s, d: filters.date_range(P.daily_panel(s, d), "1999-03-01", "1999-06-30"),
+    lambda s, d: filters.date_range(
+        P.daily_panel(s, d, "1999-03-01", "1999-07-01"), "1999-03-01", "1999-06-30"
+    ),
     f"{DAY} SELECT series_id, ts, value, pos FROM panel"
     " WHERE ts >= TIMESTAMP '1999-03-01' AND ts < TIMESTAMP '1999-07-01'",
 )
 add(
     "year_in",
-    lambda s, d: filters.year_in(P.daily_panel(s, d), TRAIN_YEARS),
+    lambda s, d: filters.year_in(P.daily_panel(s, d, "1998-01-01", "2000-01-01"), TRAIN_YEARS),
     f"{DAY} SELECT series_id, ts, value, pos FROM panel WHERE year(ts) IN (1998, 1999)",
 )
 add(
     "label_slice",
-    lambda s, d: filters.label_slice(P.daily_panel(s, d), "1999-02", "2000-03-05"),
+    lambda s, d: filters.label_slice(
+        P.daily_panel(s, d, "1999-02-01", "2000-03-06"), "1999-02", "2000-03-05"
+    ),
     f"{DAY} SELECT series_id, ts, value, pos FROM panel"
     " WHERE ts >= TIMESTAMP '1999-02-01' AND ts < TIMESTAMP '2000-03-06'",
 )
 add(
     "at_timestamp",
-    lambda s, d: filters.at_timestamp(P.daily_panel(s, d), "2000-01-05 00:00:00"),
+    lambda s, d: filters.at_timestamp(
+        P.daily_panel(s, d, "2000-01-05", "2000-01-06"), "2000-01-05 00:00:00"
+    ),
     f"{DAY} SELECT series_id, ts, value, pos FROM panel WHERE ts = TIMESTAMP '2000-01-05'",
 )
 add(
@@ -322,7 +330,9 @@ add(
 )
 add(
     "kpi_summary",
-    lambda s, d: rounded(quality.kpi_summary(P.daily_panel(s, d), "1999-01", "2000-06")),
+    lambda s, d: rounded(
+        quality.kpi_summary(P.daily_panel(s, d, "1999-01-01", "2000-07-01"), "1999-01", "2000-06")
+    ),
     f"""{DAY}, cut AS (SELECT * FROM panel WHERE ts >= TIMESTAMP '1999-01-01'
       AND ts < TIMESTAMP '2000-07-01')
     SELECT min(lo) AS first_ts, max(hi) AS last_ts, count(*) AS series,
@@ -413,7 +423,7 @@ add(
 )
 add(
     "year_stats",
-    lambda s, d: rounded(profiles.year_stats(P.daily_panel(s, d), [1998, 2001])),
+    lambda s, d: rounded(profiles.year_stats(P.daily_panel(s, d, "1998-01-01", "2002-01-01"), [1998, 2001])),
     f"""{DAY} SELECT CAST(year(ts) AS BIGINT) AS year, {r('avg(value)')} AS mean,
     {r('median(value)')} AS median, {r('stddev_samp(value)')} AS std, {r('min(value)')} AS "min",
     {r('max(value)')} AS "max" FROM panel WHERE year(ts) IN (1998, 2001) GROUP BY 1""",
@@ -467,7 +477,9 @@ add(
 add(
     "series_vs_fleet",
     lambda s, d: rounded(
-        profiles.series_vs_fleet(P.daily_panel(s, d), 7, "2000-12-01", "2000-12-31")
+        profiles.series_vs_fleet(
+            P.daily_panel(s, d, "2000-12-01", "2001-01-01"), 7, "2000-12-01", "2000-12-31"
+        )
     ),
     f"""{DAY} SELECT CAST(ts AS DATE) AS day,
     {r('sum(value) FILTER (series_id = 7)')} AS series_total, {r('avg(value)')} AS fleet_total
@@ -514,7 +526,7 @@ add(
     "histogram_density",
     lambda s, d: rounded(
         profiles.histogram_density(
-            filters.year_in(P.daily_panel(s, d), [1998, 2001]).withColumn(
+            filters.year_in(P.daily_panel(s, d, "1998-01-01", "2002-01-01"), [1998, 2001]).withColumn(
                 "year", F.year(TS).cast("bigint")
             ),
             "year", bins=20,
@@ -631,7 +643,10 @@ NAIVE_SQL = " UNION ALL ".join(
 add(
     "persistence_baseline",
     lambda s, d: rounded(
-        features.persistence_errors(P.daily_panel(s, d), NAIVE, "2001-01-01", "2002-01-01")
+        features.persistence_errors(
+            # The year and the longest look-back, seven days, before it.
+            P.daily_panel(s, d, "2000-12-25", "2002-01-01"), NAIVE, "2001-01-01", "2002-01-01"
+        )
     ),
     f"{DAY} {NAIVE_SQL}",
 )
@@ -659,7 +674,7 @@ add(
 add(
     "union_parts",
     lambda s, d: joins.union_parts(
-        filters.year_in(P.daily_panel(s, d), [1999]), filters.year_in(P.daily_panel(s, d), [2000])
+        P.daily_panel(s, d, "1999-01-01", "2000-01-01"), P.daily_panel(s, d, "2000-01-01", "2001-01-01")
     ),
     f"{DAY} SELECT series_id, ts, value, pos FROM panel WHERE year(ts) IN (1999, 2000)",
 )
@@ -667,8 +682,8 @@ add(
     "union_with_group_key",
     lambda s, d: joins.union_with_group_key(
         {
-            "1999": profiles.series_totals(filters.year_in(P.daily_panel(s, d), [1999])),
-            "2000": profiles.series_totals(filters.year_in(P.daily_panel(s, d), [2000])),
+            "1999": profiles.series_totals(P.daily_panel(s, d, "1999-01-01", "2000-01-01")),
+            "2000": profiles.series_totals(P.daily_panel(s, d, "2000-01-01", "2001-01-01")),
         },
         "period",
     ),

@@ -18,17 +18,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+def between(rows: DataFrame, time: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows with ``start`` <= time < ``end``, on the raw column, so the scan can skip files."""
+    if start is not None:
+        rows = rows.where(F.col(time) >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        rows = rows.where(F.col(time) < F.lit(end).cast("timestamp_ntz"))
+    return rows
+
+
+def daily_facts(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    return between(table(spark, sf_dir, "lineitem"), "l_shipdate", start, end).select(
         F.col("l_suppkey").alias(SERIES),
         floor_day("l_shipdate").alias(TS),
         F.col("l_quantity").cast("bigint").alias(VALUE),
     )
 
 
-def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity shipped per supplier and day."""
-    return dense_panel(daily_facts(spark, sf_dir), DAY)
+def daily_panel(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Quantity shipped per supplier and day, of the days from ``start`` until before ``end``."""
+    facts = daily_facts(spark, sf_dir)
+    return dense_panel(facts, DAY, start, end, daily_facts(spark, sf_dir, start, end))
 
 
 def nation_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

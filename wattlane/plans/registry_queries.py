@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wattlane.operators import filters, governance, joins, linear, panel, profiles, scoring
 from wattlane.plans import candidates as C
 from wattlane.plans import panels as P
-from wattlane.plans.model_queries import V1, part_digest, prepared, split_v1, weights_sql
+from wattlane.plans.model_queries import V1, V1_DAYS, part_digest, prepared, split_v1, weights_sql
 from wattlane.plans.oracle import (
     CLEAN, F_DAY, NATION_FACTS, P_DAY, P_HOUR, PART_V1, lag_sql, r, window_sql, with_ctes,
 )
@@ -222,7 +222,7 @@ add(
 add(
     "dataset_digest",
     lambda s, d: governance.dataset_digest(
-        split_v1(P.daily_panel(s, d)), [SERIES, TS, VALUE], [PART]
+        split_v1(P.daily_panel(s, d, *V1_DAYS)), [SERIES, TS, VALUE], [PART]
     ),
     f"""{DAY} SELECT part, count(*) AS "rows", CAST(sum(CAST('0x' || substr(md5(
     length(CAST(series_id AS VARCHAR)) || ':' || series_id || '19:' || strftime(ts, '%Y-%m-%d %H:%M:%S')
@@ -409,7 +409,7 @@ add(
 
 def _write_splits(s, d):
     path = scratch_path(s, "splits")
-    sinks.write_splits(split_v1(P.daily_panel(s, d)), path)
+    sinks.write_splits(split_v1(P.daily_panel(s, d, *V1_DAYS)), path)
     return part_digest(s.read.parquet(path))
 
 
@@ -425,7 +425,7 @@ SPLIT_TEXT = "train=1998-1999 | validation=2000 | test=2001"
 
 def _materialize_split(s, d):
     return sinks.materialize_split(
-        split_v1(P.daily_panel(s, d)), "v1", SPLIT_TEXT, scratch_path(s, "split")
+        split_v1(P.daily_panel(s, d, *V1_DAYS)), "v1", SPLIT_TEXT, scratch_path(s, "split")
     )
 
 
