@@ -93,3 +93,20 @@ def test_a_dominant_series_is_spread_over_bounded_groups(make_panel):
     assert max(sizes) <= 64 + 10
     assert blocked.where("not _lead_in").count() == 6000
     assert blocked.count() <= 6000 * 1.25
+
+
+def test_means_of_doubles_forget_what_has_left_the_window(make_panel):
+    values = [1e6 + i * 0.37 for i in range(2000)] + [0.1] * 40
+    for inclusive in (False, True):
+        panel = make_panel({"a": values})
+        rows = build_features(
+            panel, 1, lags={}, windows={"m": 7}, inclusive=inclusive, min_block=100
+        ).orderBy("ts").collect()
+        shift = 0 if inclusive else 1
+        for i, row in enumerate(rows):
+            window = values[max(0, i - shift - 6) : i - shift + 1]
+            if len(window) < 7:
+                assert row.m is None
+            else:
+                assert abs(row.m - sum(window) / 7) <= 1e-9 * max(1, abs(row.m))
+        assert abs(rows[-1].m - 0.1) < 1e-12

@@ -74,7 +74,8 @@ def build_features(
     the lags of 1, 7, 30 and 365 days and the windows of 7 and 30 days. A rolling mean
     covers the rows before the current one, or ends at it when ``inclusive``; it is null
     until the window is full or when a value in it is missing. Means come from running
-    sums, so their cost does not grow with the window.
+    sums, so their cost does not grow with the window. Sums of floating values start anew at
+    every multiple of the window, so a mean is free of what lies outside two windows.
     """
     require_columns(panel, [SERIES, value])
     if lags is None:
@@ -91,20 +92,45 @@ def build_features(
     if windows:
         exact = panel.schema[value].dataType.typeName() not in ("float", "double")
         number = F.col(value) if exact else finite(value)
-        blocked = blocked.select(
-            "*", F.sum(number).over(upto).alias("_sum"), F.count(number).over(upto).alias("_cnt")
-        )
+        blocked = blocked.withColumn("_cnt", F.count(number).over(upto))
+        if exact:
+            blocked = blocked.withColumn("_sum", F.sum(number).over(upto))
+        else:
+            for steps in sorted(set(windows.values())):
+                blocked = _with_piece_sums(blocked, number, steps)
     added = {name: F.lag(value, steps).over(w) for name, steps in lags.items()}
-    added |= {name: _window_mean(w, steps, past) for name, steps in windows.items()}
+    for name, steps in windows.items():
+        total = _running_total(w, "_sum", steps, past) if exact else _piece_total(w, steps, past)
+        full = _running_total(w, "_cnt", steps, past) == steps
+        added[name] = F.when(full, total.cast("double") / F.lit(float(steps)))
     return leave_blocks(blocked.withColumns(added), [*panel.columns, *added])
 
 
-def _window_mean(w, steps: int, past: int) -> Column:
-    def total(column: str) -> Column:
-        newest = F.lag(column, past).over(w) if past else F.col(column)
-        return newest - F.coalesce(F.lag(column, steps + past).over(w), F.lit(0))
+def _running_total(w, column: str, steps: int, past: int) -> Column:
+    newest = F.lag(column, past).over(w) if past else F.col(column)
+    return newest - F.coalesce(F.lag(column, steps + past).over(w), F.lit(0))
 
-    return F.when(total("_cnt") == steps, total("_sum").cast("double") / F.lit(float(steps)))
+
+def _with_piece_sums(blocked: DataFrame, number: Column, steps: int) -> DataFrame:
+    """Sums from the start of a row's piece of ``steps`` positions, and on to the piece's end."""
+    piece = F.floor(F.col("pos") / F.lit(steps))
+    inside = W.partitionBy(SERIES, "_block", piece).orderBy("pos")
+    known = F.coalesce(number, F.lit(0.0))
+    to_here = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    from_here = inside.rowsBetween(W.currentRow, W.unboundedFollowing)
+    return blocked.select(
+        "*",
+        F.sum(known).over(to_here).alias(f"_head_{steps}"),
+        F.sum(known).over(from_here).alias(f"_tail_{steps}"),
+    )
+
+
+def _piece_total(w, steps: int, past: int) -> Column:
+    """A window is the head of one piece and, unless it is all of it, the tail of the one before."""
+    head, oldest = f"_head_{steps}", F.lag(f"_tail_{steps}", steps - 1 + past).over(w)
+    newest = F.lag(head, past).over(w) if past else F.col(head)
+    whole = F.pmod(F.col("pos") - past, F.lit(steps)) == steps - 1
+    return newest + F.when(whole, F.lit(0.0)).otherwise(oldest)
 
 
 def sub_day_lags(panel: DataFrame, steps_per_day: int) -> DataFrame:

@@ -640,6 +640,37 @@ NAIVE_SQL = " UNION ALL ".join(
     " WHERE year(ts) = 2001"
     for n, k in NAIVE.items()
 )
+DOUBLE_WINDOWS = {"mean_7": 7, "mean_30": 30}
+
+
+def _double_means(s, d):
+    """Means of a panel of floating values whose size changes a lot."""
+    scale = F.when(F.year(TS) == 1999, 1e6).otherwise(0.1)
+    doubles = P.daily_panel(s, d).withColumn(VALUE, F.col(VALUE).cast("double") * scale)
+    return rounded(
+        features.build_features(doubles, 1, lags={}, windows=DOUBLE_WINDOWS).select(*KEYS, *DOUBLE_WINDOWS)
+    )
+
+
+def _double_mean_sql(name: str, k: int) -> str:
+    """Whole quantities are summed apart for each scale, without a rounding error."""
+    large = f"sum(CASE WHEN year(ts) = 1999 THEN value END) OVER w{k}"
+    small = f"sum(CASE WHEN year(ts) <> 1999 THEN value END) OVER w{k}"
+    mean = r(f"(1e6 * coalesce({large}, 0) + 0.1 * coalesce({small}, 0)) / {k}")
+    return f"CASE WHEN count(*) OVER w{k} = {k} THEN {mean} END AS {name}"
+
+
+add(
+    "rolling_mean_of_doubles",
+    _double_means,
+    f"{DAY} SELECT series_id, ts, "
+    + ", ".join(_double_mean_sql(n, k) for n, k in DOUBLE_WINDOWS.items())
+    + " FROM panel WINDOW "
+    + ", ".join(
+        f"w{k} AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+        for k in DOUBLE_WINDOWS.values()
+    ),
+)
 add(
     "persistence_baseline",
     lambda s, d: rounded(
