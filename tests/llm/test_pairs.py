@@ -67,8 +67,10 @@ def test_a_bucket_of_many_classes_compares_across_them(spark):
 
 def test_components_of_paths_stars_and_loops(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (301, 300)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}, 300: 300, 301: 300}
+    for small in (1000, 0):
+        found = connected_components(spark.createDataFrame(pairs, "a long, b long"), small=small)
+        got = {r.node: r.component for r in found.collect()}
+        assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}, 300: 300, 301: 300}
 
 
 def local_alignment(item, text):

@@ -285,10 +285,10 @@ def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(old.unionByName(single), "components")
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 26, rows: int = 7) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows: int = 6) -> DataFrame:
     """(doc_id, class_id): the class of a document is the least doc_id in it.
 
-    With 26 bands of 7 samples a pair at the limit shares a bucket with a chance of 99.8 %.
+    With 20 bands of 6 samples a pair at the limit shares a bucket with a chance of 99.8 %.
     """
     every = documents_of(docs)
     known = every.where("doc_id IS NOT NULL")
