@@ -161,3 +161,8 @@ def test_coefficients_round_trip(spark, data):
     assert dict(zip(back.features, back.weights)) == dict(zip(model.features, model.weights))
     with pytest.raises(KeyError):
         scoring.score_table(data[0].drop("b"), model)
+
+
+def test_ranks_do_not_depend_on_the_unit():
+    rows = [{"name": "a", "rmse": 4e-7}, {"name": "b", "rmse": 1e-7}, {"name": "c", "rmse": 1e-7 * (1 + 1e-14)}]
+    assert [r["name"] for r in linear._ranked_rows(rows)] == ["b", "c", "a"]

@@ -55,7 +55,7 @@ def test_decisions(versions, events):
 def test_gate_lists_every_reason(versions, events):
     rows = {r.model_name: r for r in governance.promotion_gate(versions, events, 0.2).collect()}
     assert rows["m"].promotion_status == "rejected"
-    assert rows["m"].reasons == "not validated ; gain 10.00% < 20.00%"
+    assert rows["m"].reasons == "passed_validation is not true ; gain 10.00% < 20.00%"
 
 
 def test_alias_log(events):
@@ -86,3 +86,37 @@ def test_digest_ignores_order_and_sees_changes(spark, make_panel):
     one = governance.dataset_digest(p, columns).first()
     assert governance.dataset_digest(p.orderBy("value", ascending=False), columns).first() == one
     assert governance.dataset_digest(make_panel({"a": [1.0, 2.0, 4.0]}), columns).first() != one
+
+
+def test_promotion_needs_both_flags_and_keeps_every_model(spark):
+    tags = "map<string,string>"
+    ok = {"validated": " TRUE ", "passed_validation": "true"}
+    rows = [
+        ("a", "1", 10.0, 5.0, ok), ("a", "2", 5.0, 4.0, ok),
+        ("b", "1", 10.0, 5.0, ok), ("b", "2", 5.0, 4.0, {"validated": "true", "validation_status": "Passed"}),
+        ("c", "1", 10.0, 5.0, ok), ("d", "1", 9.0, 5.0, {}),
+    ]
+    versions = spark.createDataFrame(rows, f"model_name string, version string, rmse double, mae double, tags {tags}")
+    log = [("a", "champion", "1", 1), ("a", "challenger", "2", 2), ("b", "champion", "1", 1), ("b", "challenger", "2", 2), ("c", "champion", "1", 1)]
+    events = spark.createDataFrame(log, "model_name string, alias string, version string, seq long")
+    gate = governance.promotion_gate(versions, events)
+    got = {r.model_name: (r.promotion_status, r.reasons) for r in gate.collect()}
+    assert got == {
+        "a": ("accepted", ""), "b": ("rejected", "passed_validation is not true"),
+        "c": ("none", "no challenger"), "d": ("none", "no champion ; no challenger"),
+    }
+    loose = governance.promotion_gate(versions, events, status_counts=True)
+    assert {r.model_name: r.promotion_status for r in loose.collect()}["b"] == "accepted"
+    writes = sorted((r.seq, r.alias, r.version) for r in governance.promotion_events(gate).collect())
+    assert writes[:2] == [(1, "rollback", "1"), (2, "champion", "2")] and len(writes) == 5
+    decided = {r.model_name: (r.decision, r.reason) for r in governance.govern_decision(versions, events).collect()}
+    assert decided["d"] == ("none", "no champion") and decided["a"][0] == "accepted" and len(decided) == 4
+
+
+def test_digest_tells_nulls_and_separators_apart(spark):
+    def digest(rows):
+        frame = spark.createDataFrame(rows, "a string, b string")
+        return governance.dataset_digest(frame, ["a", "b"]).first().digest
+
+    kinds = [[("", "")], [(None, "")], [("", None)], [("x|", "y")], [("x", "|y")], [("1:", "")]]
+    assert len({digest(k) for k in kinds}) == len(kinds)

@@ -30,17 +30,6 @@ def epoch_seconds(ts: str | Column) -> Column:
     ).cast("bigint")
 
 
-def epoch_micros(ts: str | Column) -> Column:
-    """As ``epoch_seconds``, to the microsecond."""
-    ts = col(ts)
-    micros = F.extract(F.lit("SECOND"), ts) * 1000000
-    return (
-        (F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60)
-        * 1000000
-        + micros.cast("bigint")
-    ).cast("bigint")
-
-
 def floor_day(ts: str | Column) -> Column:
     return F.to_date(col(ts)).cast("timestamp_ntz")
 

@@ -197,8 +197,11 @@ def model_from_table(table: DataFrame, model_id: str) -> LinearModel:
         r["feature"]: r["weight"]
         for r in table.where(F.col("model_id") == model_id).collect()
     }
+    if "intercept" not in rows:
+        raise KeyError(f"no coefficients of {model_id!r}")
     intercept = rows.pop("intercept")
-    return LinearModel(tuple(rows), tuple(rows.values()), intercept)
+    names = sorted(rows)  # a stored table has no order
+    return LinearModel(tuple(names), tuple(rows[n] for n in names), intercept)
 
 
 def _significant(value: float, digits: int) -> float:
@@ -216,6 +219,11 @@ def _ranked_rows(rows: list[dict], metric: str = "rmse", digits: int = 9) -> lis
     return [{**row, "rank": place} for place, (_, row) in enumerate(ordered, start=1)]
 
 
+def fit_strategies(train: Moments, strategies: dict[str, list[str]], alpha: float = 0.0) -> dict[str, LinearModel]:
+    """A model of each feature set, from the moments of all features."""
+    return {name: train.fit(alpha, names) for name, names in strategies.items()}
+
+
 def alpha_grid(
     df: DataFrame,
     features: list[str],

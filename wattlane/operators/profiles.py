@@ -285,7 +285,9 @@ def histogram_density(df: DataFrame, group: str, value: str = VALUE, bins: int =
 
 def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 120) -> DataFrame:
     """Two-dimensional counts and their ``log10(n + 1)``; bins with rows only."""
-    lx, ly = _limits(df, x), _limits(df, y)
+    ends = [f(number(c)).alias(f"{n}_{c}") for c in (x, y) for n, f in (("lo", F.min), ("hi", F.max))]
+    edge = df.agg(*ends).select(F.struct(*[f"{n}_{c}" for c in (x, y) for n in ("lo", "hi")])).scalar()
+    lx, ly = ({n: edge[f"{n}_{c}"] for n in ("lo", "hi")} for c in (x, y))
     return (
         df.groupBy(
             bin_index(number(x), lx["lo"], lx["hi"], bins).alias("x_bin"),

@@ -46,7 +46,13 @@ def lookup_features(
 def score_requests(
     requests: DataFrame, features: DataFrame, model: LinearModel, unit: str = "minute"
 ) -> DataFrame:
-    """Prediction and features, or an error text, for every request."""
+    """Prediction and features, or an error text, for every request; an empty batch is an error.
+
+    Only the features of the requested series and of the time they span are looked at.
+    """
+    if not requests.isStreaming:
+        require_requests(requests)
+        features = asked_features(requests, features, unit)
     names = list(model.features)
     found = lookup_features(requests, features, names, unit)
     good = F.col("error").isNull()
@@ -58,6 +64,14 @@ def score_requests(
     )
 
 
+def asked_features(requests: DataFrame, features: DataFrame, unit: str = "minute") -> DataFrame:
+    """Feature rows between the first and last time asked for, of the series asked for."""
+    key = _FLOOR[unit](TS)
+    span = requests.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi"))).scalar()
+    series = requests.select(SERIES).distinct()
+    return features.where(F.col(TS).between(span["lo"], span["hi"])).join(series, SERIES, "left_semi")
+
+
 def require_requests(requests: DataFrame) -> None:
     if requests.isEmpty():
         raise ValueError("a batch needs at least one request")

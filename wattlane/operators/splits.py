@@ -94,8 +94,10 @@ def build_temporal_split(df: DataFrame, name: str, **options) -> DataFrame:
     return builders[name](df, **options)
 
 
-def split_by_ranges(df: DataFrame, ranges: dict[str, tuple[str, str]]) -> DataFrame:
-    """Parts as inclusive date ranges."""
+def split_by_ranges(df: DataFrame, ranges: str | dict[str, tuple[str, str]]) -> DataFrame:
+    """Parts as inclusive date ranges, given or by a name of ``DATE_SPLITS``."""
+    if isinstance(ranges, str):
+        ranges = DATE_SPLITS[ranges]
     day = F.make_dt_interval(days=F.lit(1))
     return _keep_parts(
         df,

@@ -246,10 +246,7 @@ add(
     lambda s, d: rounded(
         linear.coefficient_table(
             s,
-            {
-                row["strategy"]: row["model"]
-                for row in linear.strategy_sweep(prepared(s, d), STRATEGIES)
-            },
+            linear.fit_strategies(linear.part_moments(prepared(s, d), FEATURES)["train"], STRATEGIES),
         ).orderBy("model_id", "weight")
     ),
     V1
@@ -485,30 +482,58 @@ add(
 )
 
 
-def nation_rows(spark, sf) -> DataFrame:
-    feats = features.build_features(P.nation_panel(spark, sf), 1)
-    return materialize(
-        split_v1(filters.drop_incomplete(feats, FEATURES)).drop("pos"), "features"
-    )
+def _tree_query(fit, exact_leaves: bool, averages: bool):
+    """A model of all supplier rows of the train part, and what must hold of it.
 
+    Per part: its rows, and whether predictions stay within the targets of the train part (what
+    averages of them do). On the train part: whether the error is below that of the mean, and for
+    a single tree whether each predicted value is the mean of the targets it is predicted for.
+    """
 
-def _tree_query(fit):
     def query(s, d):
-        rows = nation_rows(s, d)
-        model = fit(rows.where(F.col(PART) == "train"))
-        scored = trees.score(model, rows, FEATURES)
-        return rounded(
-            evaluate.regression_metrics(scored, [PART]).select(PART, "n", "rmse", "mae", "r2")
+        rows = prepared(s, d)
+        train = rows.where(F.col(PART) == "train")
+        scored = materialize(
+            trees.score(fit(train), rows, FEATURES).select(PART, VALUE, "prediction"), "scored"
+        )
+        y, p = F.col(VALUE).cast("double"), F.col("prediction")
+        train = scored.where(F.col(PART) == "train")
+        edge = train.agg(F.struct(F.min(y).alias("lo"), F.max(y).alias("hi"))).scalar()
+        leaf = train.groupBy("prediction").agg(F.max(F.abs(p)).alias("_p"), F.avg(y).alias("_m"))
+        leaves = leaf.agg(F.max(F.abs(F.col("prediction") - F.col("_m"))) < 1e-6).scalar()
+        own = F.col(PART) == "train"
+        return scored.groupBy(PART).agg(
+            F.count("*").alias("n"),
+            F.every(p.between(edge["lo"] - 1e-9, edge["hi"] + 1e-9)).alias("_inside"),
+            (F.avg((y - p) * (y - p)) < F.var_pop(y)).alias("_below"),
+        ).select(
+            PART,
+            "n",
+            (F.col("_inside") if averages else F.lit(None).cast("boolean")).alias("within_targets"),
+            F.when(own, F.col("_below")).alias("below_mean_model"),
+            (F.when(own, leaves) if exact_leaves else F.lit(None).cast("boolean")).alias("leaves_are_means"),
         )
 
-    return query
+    flags = "true" if averages else "CAST(NULL AS BOOLEAN)"
+    leaves = "CASE WHEN part = 'train' THEN true END" if exact_leaves else "CAST(NULL AS BOOLEAN)"
+    sql = f"""{V1} SELECT part, count(*) AS n, {flags} AS within_targets,
+    CASE WHEN part = 'train' THEN true END AS below_mean_model, {leaves} AS leaves_are_means
+    FROM parts WHERE part IS NOT NULL GROUP BY part"""
+    return query, sql
 
 
-add("fit_tree", _tree_query(lambda rows: trees.fit_tree(rows, FEATURES, 6)))
-add("fit_tree_unbounded", _tree_query(lambda rows: trees.fit_tree(rows, FEATURES, None)))
-add("fit_forest", _tree_query(lambda rows: trees.fit_forest(rows, FEATURES)))
-add("fit_forest_deep", _tree_query(lambda rows: trees.fit_forest(rows, FEATURES, 60, 16, 10)))
-add("fit_gbt", _tree_query(lambda rows: trees.fit_gbt(rows, FEATURES)))
+def _forest(count: int, depth: int, leaf: int):
+    return lambda rows: trees.fit_forest(rows, FEATURES, count, depth, leaf)
+
+
+add("fit_tree", *_tree_query(lambda rows: trees.fit_tree(rows, FEATURES, 6), True, True))
+add("fit_tree_unbounded", *_tree_query(lambda rows: trees.fit_tree(rows, FEATURES, None), True, True))
+add("fit_forest", *_tree_query(_forest(10, 8, 20), False, True))
+add("fit_forest_deep", *_tree_query(_forest(10, 12, 10), False, True))
+add(
+    "fit_gbt",
+    *_tree_query(lambda rows: trees.fit_gbt(rows, FEATURES, 0.08, 10, 5), False, False),
+)
 
 
 def _overfit(s, d):

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wattlane.functions.columns import floor_minute
 from wattlane.operators import filters, governance, joins, linear, panel, profiles, scoring
+from wattlane.operators.features import build_features
+from wattlane.operators.panel import aggregate_facts
 from wattlane.plans import candidates as C
 from wattlane.plans import panels as P
 from wattlane.plans.model_queries import V1, V1_DAYS, part_digest, prepared, split_v1, weights_sql
@@ -297,6 +300,65 @@ add(
 )
 
 
+MINUTE_NAMES = ["lag_1", "lag_2"]
+
+
+def minute_features(spark, sf):
+    """Keyed by the minute: the two readings before, of series whose readings have gaps."""
+    facts = P.table(spark, sf, "events").select(
+        F.col("user_id").alias(SERIES), floor_minute(TS).alias(TS), F.col("value").cast("decimal(18,2)").alias("value")
+    )
+    return build_features(aggregate_facts(facts), 1, lags={"lag_1": 1, "lag_2": 2}, windows={})
+
+
+MINUTE_SQL = with_ctes(
+    """facts AS (SELECT user_id AS series_id, date_trunc('minute', ts) AS ts,
+      sum(CAST(value AS DECIMAL(18,2))) AS value FROM events GROUP BY 1, 2)""",
+    """feats AS MATERIALIZED (SELECT series_id, ts, value, lag(value) OVER w AS lag_1,
+      lag(value, 2) OVER w AS lag_2 FROM facts WINDOW w AS (PARTITION BY series_id ORDER BY ts))""",
+    """asked AS (SELECT event_id, ts, date_trunc('minute', ts) AS key_ts,
+      CASE WHEN event_type = 'error' THEN -user_id - 1 ELSE user_id END AS series_id FROM events)""",
+    """found AS (SELECT a.event_id, a.series_id, a.ts, lag_1, lag_2, CASE WHEN f.ts IS NULL
+        THEN 'no features for ' || a.series_id || ' at ' || strftime(key_ts, '%Y-%m-%dT%H:%M')
+      WHEN lag_1 IS NULL OR lag_2 IS NULL
+        THEN 'features missing for ' || a.series_id || ' at ' || strftime(key_ts, '%Y-%m-%dT%H:%M')
+          || ': ' || concat_ws(', ', CASE WHEN lag_1 IS NULL THEN 'lag_1' END,
+          CASE WHEN lag_2 IS NULL THEN 'lag_2' END) END AS error
+      FROM asked a LEFT JOIN feats f ON f.series_id = a.series_id AND f.ts = key_ts)""",
+)
+add(
+    "lookup_features_by_minute",
+    lambda s, d: rounded(
+        scoring.lookup_features(requests(s, d), minute_features(s, d), MINUTE_NAMES, "minute")
+    ),
+    MINUTE_SQL + " SELECT event_id, series_id, ts, "
+    + ", ".join(f"CASE WHEN error IS NULL THEN {r(n)} END AS {n}" for n in MINUTE_NAMES)
+    + ", error FROM found",
+)
+
+
+def _score_by_minute(s, d):
+    """Scored with coefficients that were written and read back by model and version."""
+    feats = materialize(minute_features(s, d), "features")
+    model = linear.moments(feats, MINUTE_NAMES)[None].fit(1.0)
+    stored = materialize(linear.coefficient_table(s, {"minute_1": model}), "coefficients")
+    model = linear.model_from_table(stored, "minute_1")
+    scored = scoring.score_requests(requests(s, d), feats, model, "minute")
+    return rounded(scored.select("event_id", SERIES, TS, "prediction", "features.*", "error"), 5)
+
+
+add(
+    "score_requests_by_minute",
+    _score_by_minute,
+    MINUTE_SQL + ", "
+    + solve_ctes("m", "feats", MINUTE_NAMES, 1.0, " AND ".join(f"{n} IS NOT NULL" for n in MINUTE_NAMES))
+    + f""" SELECT event_id, series_id, ts,
+    CASE WHEN error IS NULL THEN {r(predict_sql('m', MINUTE_NAMES), 5)} END AS prediction, """
+    + ", ".join(f"CASE WHEN error IS NULL THEN {r(n, 5)} END AS {n}" for n in MINUTE_NAMES)
+    + ", error FROM found, m",
+)
+
+
 def _score_table(s, d):
     rows = prepared(s, d)
     model = linear.part_moments(rows, FEATURES)["train"].fit(1.0)
@@ -323,8 +385,9 @@ def _score_champion(s, d):
     table = linear.coefficient_table(s, models).select(
         F.lit(CHAMPION).alias("model_name"), F.col("model_id").alias("version"), "feature", "weight"
     )
+    stored = materialize(table, "coefficients")
     scored = scoring.score_with_champion(
-        rows.where(F.col(PART) == "test"), table, C.alias_events(s, d), CHAMPION
+        rows.where(F.col(PART) == "test"), stored, C.alias_events(s, d), CHAMPION
     )
     return rounded(scored.select(*KEYS, "prediction"))
 

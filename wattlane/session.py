@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_KEY = "spark.checkpoint.dir"
+_made: list[str] = []
 
 # Settings every deployment wants; shuffle partitions and memory stay with the cluster.
 SESSION_SETTINGS = {
@@ -40,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(_SHARED_KEY, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master.partition("[")[0] != "local":
             raise RuntimeError(f"set {_SHARED_KEY} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="wattlane-")
     if not context.getCheckpointDir():
@@ -50,7 +51,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/wattlane-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/wattlane-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has made below the shared folder.
+
+    Results that still read them must have been written or collected before.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

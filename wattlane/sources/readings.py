@@ -22,16 +22,15 @@ def read_readings_csv(
     """Wide frame of energy per interval from a ``;`` separated file with decimal commas.
 
     The first column, unnamed in the header, is the timestamp. Only the header is read to
-    learn the columns; a cell that is no number becomes null.
+    learn the columns; a cell that is no number becomes null. ``nrows`` keeps the first rows by time.
     """
     raw = spark.read.csv(path, sep=";", header=True)
-    if nrows is not None:
-        raw = raw.limit(nrows)
     first, *meters = raw.columns
-    return raw.select(
+    out = raw.select(
         F.to_timestamp_ntz(F.col(f"`{first}`"), F.lit(TIME_FORMAT)).alias(TS),
         *[to_kwh(decimal_comma(m), intervals_per_hour).cast("float").alias(m) for m in meters],
     )
+    return out if nrows is None else out.orderBy(TS).limit(nrows)
 
 
 def read_panel(spark: SparkSession, path: str, nrows: int | None = None) -> DataFrame:
@@ -41,7 +40,7 @@ def read_panel(spark: SparkSession, path: str, nrows: int | None = None) -> Data
     df = spark.read.parquet(path)
     if "timestamp" in df.columns:
         df = df.withColumnRenamed("timestamp", TS)
-    return df.limit(nrows) if nrows is not None else df
+    return df.orderBy(TS).limit(nrows) if nrows is not None else df
 
 
 def pruned_scan(spark: SparkSession, path: str, names: list[str]) -> DataFrame:

@@ -69,9 +69,11 @@ def head_rows(df: DataFrame, rows: int = HEAD_ROWS, seed: int = HEAD_SEED) -> Da
     return sample_n(df, rows, seed).orderBy(*KEYS)
 
 
-def write_head_csv(df: DataFrame, path: str) -> None:
-    """A seeded sample of at most a thousand rows, in key order, as one file."""
-    head_rows(df).coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_head_csv(
+    df: DataFrame, path: str, rows: int = HEAD_ROWS, seed: int = HEAD_SEED
+) -> None:
+    """A seeded sample of at most ``rows`` rows, in key order, as one file."""
+    head_rows(df, rows, seed).coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
 def write_ranked_csv(table: DataFrame, order: list[str], path: str) -> None:
