@@ -7,10 +7,12 @@ table of their counts at any corpus size. Counts cover all documents.
 
 1. Improved consistent weighted sampling gives ``bands * rows`` samples of a document. Their gamma
    and uniform draws come from a table of 65,536 triples, picked by a hash of shingle and sample.
-2. Documents whose ``rows`` samples of a band agree share a bucket, led by the least of it. Each is compared
-   with the least of its leads, by exact weighted Jaccard similarity of the whole texts; then with those of its
-   other leads that are not in its component yet.
-3. Then, within each bucket, documents of different components are compared with each other too. So every pair that shares a bucket is either compared
+2. Documents whose ``rows`` samples of a band agree share a bucket, led by the one that meets most others in
+   its buckets: in a group of copies that is the text they were made from, or one near it. Each is compared with
+   the first of its leads, by exact weighted Jaccard similarity of the whole texts; then with those of its other
+   leads that are not in its component yet.
+3. Then, within each bucket, documents of different components are compared with each other too, unless their
+   samples rule it out. So every pair that shares a bucket is either compared, ruled out
    or already in one class, yet copies are never expanded into all pairs.
 4. Components of all links are the classes.
 
@@ -103,12 +105,13 @@ class Sampler:
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
         return bits.astype(np.uint64) << np.uint64(32)
 
-    def band_keys(self, shingle: np.ndarray, log_weight: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """(sets, bands) keys; ``first`` is where each (non-empty) set starts."""
+    def band_keys(self, shingle: np.ndarray, log_weight: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sets, bands) keys and (sets, samples) 16 bits of each sample; ``first`` is where each (non-empty) set starts."""
         other = np.flatnonzero(log_weight)
         log_s = log_weight[other].astype(np.float32)
         low = np.uint64(0xFFFFFFFF)
         out = np.zeros((len(first), self.bands), dtype=np.uint64)
+        sketch = np.zeros((len(first), self.bands * self.rows), dtype="<u2")
         for k in range(self.bands * self.rows):
             drawn = (shingle ^ self.salt[k]) * self.factor[k]
             at = (drawn >> np.uint64(48)).astype(np.int64)
@@ -122,9 +125,10 @@ class Sampler:
                 step = t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 key[other] = value | (((drawn[other] >> np.uint64(16)) ^ (step >> np.uint64(20))) & low)
             sample = np.minimum.reduceat(key, first)
+            sketch[:, k] = mix(sample) & np.uint64(0xFFFF)
             band = k // self.rows
             out[:, band] = mix(out[:, band] * np.uint64(0x9FB21C651E98DF25) + sample + np.uint64(band + 1))
-        return out
+        return out, sketch
 
 
 def _node_of(words: Words, d: int) -> bytes:
@@ -174,7 +178,7 @@ def frequent_shingles(docs: DataFrame) -> Idf:
 
 
 def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
-    """(doc_id, node, keys): a node is a text up to case, marks and spacing; keys once for each node and slice."""
+    """(doc_id, node, keys, sketch): a node is a text up to case, marks and spacing; keys once for each node and slice."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands, rows)
@@ -195,15 +199,22 @@ def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
                 shingle, doc, weight = v.shingle[keep], v.doc[keep], idf.log_weights(v)[keep]
                 first = np.flatnonzero(np.diff(doc, prepend=-1))
                 keys: list[list[int] | None] = [None] * (b - a)
+                sketches: list[bytes | None] = [None] * (b - a)
                 if len(first):
-                    got = sampler.band_keys(shingle, weight, first).view(np.int64).tolist()
-                    for d, row in zip(doc[first].tolist(), got):
-                        keys[d] = row
+                    got, samples = sampler.band_keys(shingle, weight, first)
+                    for d, row, sample in zip(doc[first].tolist(), got.view(np.int64).tolist(), samples):
+                        keys[d], sketches[d] = row, sample.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "keys"]
+                    [
+                        ids.slice(a, b - a),
+                        pa.array(nodes, pa.binary()),
+                        pa.array(keys, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.binary()),
+                    ],
+                    ["doc_id", "node", "keys", "sketch"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, node binary, keys array<long>")
+    return docs.mapInArrow(sign, "doc_id long, node binary, keys array<long>, sketch binary")
 
 
 def _texts_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -247,21 +258,42 @@ def compare(pairs: DataFrame, texts: DataFrame, idf: Idf, least: float) -> DataF
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a binary, b binary, similarity double").where(F.col("similarity") >= least)
 
 
-def _between_components(members: DataFrame, components: DataFrame, block: int = 500) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket but no component."""
+def _between_components(members: DataFrame, sketches: DataFrame, components: DataFrame, least: float, block: int = 200) -> DataFrame:
+    """Pairs (a, b) of nodes that share a bucket but no component and whose samples do not rule them out.
+
+    The share of equal samples estimates the similarity. Pairs of three standard deviations below the limit
+    are ruled out, which a pair at the limit is with a chance of 0.1 %. A pair comes from the least of its buckets.
+    """
     placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("key")
-    placed = placed.join(mixed, "key")
-    large = placed.groupBy("key", "component").agg(F.count("*").alias("n")).where(F.col("n") > block)
-    placed = placed.join(large, ["key", "component"], "left").withColumn(
-        "part", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)))
-    )
-    blocks = placed.groupBy("key", "component", "part").agg(F.collect_list("node").alias("nodes"))
-    left = blocks.select("key", F.col("component").alias("c"), F.col("nodes").alias("left_nodes"))
-    right = blocks.select("key", F.col("component").alias("d"), F.col("nodes").alias("right_nodes"))
-    met = left.join(right, "key").where("c < d").select(F.explode("left_nodes").alias("p"), "right_nodes")
-    met = met.select("p", F.explode("right_nodes").alias("q"))
-    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    mixed = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("n"))
+    placed = placed.join(mixed.where("mixed").select("key", F.ceil(F.col("n") / block).alias("parts")), "key")
+    held = F.collect_list(F.struct("node", "component", "keys", "sketch"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")
+    blocks = materialize(placed.join(sketches, "node").groupBy("key", part).agg(held.alias("held")), "blocks")
+    left = blocks.select("key", F.col("part").alias("c"), F.col("held").alias("left_held"))
+    right = blocks.select("key", F.col("part").alias("d"), F.col("held").alias("right_held"))
+    met = left.join(right, "key").where("c <= d").select("key", "c", "d", "left_held", "right_held")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for key, c, d, *sides in zip(*(column_of(batch, k).to_pylist() for k in ("key", "c", "d", "left_held", "right_held"))):
+                x, y = (np.array([np.frombuffer(h["sketch"], "<u2") for h in side]) for side in sides)
+                names = {name: k for k, name in enumerate({h["component"] for side in sides for h in side})}
+                in_x, in_y = (np.array([names[h["component"]] for h in side]) for side in sides)
+                keys_x, keys_y = ([frozenset(h["keys"]) for h in side] for side in sides)
+                limit = least - 3 * np.sqrt(least * (1 - least) / x.shape[1])
+                for i, row in enumerate(x):
+                    start = i + 1 if c == d else 0
+                    near = (y[start:] == row).mean(axis=1) >= limit
+                    for j in (start + np.flatnonzero(near & (in_y[start:] != in_x[i]))).tolist():
+                        if key == min(keys_x[i] & keys_y[j]):
+                            p, q = sides[0][i]["node"], sides[1][j]["node"]
+                            found.add((min(p, q), max(p, q)))
+            columns = list(zip(*found)) if found else [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in columns], ["a", "b"])
+
+    return met.mapInArrow(likely, "a binary, b binary").distinct()
 
 
 def _placed(pairs: DataFrame, components: DataFrame, end: str) -> DataFrame:
@@ -296,16 +328,29 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows:
     signed = materialize(signatures(known, idf, bands, rows), "signatures")
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     keyed = signed.where("keys IS NOT NULL").select("node", F.explode("keys").alias("key")).distinct()
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1")
-    members = materialize(keyed.join(shared.select("key", "lead"), "key"), "buckets")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(keyed.join(shared, "key"), "buckets")
+    met = materialize(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
+    first = F.max_by("node", F.struct("met", "node"))
+    lead = members.join(met, "node").groupBy("key").agg(first.alias("lead"), F.max("met").alias("lead_met"))
+    members = materialize(members.join(lead, "key"), "led-buckets")
     wanted = members.select("node").distinct().join(nodes, "node")
     texts = materialize(_texts_of_nodes(known, materialize(wanted, "wanted")), "candidate-texts")
-    leads = materialize(members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "leads")
-    done = materialize(leads.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "least-leads")
+    pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), "lead_met").distinct()
+    leads = materialize(pairs, "leads")
+    best = F.max_by("a", F.struct("lead_met", "a"))
+    done = materialize(leads.groupBy("b").agg(best.alias("a")).select("a", "b"), "best-leads")
+    leads = leads.select("a", "b")
     component = connected_components(materialize(compare(done, texts, idf, least).select("a", "b"), "links"))
     apart = _apart(leads.join(done, ["a", "b"], "left_anti"), component)
     component = _joined(component, compare(apart, texts, idf, least))
-    rest = _between_components(members.select("key", "node"), component).join(leads, ["a", "b"], "left_anti")
+    wanted_nodes = members.select("node").distinct()
+    sketches = signed.where("keys IS NOT NULL").join(wanted_nodes, "node", "left_semi").groupBy("node").agg(
+        F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
+    )
+    rest = _between_components(members.select("key", "node"), sketches, component, least)
+    told = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = materialize(rest.join(told, ["a", "b"], "left_anti"), "rest")
     component = _joined(component, compare(rest, texts, idf, least))
     named = nodes.join(component, "node")
     least_id = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
