@@ -10,9 +10,9 @@ from wattlane.operators.features import build_features
 from wattlane.operators.panel import aggregate_facts
 from wattlane.plans import candidates as C
 from wattlane.plans import panels as P
-from wattlane.plans.model_queries import V1, V1_DAYS, part_digest, prepared, split_v1, weights_sql
+from wattlane.plans.model_queries import V1, V1_DAYS, part_digest, prepared, split_v1
 from wattlane.plans.oracle import (
-    CLEAN, F_DAY, NATION_FACTS, P_DAY, P_HOUR, PART_V1, lag_sql, r, window_sql, with_ctes,
+    F_DAY, NATION_FACTS, P_DAY, P_HOUR, PART_V1, lag_sql, r, window_sql, with_ctes,
 )
 from wattlane.plans.oracle_linear import predict_sql, solve_ctes
 from wattlane.plans.panel_queries import HASH_SQL, nation_wide
