@@ -113,6 +113,20 @@ def test_leaks_equal_alignment_of_all_pairs(spark, docs, texts):
     assert leaked_passages(docs, bench.where("false")).count() == 0 and leaked_passages(docs.where("false"), bench).count() == 0
 
 
+def test_edited_copies_are_found_beside_verbatim_ones(spark):
+    items = [[f"i{k}w{j}" for j in range(42)] for k in range(3)]
+
+    def edited(words, first, step):
+        return ["altered" if j % step == first else w for j, w in enumerate(words)]
+
+    rows = [*items, edited(items[0], 6, 7), edited(items[1], 3, 7), *(edited(items[2], f, 5) for f in (0, 2, 4))]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(rows)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in leaked_passages(docs, bench).collect()}
+    want = {(d, k): local_alignment(w, text) / (2 * len(w)) for d, text in enumerate(rows) for k, w in enumerate(items)}
+    assert got == {pair: s for pair, s in want.items() if s >= 0.5} and len(got) == len(rows)
+
+
 def neighbours_by_brute_force(rows, k):
     ids = np.array([i for i, _ in rows])
     x = np.array([v for _, v in rows], float)

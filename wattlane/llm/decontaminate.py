@@ -1,12 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 1. One pass over the documents finds where n-grams of the benchmark occur. The n-grams are known there by a
    bit table of a fixed size, so the pass costs the same for any benchmark; what the table lets
    through is joined with the n-grams themselves. Hits come out in passages: pieces of at most
    ``PASSAGE`` words around them, which overlap by twice the longest item.
-2. Seeds are the rarest of every ``window`` consecutive n-grams of an item, by the number of
-   hits in all documents, among those that have any. So no stretch of an item is without a seed, however frequent its words,
-   and an unchanged run of n + window - 1 words is always found.
+2. Every n-gram of an item is a seed, however frequent its words. So an unchanged run of n words is always
+   found, whatever other copies of the item there are.
 3. A passage and an item that share a seed are aligned as whole word sequences (match 2, other word -1, gap
    -1). The score is the best local alignment over that of the item with itself.
 
@@ -145,15 +144,15 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     return best >> np.int64(32), unit - 1 - (best & (unit - 1)), end
 
 
-def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n: int = 4, window: int = 4) -> DataFrame:
+def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n: int = 4) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of every leaked pair of document and item.
 
     Words are counted from 0 in the document; ``last_word`` is one past the end.
     """
     items = materialize(benchmark_items(benchmark, n), "items")
-    grams = items.select("item_id", "item_key", F.posexplode("grams").alias("place", "gram"))
+    seeds = items.select("item_id", "item_key", F.explode("grams").alias("gram")).distinct()
     table_at = F.shiftrightunsigned("gram", 64 - TABLE_BITS).cast("int")
-    buckets = grams.select(table_at.alias("b")).distinct().toPandas()["b"].to_numpy(np.int64)
+    buckets = seeds.select(table_at.alias("b")).distinct().toPandas()["b"].to_numpy(np.int64)
     bits = np.zeros(1 << TABLE_BITS, dtype=bool)
     bits[buckets] = True
     reach = int(items.agg(F.max("length")).first()[0] or 0)
@@ -161,20 +160,6 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n
     packed = np.packbits(bits)
 
     passages = materialize(_passages(documents_of(docs), np.unpackbits(packed).astype(bool), n, short, reach), "passages")
-    hits = passages.select("passage", F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("hits"))
-    counted = grams.join(hits, "gram", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
-
-    def choose(key, table):
-        table = table.sort_by("place")
-        hits = table["hits"].to_numpy()
-        rank = np.lexsort((table["gram"].to_numpy(), hits, hits == 0))
-        order = np.empty(len(rank), dtype=np.int64)
-        order[rank] = np.arange(len(rank))
-        span = min(window, len(order))
-        least_in = np.lib.stride_tricks.sliding_window_view(order, span).argmin(axis=1) + np.arange(len(order) - span + 1)
-        return table.take(pa.array(np.unique(least_in))).select(["item_id", "item_key", "gram"])
-
-    seeds = counted.groupBy("item_id", "item_key").applyInArrow(choose, "item_id long, item_key binary, gram long").distinct()
     met = (
         passages.select("passage", F.explode(F.array_distinct("grams")).alias("gram"))
         .join(seeds, "gram")
