@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from wattlane.llm.packing import best_fit, improve, pack
 from wattlane.llm.queries import tokenizer
@@ -22,6 +23,16 @@ def test_pieces_give_the_ids_of_the_whole_text(name, texts):
         assert np.frombuffer(got, coder.dtype).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_unaltered_tokenizer(name):
+    plain = Tokenizer.from_file(tokenizer(name))
+    coder = PieceEncoder(tokenizer(name))
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>"]
+    some = [f"a{x}{m}{x}b {m}{m} c" for m in marks for x in ("", " ", "\n", "\t")] + [*marks, "no mark in this one"]
+    for text, got in zip(some, coder.ids(some), strict=True):
+        assert np.frombuffer(got, coder.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_elias_fano_round_trip_and_single_offsets():
     rng = np.random.default_rng(1)
     for values in ([], [0], [7], [0, 0, 0], [5, 5, 9], np.cumsum(rng.integers(0, 3000, 1000)), np.cumsum(rng.integers(0, 2, 700)), [0, 1 << 40]):

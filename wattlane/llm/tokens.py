@@ -3,8 +3,8 @@
 A byte-level tokenizer splits a text before every white space that follows something else, and
 the word tokenizer drops white space, so a text's ids are those of its blank-separated pieces
 joined together. Pieces repeat; each is encoded once for each cache.
-Pieces beyond the Latin blocks, texts with white space other than blanks and line ends, and
-other kinds of tokenizer take the tokenizer's whole path.
+Pieces beyond the Latin blocks, texts with white space other than blanks and line ends, texts that
+hold an added token such as ``<|endoftext|>`` literally, and other kinds of tokenizer take the tokenizer's whole path.
 """
 
 from __future__ import annotations
@@ -48,14 +48,17 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         with open(path, encoding="utf-8") as f:
             head = json.load(f)
         kinds = [n["type"] for n in (head["normalizer"] or {}).get("normalizers", [])]
         before = head["pre_tokenizer"] or {}
         self.kind = "whole"
-        if before.get("type") == "ByteLevel" and before["use_regex"] and not head["normalizer"]:
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = tuple(t.content for t in added)
+        if any(t.normalized for t in added):
+            pass  # These are found in the normalized text, which pieces do not show.
+        elif before.get("type") == "ByteLevel" and before["use_regex"] and not head["normalizer"]:
             self.kind = "byte"
             self.split = regex.compile(BYTE_LEVEL_SPLIT).findall
         elif kinds == ["NFC", "Replace", "Lowercase"] and head["model"].get("end_of_word_suffix") == "</w>":
@@ -93,7 +96,7 @@ class PieceEncoder:
             if len(self.inner) + len(self.first) + len(self.parts) > CACHE_PIECES:
                 for cache in (self.inner, self.first, self.parts):
                     cache.clear()
-            if _other_space(text):
+            if _other_space(text) or any(token in text for token in self.added):
                 out.append(self._whole(text))
             elif self.kind == "word":
                 out.append(b"".join(map(look, text.replace("\n", " ").split(" "))))
