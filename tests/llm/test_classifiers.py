@@ -78,6 +78,18 @@ def test_statistics_by_hand():
     assert rows[1].sum() == 0 and np.isclose(dict(zip(STATISTICS, rows[2]))["not_ascii"], 1)
 
 
+def test_statistics_do_not_depend_on_the_neighbours():
+    clean = "Some Capital words and others, All of Them here."
+    odd = ["İstanbul Has a dotted İ", "GROẞ and Small", "İ and ẞ Together", "Kelvin is \u212a, Ünïcödé Too"]
+    capitals = STATISTICS.index("capital_words")
+    for other in odd:
+        alone = np.concatenate([document_statistics([t]) for t in (other, clean)])
+        assert np.array_equal(alone, document_statistics([other, clean]))
+        assert np.array_equal(alone[::-1], document_statistics([clean, other]))
+        assert alone[1, capitals] == 4 / 9
+    assert document_statistics(odd)[:, capitals].tolist() == [1 / 5, 2 / 3, 1 / 4, 2 / 5]
+
+
 def test_tree_walk_equals_a_plain_walk():
     rng = np.random.default_rng(0)
     x = rng.random((400, 5))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.llm.common import column_of, crc32_text, documents_of, labelled_sample, slices, texts_of
-from wattlane.llm.words import Words, mix
+from wattlane.llm.words import Words, mix, word_starts
 
 STATISTICS = (
     "log_words", "mean_word", "distinct_words", "repeated_next", "top_word", "distinct_5grams", "upper",
@@ -79,9 +79,8 @@ def document_statistics(texts: Sequence[str]) -> np.ndarray:
     grams, gram_doc, _ = words.grams(5)
     distinct_grams, _ = _distinct(grams, gram_doc, n)
     gram_count = np.bincount(gram_doc, minlength=n)
-    capitals = np.zeros(len(doc))
-    if len(flat) == len(words.bytes):
-        capitals = _UPPER[flat[words.start]]
+    # Lower case can change a text's length in bytes but not which of its characters are in which word.
+    capitals = _UPPER[flat[word_starts(flat)]]
     line_end = np.flatnonzero(words.bytes == 10)
     line = np.searchsorted(line_end, words.start)
     line_first = np.flatnonzero(np.diff(line, prepend=-1))
