@@ -79,6 +79,15 @@ def test_copies_of_an_article_are_no_template(spark):
     assert {r.text for r in got} == {wanted(7)}
 
 
+def test_repeated_runs_leave_marked_articles_but_copies_stay(spark):
+    notice = "<p>Read our new magazine every week</p>"
+    rows = [(i, f"http://a.org/{i}", page(i).replace("</article>", notice + "</article>", 1)) for i in range(6)]
+    rows += [(10 + i, f"http://b.org/{i}", page(7).replace("</article>", notice + "</article>", 1)) for i in range(6)]
+    rows += [(20 + i, f"http://b.org/n{i}", page(20 + i).replace("</article>", notice + "</article>", 1)) for i in range(3)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: wanted(i) for i in range(6)}, **{10 + i: wanted(7) for i in range(6)}, **{20 + i: wanted(20 + i) for i in range(3)}}
+
+
 def test_broken_markup_does_not_stop_a_page():
     for text in ("<", "<article><p>a <b>b</article><p>c", "<!-- open", "<script>x", "<article>a</p></div>b", "<a <b>", "&#0; &bogus; &lt;"):
         article_text(text, {}, None)
