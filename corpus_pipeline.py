@@ -2,8 +2,8 @@
 
 Each stage takes all documents that the one before kept and applies its own decision; all but the
 last return the columns of documents. A classifier learns from the labels of the rows it is given.
-Documents with a null doc_id go through every stage; near-duplicate removal lets them pass. Of
-rows with one doc_id that removal keeps one.
+Near-duplicate removal and decontamination decide by row: a row with a null or repeated doc_id stays or
+goes by its own text. Of rows with equal texts removal keeps one; rows without words all stay.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattlane.llm.common import crc32_text, table, use_package
 from wattlane.llm.decontaminate import leaked_passages
-from wattlane.llm.neardup import near_duplicates
+from wattlane.llm.neardup import row_classes
 from wattlane.llm.packing import pack
 from wattlane.llm.quality import fit_quality, score_quality
 from wattlane.llm.queries import tokenizer
@@ -27,6 +27,12 @@ def _unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def _with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a key of its own for each row, written so that it stays the same, and its name."""
+    name = _unused(docs, "row_key")
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "row-keys"), name
+
+
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     use_package(spark)
@@ -47,20 +53,23 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one of the least doc_id."""
+    """One document of each near-duplicate class: the one of the least doc_id (nulls last)."""
     use_package(spark)
-    classes = materialize(near_duplicates(docs), "classes").where("doc_id IS NOT NULL")
-    stay = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    once = docs.join(stay.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(stay.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.where("doc_id IS NULL"))
+    keyed, key = _with_rows(docs)
+    rows = keyed.select(
+        F.col(key).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    stay = row_classes(rows).where("row = class_row").select(F.col("row").alias(key))
+    return keyed.join(materialize(stay, "stay"), key, "left_semi").select(*docs.columns)
 
 
 def not_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that aligns with a benchmark item."""
     use_package(spark)
-    leaked = leaked_passages(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(materialize(leaked, "leaked"), F.col("doc_id").eqNullSafe(F.col("leaked_id")), "left_anti")
+    keyed, key = _with_rows(docs)
+    leaked = leaked_passages(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaked = leaked.select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(materialize(leaked, "leaked"), key, "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

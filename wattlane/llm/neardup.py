@@ -44,7 +44,7 @@ BUCKETS = 1 << 18
 FREQUENT_SHARE = 0.01
 SPAN = -np.log(FREQUENT_SHARE)
 _TABLE = 1 << 16
-# Rows up to which a table of (node, doc_id) is sent to all tasks rather than shuffled.
+# Rows up to which a table of (node, row) is sent to all tasks rather than shuffled.
 SENT_ROWS = 100_000
 
 
@@ -178,12 +178,12 @@ def frequent_shingles(docs: DataFrame) -> Idf:
 
 
 def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
-    """(doc_id, node, keys, sketch): a node is a text up to case, marks and spacing; keys once for each node and slice."""
+    """(row, doc_id, node, keys, sketch): a node is a text up to case, marks and spacing; keys once for each node and slice."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands, rows)
         for batch in batches:
-            texts, ids = texts_of(batch), column_of(batch, "doc_id")
+            texts, rows_of, ids = texts_of(batch), column_of(batch, "row"), column_of(batch, "doc_id")
             for a, b in slices(texts, 1 << 18):
                 words = Words(texts[a:b])
                 nodes: list[bytes | None] = []
@@ -206,22 +206,23 @@ def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
                         keys[d], sketches[d] = row, sample.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
+                        rows_of.slice(a, b - a),
                         ids.slice(a, b - a),
                         pa.array(nodes, pa.binary()),
                         pa.array(keys, pa.list_(pa.int64())),
                         pa.array(sketches, pa.binary()),
                     ],
-                    ["doc_id", "node", "keys", "sketch"],
+                    ["row", "doc_id", "node", "keys", "sketch"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, node binary, keys array<long>, sketch binary")
+    return docs.mapInArrow(sign, "row long, doc_id long, node binary, keys array<long>, sketch binary")
 
 
 def _texts_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in ``wanted`` (node, doc_id)."""
+    """(node, text) of the nodes in ``wanted`` (node, row)."""
     if wanted.count() <= SENT_ROWS:
         wanted = F.broadcast(wanted)
-    return docs.join(wanted, "doc_id").select("node", "text")
+    return docs.join(wanted, "row").select("node", "text")
 
 
 def compare(pairs: DataFrame, texts: DataFrame, idf: Idf, least: float) -> DataFrame:
@@ -317,16 +318,29 @@ def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(old.unionByName(single), "components")
 
 
+def rows_of_documents(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text) with a key of its own for each row, written so that it stays the same."""
+    return materialize(documents_of(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows: int = 6) -> DataFrame:
     """(doc_id, class_id): the class of a document is the least doc_id in it.
 
     With 20 bands of 6 samples a pair at the limit shares a bucket with a chance of 99.8 %.
     """
-    every = documents_of(docs)
-    known = every.where("doc_id IS NOT NULL")
+    every = rows_of_documents(docs)
+    out = row_classes(every.where("doc_id IS NOT NULL"), least, bands, rows).select("doc_id", "class_id")
+    return out.unionByName(every.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id")))
+
+
+def row_classes(known: DataFrame, least: float = 0.8, bands: int = 20, rows: int = 6) -> DataFrame:
+    """(row, doc_id, class_row, class_id) of a table of (row, doc_id, text) with distinct rows.
+
+    A class has the name of its row of least doc_id (nulls last), then of least row.
+    """
     idf = frequent_shingles(known)
     signed = materialize(signatures(known, idf, bands, rows), "signatures")
-    nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row")).alias("who"))
     keyed = signed.where("keys IS NOT NULL").select("node", F.explode("keys").alias("key")).distinct()
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(keyed.join(shared, "key"), "buckets")
@@ -334,7 +348,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows:
     first = F.max_by("node", F.struct("met", "node"))
     lead = members.join(met, "node").groupBy("key").agg(first.alias("lead"), F.max("met").alias("lead_met"))
     members = materialize(members.join(lead, "key"), "led-buckets")
-    wanted = members.select("node").distinct().join(nodes, "node")
+    wanted = members.select("node").distinct().join(nodes, "node").select("node", "who.row")
     texts = materialize(_texts_of_nodes(known, materialize(wanted, "wanted")), "candidate-texts")
     pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), "lead_met").distinct()
     leads = materialize(pairs, "leads")
@@ -353,8 +367,8 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows:
     rest = materialize(rest.join(told, ["a", "b"], "left_anti"), "rest")
     component = _joined(component, compare(rest, texts, idf, least))
     named = nodes.join(component, "node")
-    least_id = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    classes = named.join(least_id, "component").select("node", "class_id")
-    own = signed.select("doc_id", "node").join(nodes.withColumnRenamed("doc_id", "node_id"), "node", "left").join(classes, "node", "left")
-    out = own.select("doc_id", F.coalesce("class_id", "node_id", "doc_id").alias("class_id"))
-    return out.unionByName(every.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id")))
+    least_who = named.groupBy("component").agg(F.min("who").alias("class"))
+    classes = named.join(least_who, "component").select("node", "class")
+    own = signed.select("row", "doc_id", "node").join(nodes, "node", "left").join(classes, "node", "left")
+    own = own.withColumn("class", F.coalesce("class", "who", F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row")))
+    return own.select("row", "doc_id", F.col("class.row").alias("class_row"), F.col("class.doc_id").alias("class_id"))
