@@ -112,3 +112,24 @@ def test_backoff_equals_counters(docs, no_docs):
     for a, b in zip(sorted(got), sorted(want), strict=True):
         assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-6)
     assert backoff_scores(no_docs).count() == 0
+
+
+@pytest.mark.parametrize(("order", "least_count"), [(3, 1), (4, 2)])
+def test_backoff_of_higher_orders_equals_counters(docs, monkeypatch, order, least_count):
+    monkeypatch.setattr("wattlane.llm.lmscore.PART_WORDS", 1000)
+    rows = [(-1 if r.doc_id is None else r.doc_id, WORD.findall((r.text or "").lower())) for r in docs.collect()]
+    seen = Counter(tuple(x[k : k + m]) for _, x in rows for m in range(1, order + 1) for k in range(len(x) - m + 1))
+    n = sum(len(x) for _, x in rows)
+
+    def log_score(gram):
+        if len(gram) == 1:
+            return math.log(seen[gram] / n)
+        if seen[gram] >= least_count:
+            return math.log(seen[gram] / seen[gram[:-1]])
+        return math.log(0.4) + log_score(gram[1:])
+
+    want = [(i, len(x), sum(log_score(tuple(x[max(0, k - order + 1) : k + 1])) for k in range(len(x))) if x else 1.0) for i, x in rows]
+    got = backoff_scores(docs, least_count=least_count, order=order).collect()
+    got = [(-1 if r.doc_id is None else r.doc_id, r.n_words, 1.0 if r.log_score is None else r.log_score) for r in got]
+    for a, b in zip(sorted(got), sorted(want), strict=True):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9)
