@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from wattlane.llm.packing import best_fit, improve, pack
+from wattlane.llm.packing import best_fit, improve, pack, token_pieces
 from wattlane.llm.queries import tokenizer
 from wattlane.llm.token_files import EliasFano, ShardReader, read_token_files, shard_image, token_images, write_token_files
 from wattlane.llm.tokens import PieceEncoder
@@ -82,6 +82,12 @@ def test_packing_keeps_every_piece_without_gaps(spark, docs, no_docs):
     assert pack(no_docs, tokenizer("word_bpe_49k.json")).count() == 0
 
 
+def test_equal_rows_spread_over_the_groups(spark):
+    same = spark.createDataFrame([(None, "")] * 400, "doc_id long, text string")
+    draws = [r.draw % 4 for r in token_pieces(same, tokenizer("word_bpe_49k.json"), 64).collect()]
+    assert len(draws) == 400 and all(60 <= draws.count(k) <= 140 for k in range(4))
+
+
 def test_local_search_beats_best_fit_where_it_can():
     rng = np.random.default_rng(5)
     better = 0

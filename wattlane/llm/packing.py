@@ -33,8 +33,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
     """Pieces of at most ``capacity`` ids; only documents longer than that are cut."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         coder = encoder(tokenizer_path)
         end = np.array([end_id], dtype=coder.dtype).tobytes()
+        part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts, keys = texts_of(batch), column_of(batch, "doc_id").to_pylist()
             for a, b in slices(texts):
@@ -42,9 +45,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
                 for key, got in zip(keys[a:b], coder.ids(texts[a:b])):
                     ids = np.frombuffer(got + end, dtype=coder.dtype)
                     for k, at in enumerate(range(0, len(ids), capacity)):
-                        part = ids[at : at + capacity]
-                        rows.append((key, k, at, len(part), crc_of_ids(part)))
-                doc, piece, start, length, crc = zip(*rows)
+                        piece_ids = ids[at : at + capacity]
+                        rows.append((key, k, at, len(piece_ids), crc_of_ids(piece_ids), part << 40 | number))
+                        number += 1
+                doc, piece, start, length, crc, row = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(doc, pa.int64()),
@@ -52,12 +56,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
                         pa.array(start, pa.int64()),
                         pa.array(length, pa.int64()),
                         pa.array(crc, pa.int64()),
+                        pa.array(row, pa.int64()),
                     ],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"],
+                    ["doc_id", "piece", "start", "length", "ids_crc32", "row"],
                 )
 
-    found = documents_of(docs).mapInArrow(cut, PIECES.removesuffix(", draw long"))
-    return found.withColumn("draw", F.xxhash64("doc_id", "piece", "ids_crc32"))
+    found = documents_of(docs).mapInArrow(cut, PIECES.replace("draw", "row"))
+    # The row number spreads equal rows over all groups; the table that ``pack`` writes keeps it fixed.
+    return found.withColumn("draw", F.xxhash64("doc_id", "piece", "ids_crc32", "row")).drop("row")
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
