@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import chat, decontaminate, extract, lmscore, nearest, neardup, packing, quality, token_files, toxicity
+from wattlane.llm import chat, decontaminate, extract, infill, lmscore, nearest, neardup, packing, quality, token_files, toxicity
 from wattlane.llm.common import table, use_package
-from wattlane.session import scratch_path
+from wattlane.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +91,13 @@ def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trigrams with all counts; rounded, since partial sums are added in any order."""
     scores = lmscore.backoff_scores(table(spark, sf_dir, "documents"), least_count=1, order=3)
     return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames are written first, as a store of texts is; the forms are made and read from there."""
+    framed = materialize(infill.frame_texts(table(spark, sf_dir, "documents")), "frames")
+    return infill.stream_digests(infill.fill_in_middle(framed))
+
+
+ORACLES["op12_fill_in_middle"] = infill.oracle_sql()
