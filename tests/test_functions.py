@@ -104,3 +104,17 @@ def test_weighted_quantiles_equal_repeated_rows(spark):
     values = [v for v, n in rows for _ in range(n)]
     row = exact_quantiles(df, "v", {"a": 0.25, "b": 0.5, "c": 0.9}, weight="n").first()
     assert list(row) == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.9])))
+
+
+def test_discard_deletes_only_the_tables_that_are_read(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from wattlane.session import discard, materialize
+
+    one, two = materialize(spark.range(5), "one"), materialize(spark.range(7), "two")
+    paths = [Path(urlparse(df.inputFiles()[0]).path).parent for df in (one, two)]
+    discard(one.where("id > 2"), spark.range(3).toDF("id"))
+    assert not paths[0].exists() and two.count() == 7
+    discard(two)
+    assert not paths[1].exists()

@@ -61,10 +61,25 @@ def clear_scratch(spark: SparkSession) -> None:
 
     Results that still read them must have been written or collected before.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _made.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the intermediate tables of this process that ``frames`` scan.
+
+    Called when what was made of them has been written, so that no later job, a retried one neither, reads them.
+    """
+    for df in frames:
+        read = {file.rsplit("/", 2)[-2] for file in df.inputFiles()}
+        for path in [p for p in _made if p.rsplit("/", 1)[-1] in read]:
+            _made.remove(path)
+            _delete(df.sparkSession, path)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
