@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import chat, decontaminate, extract, infill, lmscore, nearest, neardup, packing, quality, token_files, toxicity
+from wattlane.llm import chat, decontaminate, extract, infill, lmscore, nearest, neardup, packing, quality, shallot, token_files, toxicity
 from wattlane.llm.common import table, use_package
 from wattlane.session import materialize, scratch_path
 
@@ -101,3 +101,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_fill_in_middle"] = infill.oracle_sql()
+
+
+@query
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.cluster_digests(*shallot.cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
+ORACLES["op11_shallot_clusters"] = shallot.oracle_sql()
