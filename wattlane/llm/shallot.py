@@ -376,13 +376,13 @@ def cluster_digests(assigned: DataFrame, centroids: list[list[int]]) -> DataFram
 
 def oracle_sql(k: int = 40, rounds: int = 5) -> str:
     """The same clusters by comparison of all vectors with all centroids, round by round, in DuckDB."""
-    squares = "list_sum(list_transform(list_zip(r.v, c.v), p -> (p[1] - p[2]) * (p[1] - p[2])))::bigint"
+    squares = "list_sum(list_transform(list_zip(r.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint"
     parts = [
         """rows AS MATERIALIZED (
       SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id,
-        list_transform(embedding, x -> floor(256 * x::double)::bigint) AS v
+        list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v
       FROM embeddings
-      WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = 64)""",
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
         f"""c0 AS MATERIALIZED (
       SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS j, v FROM rows
       ORDER BY sha256('2:' || vec_id) LIMIT {k})""",
