@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm import chat, decontaminate, extract, infill, lmscore, nearest, neardup, packing, quality, shallot, token_files, toxicity
+from wattlane.llm import chat, decontaminate, extract, infill, lmscore, nearest, neardup, packing, quality, shallot, token_files, toxicity, vecdup
 from wattlane.llm.common import table, use_package
 from wattlane.session import materialize, scratch_path
 
@@ -109,3 +109,11 @@ def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_shallot_clusters"] = shallot.oracle_sql()
+
+
+@query
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+ORACLES["op13_near_vectors"] = vecdup.oracle_sql()
