@@ -15,6 +15,7 @@ A vector looks for links in its own cell and in each cell whose border lies at m
 the hyperplane between the two centroids). A link at the threshold points from a vector in any direction;
 ``reach`` is ``spread`` standard deviations of such a direction's part across the border, and never
 more than the sine of the angle, from where on nothing can be missed. ``spread=None`` takes the sine always.
+Either vector may look in the other's cell, so a link is missed only beyond twice the reach.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing: 0 links, a component of
 their own. Vectors of different lengths do not link. Components of any finite size: vectors are scaled by a
@@ -49,6 +50,7 @@ GATHERED = (
     "radius double, weight long, probes array<int>"
 )
 MET = "kind int, a long, b long, n long"
+ASKING_BLOCKS = 8  # asking rows of a task in blocks, so that a cell's own rows travel less often
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -305,7 +307,13 @@ def meet(gathered: DataFrame, cells: Cells, block: int) -> DataFrame:
     sizes = own.groupBy("dim", "cell").agg(F.count("*").alias("own"))
     sizes = sizes.join(asking.groupBy("dim", "cell").agg(F.count("*").alias("asking")), ["dim", "cell"])
     cuts = materialize(
-        sizes.select("dim", "cell", *(F.ceil(F.col(c) / block).cast("int").alias(f"{c}_parts") for c in ("own", "asking"))), "cell-cuts"
+        sizes.select(
+            "dim",
+            "cell",
+            F.ceil(F.col("own") / block).cast("int").alias("own_parts"),
+            F.ceil(F.col("asking") / (ASKING_BLOCKS * block)).cast("int").alias("asking_parts"),
+        ),
+        "cell-cuts",
     )
 
     def parts(df: DataFrame, mine: str, other: str) -> DataFrame:
@@ -320,41 +328,40 @@ def meet(gathered: DataFrame, cells: Cells, block: int) -> DataFrame:
     keys = ["dim", "cell", "own_part", "asking_part"]
 
     def compare(key, here, there):
-        none = np.zeros(0, dtype=np.int64)
-        if not here.num_rows or not there.num_rows:
-            return _results((COUNT, none, None, None))
         dim, cell = key[0].as_py(), key[1].as_py()
-        x, y = (matrix_of(t.column("embedding"), dim) for t in (here, there))
-        (idx, rx, wx), (idy, ry, wy) = ([t.column(c).to_numpy() for c in ("entity", "radius", "weight")] for t in (here, there))
-        linked, unsure = _relations(x, y, rx, ry, cells.least)
-        linked &= idx[:, None] != idy[None]
-        unsure &= idx[:, None] != idy[None]
-        home = there.column("home").to_numpy()
+        if not here.num_rows or not there.num_rows:
+            return _results((COUNT, np.zeros(0, dtype=np.int64), None, None))
+        x = matrix_of(here.column("embedding"), dim)
+        idx, rx, wx = (here.column(c).to_numpy() for c in ("entity", "radius", "weight"))
         # A pair that meets in both cells counts in the one of the lower number.
         width = len(cells.centre.get(dim, ())) + 1
         lists = here.column("probes").combine_chunks()
         seen = np.repeat(np.arange(len(idx)), np.asarray(lists.value_lengths())) * width + lists.flatten().to_numpy()
-        i, j = np.nonzero(linked | unsure)
-        again = (home[j] < cell) & np.isin(i * width + home[j], seen)
-        i, j = i[~again], j[~again]
-        local = home[j] == cell
-        sure = linked[i, j]
-        # Pairs of the same cell meet twice, once from each side; others once, and count for both.
-        number = np.bincount(i[sure], weights=wy[j[sure]], minlength=len(idx)).astype(np.int64)
-        far = sure & ~local
-        back = np.bincount(j[far], weights=wx[i[far]], minlength=len(idy)).astype(np.int64)
-        a, b = idx[i], idy[j]
-        stars = _stars(a[sure], b[sure])
-        once = ~sure & (~local | (a < b))
-        i, j, a, b = i[once], j[once], a[once], b[once]
-        # The heavier one is the ball that the members of the other are compared with.
-        swap = (ry[j] >= 0) & ((rx[i] < 0) | (wy[j] > wx[i]))
-        return _results(
-            (COUNT, idx[number > 0], None, number[number > 0]),
-            (COUNT, idy[back > 0], None, back[back > 0]),
-            (LINK, *stars, None),
-            (OPEN, np.where(swap, b, a), np.where(swap, a, b), None),
-        )
+        number = np.zeros(len(idx), dtype=np.int64)
+        out = []
+        for start in range(0, there.num_rows, block):
+            asking = there.slice(start, block)
+            y = matrix_of(asking.column("embedding"), dim)
+            idy, ry, wy, home = (asking.column(c).to_numpy() for c in ("entity", "radius", "weight", "home"))
+            linked, unsure = _relations(x, y, rx, ry, cells.least)
+            i, j = np.nonzero((linked | unsure) & (idx[:, None] != idy[None]))
+            again = (home[j] < cell) & np.isin(i * width + home[j], seen)
+            i, j = i[~again], j[~again]
+            local, sure = home[j] == cell, linked[i, j]
+            # Pairs of the same cell meet twice, once from each side; others once, and count for both.
+            number += np.bincount(i[sure], weights=wy[j[sure]], minlength=len(idx)).astype(np.int64)
+            far = sure & ~local
+            back = np.bincount(j[far], weights=wx[i[far]], minlength=len(idy)).astype(np.int64)
+            once = ~sure & (~local | (idx[i] < idy[j]))
+            a, b = idx[i[once]], idy[j[once]]
+            # The heavier one is the ball that the members of the other are compared with.
+            swap = (ry[j[once]] >= 0) & ((rx[i[once]] < 0) | (wy[j[once]] > wx[i[once]]))
+            out += [
+                (COUNT, idy[back > 0], None, back[back > 0]),
+                (LINK, *_stars(idx[i[sure]], idy[j[sure]]), None),
+                (OPEN, np.where(swap, b, a), np.where(swap, a, b), None),
+            ]
+        return _results((COUNT, idx[number > 0], None, number[number > 0]), *out)
 
     return parts(own, "own", "asking").groupBy(*keys).cogroup(parts(asking, "asking", "own").groupBy(*keys)).applyInArrow(compare, MET)
 
@@ -395,7 +402,7 @@ def near_vectors(
     cell_rows: int = 2048,
     block: int = 2048,
     smallest: int = 8,
-    spread: float | None = 3.5,
+    spread: float | None = 2.0,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row."""
     rows = usable(vectors, key, vector)
