@@ -118,3 +118,35 @@ def test_discard_deletes_only_the_tables_that_are_read(spark):
     assert not paths[0].exists() and two.count() == 7
     discard(two)
     assert not paths[1].exists()
+
+
+def test_quantiles_narrow_until_bins_fit(spark):
+    from wattlane.functions.quantiles import narrow
+
+    # A million distinct values within 0.1 % and one value a third of the rows.
+    df = spark.range(1_000_000).select(
+        F.lit("dense").alias("g"), (F.lit(1000.0) + F.col("id") / 1e6).alias("_v"), F.lit(1).cast("bigint").alias("_n")
+    )
+    hot = spark.range(500_000).select(F.lit("hot"), F.lit(7.25), F.lit(1).cast("bigint"))
+    df = df.union(hot).cache()
+    probs = {"a": 0.25, "b": 0.5, "c": 0.999999}
+    found = narrow(df, ["g"], list(probs.values()), limit=1000)
+    sizes = [r["count"] for part in found.to_sort for r in part.groupBy("g", "_parent", "_bin").count().collect()]
+    assert len(found.to_sort) > 1 and sizes and max(sizes) <= 1000
+    assert [r.g for r in found.points.select("g").distinct().collect()] == ["hot"]
+    got = {r.g: r for r in exact_quantiles(df, "_v", probs, ["g"], limit=1000).collect()}
+    values = 1000 + np.arange(1_000_000) / 1e6
+    for name, p in probs.items():
+        assert got["hot"][name] == 7.25 and got["dense"][name] == pytest.approx(np.quantile(values, p), rel=1e-15)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.sampled_from([0.0, -0.0, 1.5, 1.5000001, -3.0, 5e-324, -1e-310, 1e300, -1e308, 2.0**-1030]), min_size=1, max_size=40), st.integers(1, 4))
+def test_quantiles_of_extreme_values_at_any_limit(spark, values, limit):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    row = exact_quantiles(df, "v", {"a": 0.0, "b": 0.3, "c": 1.0}, limit=limit).first()
+    low = np.sort(values)
+    place = 0.3 * (len(values) - 1)
+    a, b = low[int(np.floor(place))], low[int(np.ceil(place))]
+    assert (row.a, row.c) == (min(values), max(values))
+    assert row.b == pytest.approx(a + (b - a) * (place - np.floor(place)), rel=1e-12, abs=0)

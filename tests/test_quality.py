@@ -119,3 +119,48 @@ def test_drift_of_a_shifted_feature(make_panel):
     assert rows["moved"].drifted and rows["moved"].ks == pytest.approx(0.4)
     assert rows["moved"].wasserstein == pytest.approx(20 / np.std(same), rel=0.01)
     assert rows["moved"].drift_share == 0.5 and rows["moved"].dataset_drift
+
+
+def test_block_lags_equal_pairs_of_rows(spark):
+    import numpy as np
+
+    from wattlane.functions import lagged
+
+    rng = np.random.default_rng(8)
+    x = np.cumsum(rng.normal(size=900)) + 1e6
+    gone = rng.random(900) < 0.1
+    series = spark.createDataFrame([(i, None if g else float(v)) for i, (v, g) in enumerate(zip(x, gone))], "pos long, value double").where("pos not in (5, 6, 400)")
+    lags = [1, 2, 24, 130, 167, 898, 950]
+    block, lagged.BLOCK = lagged.BLOCK, 64
+    try:
+        got = {r.lag: r.autocorrelation for r in lagged.lag_correlations(series, lags).collect()}
+    finally:
+        lagged.BLOCK = block
+    x[gone | np.isin(np.arange(900), [5, 6, 400])] = np.nan
+    for k in lags[:5]:
+        both = ~np.isnan(x[k:]) & ~np.isnan(x[:-k])
+        assert got[k] == pytest.approx(np.corrcoef(x[k:][both], x[:-k][both])[0, 1], abs=1e-8)
+    assert 950 not in got
+    flat = spark.range(100).select(F.col("id").alias("pos"), F.lit(0.1).alias("value"))
+    assert all(np.isnan(r.autocorrelation) for r in lagged.lag_correlations(flat, [1, 5]).collect())
+    plan = lagged.lag_correlations(series, list(range(1, 800)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1
+
+
+def test_drift_equals_a_plain_version(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    ref, cur = np.round(rng.normal(0, 1, 700), 2), np.round(rng.normal(0.3, 2, 400), 2)
+    few = (np.repeat([0.0, 5.0], [350, 350]), np.tile([1.0, 2.5, 4.0, 9.0], 100))
+    rows = [("train", float(a), float(b), None) for a, b in zip(ref, few[0])] + [("test", float(a), float(b), float("nan")) for a, b in zip(cur, few[1])]
+    got = {r.feature: r for r in drift_report(spark.createDataFrame(rows, "part string, a double, b double, c double"), ["a", "b", "c"]).collect()}
+    assert set(got) == {"a", "b"}
+    for name, (p, q) in {"a": (ref, cur), "b": few}.items():
+        edges = np.quantile(p, np.arange(1, 10) / 10)
+        counts = [np.bincount((edges[None] < v[:, None]).sum(1), minlength=10) for v in (p, q)]
+        a, b = ((c + 0.5) / (c.sum() + 5.0) for c in counts)
+        assert got[name].psi == pytest.approx(((b - a) * np.log(b / a)).sum(), rel=1e-12)
+        lo, hi = min(p.min(), q.min()), max(p.max(), q.max())
+        shares = [np.cumsum(np.bincount(np.minimum((v - lo) // ((hi - lo) / 1000), 999).astype(int), minlength=1000)) / len(v) for v in (p, q)]
+        assert got[name].ks == pytest.approx(np.abs(shares[0] - shares[1]).max(), abs=1e-12)

@@ -2,18 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+import math
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlane.functions.gram import Summary, collected, summarize
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.operators.profiles import bin_index
 from wattlane.schema import PART
-from wattlane.session import materialize
 
 BINS = 1000
 COLUMN_THRESHOLD = 0.1
 DATASET_THRESHOLD = 0.5
+REPORT = "feature string, ks double, wasserstein double, psi double, drifted boolean, drift_share double, dataset_drift boolean"
+
+
+def _histograms(lows: np.ndarray, highs: np.ndarray) -> Summary:
+    """Counts of both parts and the least value of every bin and feature, from (is reference, features).
+
+    The state has one block of (reference, current, least value) rows of ``BINS`` bins for each feature.
+    """
+    width = (highs - lows) / BINS
+
+    def local(x: np.ndarray) -> np.ndarray:
+        own = x[:, 0] == 1
+        out = np.zeros((len(lows), 3, BINS))
+        out[:, 2] = np.inf
+        for i in range(len(lows)):
+            there = ~np.isnan(x[:, i + 1])
+            v = x[there, i + 1]
+            place = np.minimum(np.floor((v - lows[i]) / width[i]), BINS - 1).astype(np.int64) if width[i] > 0 else np.zeros(len(v), dtype=np.int64)
+            out[i, 0] = np.bincount(place[own[there]], minlength=BINS)
+            out[i, 1] = np.bincount(place[~own[there]], minlength=BINS)
+            np.minimum.at(out[i, 2], place, v)
+        return out.ravel()
+
+    def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        a, b = a.reshape(-1, 3, BINS), b.reshape(-1, 3, BINS)
+        return np.concatenate([a[:, :2] + b[:, :2], np.minimum(a[:, 2:], b[:, 2:])], axis=1).ravel()
+
+    return Summary(local, merge)
+
+
+def _decile_bins(ref: np.ndarray) -> np.ndarray:
+    """Bins in which a decile of the reference falls, or between which it does."""
+    places = np.arange(1, 10) / 10 * (ref.sum() - 1)
+    first, last = (np.searchsorted(np.cumsum(ref), side(places), side="right") for side in (np.floor, np.ceil))
+    return np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)]))
 
 
 def drift_report(
@@ -23,104 +60,70 @@ def drift_report(
 
     Both parts are binned over shared edges, so the distance between the two
     distribution functions is taken over at most ``BINS`` rows per feature. PSI uses the
-    exact deciles of the reference with half a row added to each count.
+    exact deciles of the reference with half a row added to each count. One pass finds the limits, a
+    second one all histograms; only values of the bins in which a decile falls are looked at once more.
+    Null and NaN values are left out; a feature without values has no row.
     """
-    # Equal readings are counted once here; everything below reads these counts.
-    counts = materialize(
-        df.where(F.col(PART).isin(reference, current))
-        .select(PART, *[F.col(c).cast("double").alias(c) for c in features])
-        .unpivot([PART], features, "feature", "x")
-        .where(F.col("x").isNotNull())
-        .groupBy("feature", "x")
-        .agg(
-            F.count_if(F.col(PART) == reference).alias("ref"),
-            F.count_if(F.col(PART) == current).alias("cur"),
-        ),
-        "counts",
-    )
-    spans = counts.groupBy("feature").agg(
-        F.min("x").alias("lo"),
-        F.max("x").alias("hi"),
-        F.sum("ref").alias("n_ref"),
-        F.sum("cur").alias("n_cur"),
-    )
-    spread = (
-        df.where(F.col(PART) == reference)
-        .agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in features])
-        .unpivot([], features, "feature", "sigma")
-    )
-    deciles = exact_quantiles(
-        counts.where(F.col("ref") > 0),
-        "x",
-        {f"d{i}": i / 10 for i in range(1, 10)},
-        ["feature"],
-        weight="ref",
-    )
-    # One row per feature of the table.
-    limits = F.broadcast(spans.join(spread, "feature").join(deciles, "feature"))
-    binned = (
-        counts.join(limits, "feature")
-        .withColumn("bin", bin_index(F.col("x"), F.col("lo"), F.col("hi"), BINS))
-        .withColumn("decile", _decile())
-        .groupBy("feature", "bin", "decile")
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
-    )
-    return _summarise(_distances(binned, limits), _psi(binned, limits))
-
-
-def _decile() -> Column:
-    above = [F.when(F.col(f"d{i}") < F.col("x"), 1).otherwise(0) for i in range(1, 10)]
-    return sum(above[1:], above[0])
-
-
-def _distances(binned: DataFrame, limits: DataFrame) -> DataFrame:
-    upto = W.partitionBy("feature").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
-    after = W.partitionBy("feature").orderBy("bin")
-    width = (F.col("hi") - F.col("lo")) / F.lit(BINS)
-    gaps = (
-        binned.groupBy("feature", "bin")
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
-        .join(limits, "feature")
-        .withColumn(
-            "gap",
-            F.abs(
-                F.sum("ref").over(upto) / F.col("n_ref") - F.sum("cur").over(upto) / F.col("n_cur")
-            ),
-        )
-        # Bins without rows repeat the gap of the last bin that has some.
-        .withColumn("span", F.coalesce(F.lead("bin").over(after), F.lit(BINS)) - F.col("bin"))
-        .withColumn("area", F.col("gap") * F.col("span") * width)
-    )
-    return gaps.groupBy("feature").agg(
-        F.max("gap").alias("ks"),
-        F.when(F.max("sigma") > 0, F.sum("area") / F.max("sigma")).alias("wasserstein"),
-    )
-
+    spark = df.sparkSession
+    own = (F.col(PART) == reference).cast("double").alias("_ref")
+    numbers = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"_f{i}") for i, c in enumerate(features)]
+    rows = df.where(F.col(PART).isin(reference, current)).select(own, *numbers)
+    names = [f"_f{i}" for i in range(len(features))]
+    sides = rows.agg(
+        *(f(c).alias(f"{f.__name__}{c}") for c in names for f in (F.min, F.max)),
+        *(F.stddev_pop(F.when(F.col("_ref") == 1, F.col(c))).alias(f"s{c}") for c in names),
+    ).first()
+    kept = [i for i, c in enumerate(names) if sides[f"min{c}"] is not None]
+    if not kept:
+        return spark.createDataFrame([], REPORT)
+    lows, highs = (np.array([sides[f"{f}{names[i]}"] for i in kept]) for f in ("min", "max"))
+    summary = _histograms(lows, highs)
+    state = collected(summarize(rows, ["_ref", *(names[i] for i in kept)], summary), [], summary)[()]
+    tables = state.reshape(len(kept), 3, BINS)
 
-def _psi(binned: DataFrame, limits: DataFrame) -> DataFrame:
-    ref = (F.col("ref") + 0.5) / (F.col("n_ref") + 5.0)
-    cur = (F.col("cur") + 0.5) / (F.col("n_cur") + 5.0)
-    term = (cur - ref) * F.log(cur / ref)
-    every = limits.select(
-        "feature", "n_ref", "n_cur", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("decile")
-    )
-    counts = binned.groupBy("feature", "decile").agg(
-        F.sum("ref").alias("ref"), F.sum("cur").alias("cur")
-    )
-    return (
-        every.join(counts, ["feature", "decile"], "left")
-        .fillna(0, ["ref", "cur"])
-        .groupBy("feature")
-        .agg(F.sum(term).alias("psi"))
+    hits = [_decile_bins(t[0]) if t[0].sum() else np.zeros(0, dtype=np.int64) for t in tables]
+    found = F.array(
+        *(
+            F.struct(
+                F.lit(k).alias("k"),
+                F.col(names[i]).alias("x"),
+                bin_index(F.col(names[i]), F.lit(float(lows[k])), F.lit(float(highs[k])), BINS).isin(hits[k].tolist()).alias("hit"),
+            )
+            for k, i in enumerate(kept)
+        )
     )
+    close = rows.select("_ref", F.explode(F.filter(found, lambda f: f["hit"])).alias("f"))
+    close = close.groupBy("f.k", "f.x").agg(F.count_if(F.col("_ref") == 1).alias("ref"), F.count_if(F.col("_ref") == 0).alias("cur"))
+    # Every other bin stands for all its rows with its least value: no decile lies between two of them.
+    far = [
+        (k, float(t[2, b]), int(t[0, b]), int(t[1, b]))
+        for k, t in enumerate(tables)
+        for b in np.flatnonzero(t[0] + t[1])
+        if b not in hits[k]
+    ]
+    counts = close.unionByName(spark.createDataFrame(far, "k int, x double, ref long, cur long"))
+    tenths = {f"d{i}": i / 10 for i in range(1, 10)}
+    deciles = {r["k"]: [r[d] for d in tenths] for r in exact_quantiles(counts.where(F.col("ref") > 0), "x", tenths, ["k"], weight="ref").collect()}
+    edges = spark.createDataFrame(list(deciles.items()), "k int, edges array<double>")
+    # One row for each feature.
+    placed = counts.join(F.broadcast(edges), "k").withColumn("decile", F.size(F.filter("edges", lambda e: e < F.col("x"))))
+    parts = {k: np.zeros((2, 10)) for k in deciles}
+    for r in placed.groupBy("k", "decile").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")).collect():
+        parts[r["k"]][:, r["decile"]] = r["ref"], r["cur"]
 
-
-def _summarise(distances: DataFrame, psi: DataFrame) -> DataFrame:
-    table = distances.join(psi, "feature").withColumn(
-        "drifted", F.coalesce(F.col("wasserstein") >= COLUMN_THRESHOLD, F.lit(False))
-    )
-    everything = W.partitionBy()  # one row per feature
-    share = F.avg(F.col("drifted").cast("double")).over(everything)
-    return table.withColumn("drift_share", share).withColumn(
-        "dataset_drift", F.col("drift_share") >= DATASET_THRESHOLD
-    )
+    report = []
+    for k, i in enumerate(kept):
+        ref, cur, _ = tables[k]
+        sigma = sides[f"s{names[i]}"]
+        ks = distance = psi = None
+        if ref.sum() and cur.sum():
+            gap = np.abs(np.cumsum(ref) / ref.sum() - np.cumsum(cur) / cur.sum())
+            first = int(np.flatnonzero(ref + cur)[0])
+            ks = float(gap.max())
+            distance = float(gap[first:].sum() * (highs[k] - lows[k]) / BINS / sigma) if sigma and sigma > 0 else None
+        if k in parts:
+            a, b = (parts[k] + 0.5) / (parts[k].sum(axis=1, keepdims=True) + 5.0)
+            psi = math.fsum((b - a) * np.log(b / a))
+        report.append((features[i], ks, distance, psi, distance is not None and distance >= COLUMN_THRESHOLD))
+    share = sum(r[-1] for r in report) / len(report)
+    return spark.createDataFrame([(*r, share, share >= DATASET_THRESHOLD) for r in report], REPORT)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.functions.columns import weekday_name
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.operators.features import persistence_errors
-from wattlane.operators.filters import label_slice
+from wattlane.operators.filters import in_years, label_slice
 from wattlane.operators.profiles import histogram, histogram_2d, histogram_density, quantile_bins
 from wattlane.operators.profiles import year_stats
 from wattlane.schema import SERIES, TS, VALUE
@@ -171,23 +173,14 @@ def beats_naive(
     )
 
 
-def drift_by_year(
-    df: DataFrame, columns: list[str], years: list[int], bins: int = 20
-) -> tuple[DataFrame, DataFrame]:
-    """Statistics and density histogram of each column in each year."""
-    cut = df.withColumn("year", F.year(TS).cast("bigint")).where(F.col("year").isin(years))
-    stats, shapes = [], []
-    for name in columns:
-        stats.append(
-            year_stats(df, years, name).select(F.lit(name).alias("column"), "*")
-        )
-        shapes.append(
-            histogram_density(cut, "year", name, bins).select(F.lit(name).alias("column"), "*")
-        )
-    first, *rest = stats
-    shape, *others = shapes
-    for other in rest:
-        first = first.unionByName(other)
-    for other in others:
-        shape = shape.unionByName(other)
-    return first, shape
+def year_drift_stats(df: DataFrame, columns: list[str], years: list[int]) -> DataFrame:
+    """Statistics of each column in each year."""
+    stats = [year_stats(df, years, name).select(F.lit(name).alias("column"), "*") for name in columns]
+    return reduce(DataFrame.unionByName, stats)
+
+
+def year_drift_densities(df: DataFrame, columns: list[str], years: list[int], bins: int = 20) -> DataFrame:
+    """Density histogram of each column in each year, over limits shared by the years."""
+    cut = df.where(in_years(years)).withColumn("year", F.year(TS).cast("bigint"))
+    shapes = [histogram_density(cut, "year", name, bins).select(F.lit(name).alias("column"), "*") for name in columns]
+    return reduce(DataFrame.unionByName, shapes)

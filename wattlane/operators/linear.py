@@ -10,13 +10,12 @@ squared error of a linear model is a quadratic form in the same moments.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.functions.lanes import WIDTH, lane_count, pair_lanes
+from wattlane.functions.gram import cross_products, independent_columns, triangular_factor
 from wattlane.operators.splits import Fold, fold_segment, in_validation
 from wattlane.schema import PART, VALUE, require_columns
 
@@ -131,30 +130,53 @@ def moments(
 ) -> dict[object, Moments]:
     """Moments of the complete rows, overall (key None) or per value of ``by``.
 
-    ``by`` is a part, fold or segment: a fixed handful of values, never a series. Covariance
-    aggregates update means as they go, so large values do not cancel.
+    ``by`` is a part, fold or segment: a fixed handful of values, never a series. Partial
+    products are centred and merge by the shift of their means, so large values do not cancel.
     """
     require_columns(df, [*features, target])
     columns = [*features, target]
-    index = {name: i for i, name in enumerate(columns)}
-    pairs = list(combinations_with_replacement(columns, 2))
-    rows = df.na.drop(subset=columns)
-    rows = rows.select(*columns, by.alias("_group")) if by is not None else rows.select(*columns)
-    group = ["_group"] if by is not None else []
-    lanes = lane_count(len(pairs))
-    mean_width = -(-len(columns) // lanes)
-    out: dict[object, Moments] = {}
-    for row in pair_lanes(rows, group, pairs, F.covar_pop, columns).collect():
-        key, lane, n = (row["_group"] if group else None), row["_lane"], row["_n"]
-        if key not in out:
-            size = len(columns)
-            out[key] = Moments(tuple(features), n, np.zeros(size), np.zeros((size, size)))
-        for i, (x, y) in enumerate(pairs[lane * WIDTH : (lane + 1) * WIDTH]):
-            value = (row[f"_r{i}"] or 0.0) * n
-            out[key].cross[index[x], index[y]] = out[key].cross[index[y], index[x]] = value
-        for i, name in enumerate(columns[lane * mean_width : (lane + 1) * mean_width]):
-            out[key].mean[index[name]] = row[f"_m{i}"] or 0.0
-    return out
+    found = cross_products(df.na.drop(subset=columns), columns, by)
+    if by is None and not found:
+        found = {None: (0, np.zeros(len(columns)), np.zeros((len(columns), len(columns))))}
+    return {key: Moments(tuple(features), n, mean, cross) for key, (n, mean, cross) in found.items()}
+
+
+@dataclass(frozen=True)
+class LeastSquares:
+    """A fit from a triangular factor; ``dependent`` features are combinations of the others."""
+
+    model: LinearModel
+    n: int
+    residual: float  # square sum of the errors
+    dependent: tuple[str, ...]
+
+
+def fit_least_squares(df: DataFrame, features: list[str], target: str = VALUE) -> LeastSquares:
+    """Least squares with a free intercept from a QR factorisation in a tree.
+
+    The factor of (1, features, target) holds that of the centred features, so the
+    condition number of the columns is never squared. Among features that depend on each other the
+    shortest weights are taken.
+    """
+    require_columns(df, [*features, target])
+    rows = df.na.drop(subset=[*features, target])
+    r = triangular_factor(rows, [F.lit(1.0), *features, target])
+    if r is None:
+        raise ValueError("no complete rows to fit on")
+    p = len(features)
+    inner, right = r[1 : p + 1, 1 : p + 1], r[1 : p + 1, -1]
+    kept = independent_columns(inner, np.sqrt((r[:, 1 : p + 1] ** 2).sum(axis=0)))
+    size = np.sqrt((inner * inner).sum(axis=0))
+    if len(kept) == p:
+        # Columns of unit length, so that units do not matter.
+        weights = np.linalg.lstsq(inner / size, right, rcond=None)[0] / size if p else np.zeros(0)
+    else:
+        weights = np.linalg.lstsq(inner, right, rcond=1e-11)[0]
+    means = r[0, 1:] / r[0, 0]
+    left = right - inner @ weights
+    model = LinearModel(tuple(features), tuple(map(float, weights)), float(means[-1] - weights @ means[:-1]))
+    dependent = tuple(name for i, name in enumerate(features) if i not in kept)
+    return LeastSquares(model, round(float(r[0, 0]) ** 2), float(left @ left + r[-1, -1] ** 2), dependent)
 
 
 def mean_absolute_errors(

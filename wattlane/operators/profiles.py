@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattlane.functions.columns import hour_of_day, weekday_name
-from wattlane.functions.lanes import pair_lanes
+from wattlane.functions.gram import pair_correlations
+from wattlane.functions.lagged import lag_correlations
 from wattlane.functions.quantiles import exact_quantiles
 from wattlane.functions.ranking import ranked, time_index
 from wattlane.operators.filters import complete_history, in_years, keep_series, label_slice
@@ -314,31 +315,9 @@ def quantile_bins(df: DataFrame, value: str, bins: int = 10, name: str = "bucket
     return df.withColumn(name, F.when(F.col(value).isNotNull(), bucket))
 
 
-_CORR_WIDTH = 10  # correlations keep more state than covariances
-
-
 def correlation_matrix(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson correlations in long form, from one pass."""
-    by = by or []
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    lanes = pair_lanes(df.select(*by, *columns), by, pairs, F.corr, width=_CORR_WIDTH)
-
-    def name(side: int, i: int) -> Column:
-        labels = F.array(*[F.lit(pair[side]) for pair in pairs])
-        return F.get(labels, F.col("_lane") * _CORR_WIDTH + i)
-
-    rows = [
-        F.struct(name(0, i).alias("x"), name(1, i).alias("y"), F.col(f"_r{i}").alias("correlation"))
-        for i in range(min(_CORR_WIDTH, len(pairs)))
-    ]
-    half = lanes.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
-    half = half.where(F.col("x").isNotNull())
-    sides = F.array(
-        F.struct(F.col("x"), F.col("y")), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))
-    )
-    return half.select(*by, F.explode(F.array_distinct(sides)).alias("s"), "correlation").select(
-        *by, "s.*", "correlation"
-    )
+    """Pairwise-complete Pearson correlations in long form, from one pass that copies no row."""
+    return pair_correlations(df, columns, by or [])
 
 
 def target_correlation(
@@ -352,41 +331,25 @@ def target_correlation(
     )
 
 
-def autocorrelation(panel: DataFrame, lags: dict[str, int]) -> DataFrame:
-    """Correlation of the fleet mean with itself ``lag`` positions back.
-
-    The fleet series has one row per timestamp. Each row is matched by position with its
-    earlier values, so the work is spread over rows and lags and needs no wide window.
-    """
+def _located_fleet(panel: DataFrame) -> DataFrame:
+    """The fleet mean with the position of each timestamp."""
     fleet = fleet_mean(panel)
-    located = fleet.join(time_index(fleet), TS)
-    wanted = F.array(
-        *[F.struct(F.lit(n).alias("label"), F.lit(k).alias("lag")) for n, k in lags.items()]
-    )
-    now = located.select(
-        "pos", F.col("fleet_mean").alias("_x"), F.explode(wanted).alias("l")
-    ).select("_x", "l.label", "l.lag", (F.col("pos") - F.col("l.lag")).alias("_at"))
-    past = located.select(F.col("pos").alias("_at"), F.col("fleet_mean").alias("_y"))
+    return materialize(fleet.join(time_index(fleet), TS).select("pos", F.col("fleet_mean").alias("value")), "fleet")
+
+
+def autocorrelation(panel: DataFrame, lags: dict[str, int]) -> DataFrame:
+    """Correlation of the fleet mean with itself ``lag`` positions back."""
+    found = lag_correlations(_located_fleet(panel), list(lags.values()))
+    wanted = F.array(*[F.struct(F.lit(n).alias("label"), F.lit(k).cast("bigint").alias("at")) for n, k in lags.items()])
     return (
-        now.join(past, "_at")
-        .groupBy("label", F.col("lag").cast("bigint").alias("lag"))
-        .agg(F.corr("_x", "_y").alias("autocorrelation"))
+        found.withColumn("l", F.explode(F.filter(wanted, lambda l: l["at"] == F.col("lag"))))
+        .select("l.label", "lag", "autocorrelation")
     )
 
 
 def autocorrelation_profile(panel: DataFrame, longest: int = 767) -> DataFrame:
     """The same for every lag from 1 to ``longest``."""
-    fleet = fleet_mean(panel)
-    located = fleet.join(time_index(fleet), TS)
-    now = located.select(
-        "pos", F.col("fleet_mean").alias("_x"), F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("lag")
-    ).withColumn("_at", F.col("pos") - F.col("lag"))
-    past = located.select(F.col("pos").alias("_at"), F.col("fleet_mean").alias("_y"))
-    return (
-        now.join(past, "_at")
-        .groupBy(F.col("lag").cast("bigint").alias("lag"))
-        .agg(F.corr("_x", "_y").alias("autocorrelation"))
-    )
+    return lag_correlations(_located_fleet(panel), list(range(1, longest + 1)))
 
 
 def distinct_series(panel: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wattlane.functions.columns import hex_number, row_hash
 from wattlane.schema import KEYS
 
+HEAP_ROWS = 100_000  # the largest sample that a task holds in memory
 _DIGITS = 4  # leading hex digits that name a bucket: 65 536 buckets
 
 
@@ -17,13 +18,18 @@ def sample_n(
 ) -> DataFrame:
     """Exactly ``n`` rows without replacement, or all rows if there are no more than ``n``.
 
-    These are the n rows of least hash, found without a global sort: counts per hash bucket
+    These are the n rows of least hash. Up to ``HEAP_ROWS`` of them come from one pass: every task keeps
+    a heap of its n least rows, whose greatest hash is the bar for what follows, and the heaps are
+    merged. Larger samples are found without a global sort: counts per hash bucket
     give the bucket in which the n-th row falls, and only rows up to that bucket are
     shuffled, each bucket being sorted on its own.
     """
     if n is None:
         return df
     columns = df.columns
+    if n <= HEAP_ROWS:
+        order = [row_hash(seed, keys or KEYS), *(F.col(k) for k in keys or KEYS)]
+        return df.orderBy(*order).limit(n)
     tagged = df.withColumn("_hash", row_hash(seed, keys or KEYS)).withColumn(
         "_bucket", hex_number(F.col("_hash"), _DIGITS)
     )

@@ -204,7 +204,10 @@ def weights_sql(model: str, names: list[str], label: str) -> str:
 def _fit(alpha: float, label: str, standardize: bool = False):
     def query(s, d):
         rows = split_v1(P.daily_features(s, d)).where(F.col(PART) == "train")
-        model = linear.moments(rows, FEATURES)[None].fit(alpha, standardize=standardize)
+        if alpha:
+            model = linear.moments(rows, FEATURES)[None].fit(alpha, standardize=standardize)
+        else:
+            model = linear.fit_least_squares(rows, FEATURES).model
         return rounded(linear.coefficient_table(s, {label: model}))
 
     sql = (
@@ -467,7 +470,7 @@ CROSS_COLUMNS = {**CROSS, "y": "2000-01-04 00:00:00"}
 
 def _cross_series(s, d):
     wide = panel.timestamp_slice_transpose(P.daily_panel(s, d, "2000-01-04", "2000-01-10"), CROSS_COLUMNS)
-    model = linear.moments(wide, list(CROSS), "y")[None].fit()
+    model = linear.fit_least_squares(wide, list(CROSS), "y").model
     return rounded(linear.coefficient_table(s, {"cross_series": model}))
 
 
@@ -738,12 +741,12 @@ DRIFT_COLUMNS = [VALUE, "lag_7d"]
 
 def _drift_stats(s, d):
     feats = P.daily_features(s, d).select(*KEYS, VALUE, "lag_7d")
-    return rounded(evaluate.drift_by_year(feats, DRIFT_COLUMNS, [1998, 2001])[0])
+    return rounded(evaluate.year_drift_stats(feats, DRIFT_COLUMNS, [1998, 2001]))
 
 
 def _drift_shapes(s, d):
     feats = P.daily_features(s, d).select(*KEYS, VALUE, "lag_7d")
-    return rounded(evaluate.drift_by_year(feats, DRIFT_COLUMNS, [1998, 2001])[1])
+    return rounded(evaluate.year_drift_densities(feats, DRIFT_COLUMNS, [1998, 2001]))
 
 
 add(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def package_for_workers(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where the driver has it.
+
+    On a cluster the package is installed or sent along (``--py-files``); an absent folder does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    path = environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, path]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's own setting, or a local one if unset.
 
