@@ -4,7 +4,7 @@ Each task reduces its rows, Arrow batch by Arrow batch, to one small state for e
 merged in two levels, so neither a row nor a wide aggregate travels, and what one task
 or the driver gets is a bounded number of states.
 
-A state is a flat array of doubles. ``Summary.local`` makes one of the rows of a matrix, ``Summary.merge`` joins two.
+A state is a flat array of doubles, which travels as bytes. ``Summary.local`` makes one of the rows of a matrix, ``Summary.merge`` joins two.
 """
 
 from __future__ import annotations
@@ -52,8 +52,11 @@ def is_missing(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.uint64) == _MISSING_BITS
 
 
-def summarize(df: DataFrame, columns: list[str | Column], summary: Summary, by: dict[str, Column] | None = None) -> DataFrame:
-    """(the columns of ``by``, ``state``): for each group a bounded number of states that are still to be merged."""
+def summarize(df: DataFrame, columns: list[str | Column], summary: Summary, by: dict[str, Column] | None = None, spread: bool = True) -> DataFrame:
+    """(the columns of ``by``, ``state``): for each group a bounded number of states that are still to be merged.
+
+    Without ``spread`` there is a state for each task: for inputs that are known to have few.
+    """
     package_for_workers(df.sparkSession)
     by = by or {}
     names, width = list(by), len(columns)
@@ -72,7 +75,7 @@ def summarize(df: DataFrame, columns: list[str | Column], summary: Summary, by:
         def out() -> pa.RecordBatch:
             keys = list(held)
             arrays = [pa.array([k[i] for k in keys], f.type) for i, f in enumerate(keys_schema)]
-            arrays += [pa.array([slot] * len(keys), pa.int32()), pa.array([s.tolist() for s in held.values()], pa.list_(pa.float64()))]
+            arrays += [pa.array([slot] * len(keys), pa.int32()), pa.array([_packed(s) for s in held.values()], pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, [*names, "slot", "state"])
 
         for batch in batches:
@@ -92,10 +95,12 @@ def summarize(df: DataFrame, columns: list[str | Column], summary: Summary, by:
     def merged(table):
         keys = [table.column(i)[:1] for i in range(len(names))]
         total = _merge_all(table.column("state").to_pylist(), summary)
-        return pa.table([*keys, pa.array([table.column("slot")[0].as_py()], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], [*names, "slot", "state"])
+        return pa.table([*keys, pa.array([table.column("slot")[0].as_py()], pa.int32()), pa.array([_packed(total)], pa.binary())], [*names, "slot", "state"])
 
-    found = rows.mapInArrow(partial, f"{schema}slot int, state array<double>")
-    return found.groupBy(*names, "slot").applyInArrow(merged, f"{schema}slot int, state array<double>").drop("slot")
+    found = rows.mapInArrow(partial, f"{schema}slot int, state binary")
+    if not spread:
+        return found.drop("slot")
+    return found.groupBy(*names, "slot").applyInArrow(merged, f"{schema}slot int, state binary").drop("slot")
 
 
 def _groups(batch: pa.RecordBatch, keys: int) -> Iterator[tuple[tuple, np.ndarray | None]]:
@@ -119,9 +124,13 @@ def _groups(batch: pa.RecordBatch, keys: int) -> Iterator[tuple[tuple, np.ndarra
         yield tuple(reversed(key)), None if len(kinds) == 1 else at
 
 
-def _merge_all(states: list[list[float]], summary: Summary) -> State:
+def _packed(state: State) -> bytes:
+    return np.ascontiguousarray(state, dtype="<f8").tobytes()
+
+
+def _merge_all(states: list[bytes], summary: Summary) -> State:
     """Pairwise, so that rounding grows with the depth only."""
-    level = [np.array(s) for s in states]
+    level = [np.frombuffer(s, dtype="<f8") for s in states]
     while len(level) > 1:
         pairs = [summary.merge(a, b) for a, b in zip(level[::2], level[1::2])]
         level = pairs + level[len(pairs) * 2 :]

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from typing import Protocol
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.functions.columns import floor_hour, floor_minute
 from wattlane.operators.governance import alias_current
-from wattlane.operators.linear import LinearModel, model_from_table
+from wattlane.operators.linear import model_from_table
 from wattlane.schema import KEYS, SERIES, TS, require_columns
 
+
+class Model(Protocol):
+    """What can be scored: a linear model or trees, fitted just now or read from a table."""
+
+    features: tuple[str, ...]
+
+    def prediction(self) -> Column: ...
+
+
 _FLOOR = {"minute": floor_minute, "hour": floor_hour}
 
 
@@ -44,7 +56,7 @@ def lookup_features(
 
 
 def score_requests(
-    requests: DataFrame, features: DataFrame, model: LinearModel, unit: str = "minute"
+    requests: DataFrame, features: DataFrame, model: Model, unit: str = "minute"
 ) -> DataFrame:
     """Prediction and features, or an error text, for every request; an empty batch is an error.
 
@@ -77,28 +89,36 @@ def require_requests(requests: DataFrame) -> None:
         raise ValueError("a batch needs at least one request")
 
 
-def score_table(df: DataFrame, model: LinearModel) -> DataFrame:
+def score_table(df: DataFrame, model: Model) -> DataFrame:
     """Prediction from the features the model was fitted on, whatever else the table holds."""
     require_columns(df, model.features)
     return df.withColumn("prediction", model.prediction())
 
 
 def model_at_alias(
-    coefficients: DataFrame, events: DataFrame, model_name: str, alias: str = "champion"
-) -> LinearModel:
-    """The model an alias points at; coefficients are keyed by model name and version."""
+    table: DataFrame,
+    events: DataFrame,
+    model_name: str,
+    alias: str = "champion",
+    load: Callable[[DataFrame, str], Model] = model_from_table,
+) -> Model:
+    """The model an alias points at; ``table`` (coefficients or nodes of trees) is keyed by model name and version."""
     row = alias_current(
         events.where((F.col("model_name") == model_name) & (F.col("alias") == alias))
     ).first()
     if row is None:
         raise KeyError(f"{model_name} has no alias {alias!r}")
-    table = coefficients.where(
+    own = table.where(
         (F.col("model_name") == model_name) & (F.col("version") == row["version"])
     ).withColumn("model_id", F.lit(model_name))
-    return model_from_table(table, model_name)
+    return load(own, model_name)
 
 
 def score_with_champion(
-    df: DataFrame, coefficients: DataFrame, events: DataFrame, model_name: str
+    df: DataFrame,
+    table: DataFrame,
+    events: DataFrame,
+    model_name: str,
+    load: Callable[[DataFrame, str], Model] = model_from_table,
 ) -> DataFrame:
-    return score_table(df, model_at_alias(coefficients, events, model_name))
+    return score_table(df, model_at_alias(table, events, model_name, load=load))

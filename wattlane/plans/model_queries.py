@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlane.operators import drift, evaluate, features, filters, linear, panel, profiles
+from wattlane.operators import boosting, drift, evaluate, features, filters, linear, panel, profiles
 from wattlane.operators import sampling, scoring, splits, trees
 from wattlane.plans import panels as P
 from wattlane.plans.oracle import (
@@ -485,7 +485,7 @@ add(
 )
 
 
-def _tree_query(fit, exact_leaves: bool, averages: bool):
+def _tree_query(fit, exact_leaves: bool, averages: bool, score=trees.score):
     """A model of all supplier rows of the train part, and what must hold of it.
 
     Per part: its rows, and whether predictions stay within the targets of the train part (what
@@ -497,7 +497,7 @@ def _tree_query(fit, exact_leaves: bool, averages: bool):
         rows = prepared(s, d)
         train = rows.where(F.col(PART) == "train")
         scored = materialize(
-            trees.score(fit(train), rows, FEATURES).select(PART, VALUE, "prediction"), "scored"
+            score(fit(train), rows, FEATURES).select(PART, VALUE, "prediction"), "scored"
         )
         y, p = F.col(VALUE).cast("double"), F.col("prediction")
         train = scored.where(F.col(PART) == "train")
@@ -539,6 +539,76 @@ add(
 )
 
 
+def _score_nodes(model, rows, names):
+    """Scored by a model that went through a table of nodes."""
+    stored = materialize(boosting.tree_table(rows.sparkSession, {"m": model}), "nodes")
+    return scoring.score_table(rows.na.drop(subset=names), boosting.tree_model_from_table(stored, "m"))
+
+
+add(
+    "fit_gbt_leafwise",
+    *_tree_query(lambda rows: boosting.fit_leafwise(rows, FEATURES, rounds=5), False, False, _score_nodes),
+)
+add(
+    "fit_forest_from_nodes",
+    *_tree_query(lambda rows: boosting.from_spark(_forest(5, 6, 20)(rows), FEATURES), False, True, _score_nodes),
+)
+
+
+def stump_ctes(name: str, features: list[str], min_leaf: int = 20) -> str:
+    """One row ``name``: the best of all cuts of all features, by exhaustion, and the means of both sides."""
+    cuts = " UNION ALL ".join(
+        f"""SELECT {i} AS k, '{f}' AS feature, CAST({f} AS DOUBLE) AS x, count(*) AS n,
+        sum(CAST(value AS DOUBLE) - m) AS s FROM train, base GROUP BY ALL"""
+        for i, f in enumerate(features)
+    )
+    return f"""train AS MATERIALIZED (SELECT * FROM parts WHERE part = 'train'),
+    base AS MATERIALIZED (SELECT avg(CAST(value AS DOUBLE)) AS m, count(*) AS n FROM train),
+    {name}_c AS MATERIALIZED ({cuts}),
+    {name}_u AS MATERIALIZED (SELECT k, feature, x, lead(x) OVER w AS next,
+      sum(n) OVER u AS nl, sum(s) OVER u AS sl, sum(n) OVER a AS nt, sum(s) OVER a AS st FROM {name}_c
+      WINDOW w AS (PARTITION BY k ORDER BY x), a AS (PARTITION BY k),
+      u AS (PARTITION BY k ORDER BY x ROWS UNBOUNDED PRECEDING)),
+    {name} AS MATERIALIZED (SELECT feature, x + (next - x) / 2 AS threshold, nl AS n_left, nt - nl AS n_right,
+      m + sl / nl AS left_value, m + (st - sl) / (nt - nl) AS right_value
+      FROM {name}_u, base WHERE nl >= {min_leaf} AND nt - nl >= {min_leaf}
+      ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, k, x LIMIT 1)"""
+
+
+LAGS = ["lag_1d", "lag_7d", "lag_30d"]
+
+
+def stump(train: DataFrame, names: list[str]) -> boosting.TreeModel:
+    """One tree of two leaves, which are the means of their rows."""
+    return boosting.fit_leafwise(train, names, learning_rate=1.0, rounds=1, max_leaves=2)
+
+
+def _first_split(s, d):
+    rows = prepared(s, d)
+    train = rows.where(F.col(PART) == "train")
+    model = stump(train, LAGS)
+    left = F.col("x") <= model.threshold[0]
+    x = train.select(F.col(LAGS[model.feature[0]]).cast("double").alias("x"))
+    return rounded(
+        x.agg(
+            F.lit(LAGS[model.feature[0]]).alias("feature"),
+            F.lit(model.threshold[0]).alias("threshold"),
+            F.count_if(left).alias("n_left"),
+            F.count_if(~left).alias("n_right"),
+            F.lit(model.base + model.value[model.left[0]]).alias("left_value"),
+            F.lit(model.base + model.value[model.right[0]]).alias("right_value"),
+        )
+    )
+
+
+add(
+    "tree_first_split",
+    _first_split,
+    f"""{V1}, {stump_ctes("m", LAGS)} SELECT feature, {r('threshold')} AS threshold, CAST(n_left AS BIGINT) AS n_left,
+    CAST(n_right AS BIGINT) AS n_right, {r('left_value')} AS left_value, {r('right_value')} AS right_value FROM m""",
+)
+
+
 def _overfit(s, d):
     """Train and test error of three models on a 1 % sample cut by time."""
     feats = filters.drop_incomplete(P.daily_features(s, d), FEATURES).drop("pos")

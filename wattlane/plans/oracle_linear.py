@@ -22,7 +22,7 @@ def solve_ctes(
     for i in range(p):
         for j in range(i, p + 1):
             first.append(f"covar_pop({columns[i]}, {columns[j]}) * count(*) AS c{i}_{j}")
-    ctes = [f"{name}_g AS (SELECT {', '.join(first)} FROM {source} WHERE {where})"]
+    ctes = [f"{name}_g AS MATERIALIZED (SELECT {', '.join(first)} FROM {source} WHERE {where})"]
     means = ", ".join(f"m{i}" for i in range(p + 1))
     entries = []
     for i in range(p):
@@ -31,7 +31,7 @@ def solve_ctes(
             if i == j and alpha:
                 cell += f" + {alpha!r} * " + (f"(c{i}_{i} / n)" if standardize else "1")
             entries.append(f"{cell} AS a{i}_{j}")
-    ctes.append(f"{name}_e AS (SELECT {means}, {', '.join(entries)} FROM {name}_g)")
+    ctes.append(f"{name}_e AS MATERIALIZED (SELECT {means}, {', '.join(entries)} FROM {name}_g)")
     last = f"{name}_e"
     for k in range(p):
         entries = []

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlane.functions.columns import floor_minute
-from wattlane.operators import filters, governance, joins, linear, panel, profiles, scoring
+from wattlane.operators import boosting, filters, governance, joins, linear, panel, profiles, scoring
 from wattlane.operators.features import build_features
 from wattlane.operators.panel import aggregate_facts
 from wattlane.plans import candidates as C
 from wattlane.plans import panels as P
-from wattlane.plans.model_queries import V1, V1_DAYS, part_digest, prepared, split_v1
+from wattlane.plans.model_queries import V1, V1_DAYS, part_digest, prepared, split_v1, stump, stump_ctes
 from wattlane.plans.oracle import (
     F_DAY, NATION_FACTS, P_DAY, P_HOUR, PART_V1, lag_sql, r, window_sql, with_ctes,
 )
@@ -400,6 +400,29 @@ add(
     " FROM parts, m WHERE part = 'test'",
 )
 
+TREE_VERSIONS = {"2": ["lag_7d"], "4": ["lag_1d", "lag_30d"]}
+
+
+def _score_champion_tree(s, d):
+    """Versions are trees, stored as nodes; the champion's is read back by its alias."""
+    rows = prepared(s, d)
+    train = rows.where(F.col(PART) == "train")
+    nodes = boosting.tree_table(s, {v: stump(train, names) for v, names in TREE_VERSIONS.items()})
+    nodes = nodes.select(F.lit(CHAMPION).alias("model_name"), F.col("model_id").alias("version"), *nodes.columns[1:])
+    scored = scoring.score_with_champion(
+        rows.where(F.col(PART) == "test"), materialize(nodes, "nodes"), C.alias_events(s, d), CHAMPION, boosting.tree_model_from_table
+    )
+    return rounded(scored.select(*KEYS, "prediction"))
+
+
+add(
+    "score_with_champion_tree",
+    _score_champion_tree,
+    f"""{V1}, {stump_ctes("m", TREE_VERSIONS["4"])}
+    SELECT series_id, ts, {r("CASE WHEN (CASE feature WHEN 'lag_1d' THEN lag_1d ELSE lag_30d END) <= threshold THEN left_value ELSE right_value END")}
+    AS prediction FROM parts, m WHERE part = 'test'""",
+)
+
 # ---- sources and sinks: written below the shared folder, then read back
 
 
