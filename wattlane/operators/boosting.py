@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -229,6 +229,16 @@ def _walk(bins: np.ndarray, feature, cut, left, right) -> np.ndarray:
     return node
 
 
+def _arrays(nodes: list[_Node], inner: Iterable[int]) -> tuple[np.ndarray, ...]:
+    """Feature (-1 for leaves), bin, left and right of all nodes, of which ``inner`` may have children."""
+    feature, cut, left, right = (np.zeros(len(nodes), dtype=np.int64) for _ in range(4))
+    feature[:] = -1
+    for k in inner:
+        if nodes[k].left >= 0:
+            (_, feature[k], cut[k]), left[k], right[k] = nodes[k].split, nodes[k].left, nodes[k].right
+    return feature, cut, left, right
+
+
 class _Grower:
     """Trees over a binned table with columns ``x0``.., ``y`` and ``f`` (score so far)."""
 
@@ -271,64 +281,67 @@ class _Grower:
         return found[()].reshape(size)
 
     def tree(self) -> list[tuple[int, int, int, int, float]]:
-        """Nodes (feature, bin, left, right, value) of the next tree; its scores count from now on."""
-        nodes = [_Node(0, 0)]
-
-        def arrays() -> tuple[np.ndarray, ...]:
-            inner = [n.left >= 0 for n in nodes]
-            return (
-                np.array([n.split[1] if i else -1 for n, i in zip(nodes, inner)]),
-                np.array([n.split[2] if i else 0 for n, i in zip(nodes, inner)]),
-                np.array([max(n.left, 0) for n in nodes]),
-                np.array([max(n.right, 0) for n in nodes]),
-            )
-
-        def told(k: int, hist: np.ndarray) -> None:
-            nodes[k].hist, (nodes[k].rows, nodes[k].total) = hist, hist[0].sum(axis=0)
-            nodes[k].split = best_split(hist, self.min_leaf)
-
-        told(0, self._pass(arrays(), [0])[0])
-        ahead: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # children of leaves, looked at before their split
-        leaves, queue = 1, []
+        """Nodes (feature, bin, left, right, value) of the next tree; its scores count from now on.
 
-        def push(k: int) -> None:
-            if nodes[k].split:
-                heapq.heappush(queue, (-nodes[k].split[0], k))
-
-        push(0)
-        while queue and leaves < self.max_leaves:
-            if queue[0][1] not in ahead:
-                self._look_ahead(nodes, arrays(), [k for _, k in sorted(queue)[: self.max_leaves - leaves] if k not in ahead], ahead)
-            _, k = heapq.heappop(queue)
-            nodes[k].left, nodes[k].right = len(nodes), len(nodes) + 1
-            for hist in ahead.pop(k):
-                nodes.append(_Node(0, 0))
-                told(len(nodes) - 1, hist)
-                push(len(nodes) - 1)
-            nodes[k].hist = None
-            leaves += 1
-        value = np.array([self.rate * n.total / n.rows if n.rows and n.left < 0 else 0.0 for n in nodes])
-        shape = arrays()
+        Nodes are looked at before it is known whether the tree takes their split: a pass opens the leaves of
+        most gain, also below splits not taken yet, so a tree needs about as many passes as levels.
+        """
+        nodes = [_Node(0, 0)]
+        self._told(nodes, [0], self._pass(_arrays(nodes, range(0)), [0]))
+        while True:
+            taken, missing = self._best_first(nodes)
+            if missing is None:
+                break
+            leaves = sorted((k for k, n in enumerate(nodes) if n.split and n.left < 0), key=lambda k: -nodes[k].split[0])
+            self._open(nodes, list(dict.fromkeys([missing, *leaves[: self.max_leaves]])))
+        # The nodes of the tree, the root first, then both children of each split in the order they were taken.
+        order = [0, *(c for k in taken for c in (nodes[k].left, nodes[k].right))]
+        place = {k: i for i, k in enumerate(order)}
+        inner = set(taken)
+        kept = []
+        for k in order:
+            n = nodes[k]
+            left, right = (place[n.left], place[n.right]) if k in inner else (-1, -1)
+            kept.append(_Node(n.rows, n.total, split=n.split, left=left, right=right))
+        shape = _arrays(kept, range(len(kept)))
+        value = np.array([self.rate * n.total / n.rows if n.rows and n.left < 0 else 0.0 for n in kept])
         self.pending.append((*shape, value))
         if len(self.pending) >= WRITE_EVERY:
             self._write()
         return list(zip(*(a.tolist() for a in shape), value.tolist()))
 
-    def _look_ahead(self, nodes: list[_Node], shape: tuple[np.ndarray, ...], leaves: list[int], ahead: dict) -> None:
+    def _told(self, nodes: list[_Node], at: list[int], hists: Iterable[np.ndarray]) -> None:
+        for k, hist in zip(at, hists):
+            nodes[k].hist, (nodes[k].rows, nodes[k].total) = hist, hist[0].sum(axis=0)
+            nodes[k].split = best_split(hist, self.min_leaf)
+
+    def _best_first(self, nodes: list[_Node]) -> tuple[list[int], int | None]:
+        """The splits of most gain in the order they are taken, and the first node that has to be opened for more."""
+        queue = [(-nodes[0].split[0], 0)] if nodes[0].split else []
+        taken: list[int] = []
+        while queue and len(taken) + 1 < self.max_leaves:
+            _, k = heapq.heappop(queue)
+            if nodes[k].left < 0:
+                return taken, k
+            taken.append(k)
+            for c in (nodes[k].left, nodes[k].right):
+                if nodes[c].split:
+                    heapq.heappush(queue, (-nodes[c].split[0], c))
+        return taken, None
+
+    def _open(self, nodes: list[_Node], leaves: list[int]) -> None:
         """Histograms of the children of ``leaves``: a pass for the smaller ones, the rest by subtraction."""
-        feature, cut, left, right = (a.tolist() for a in shape)
-        wanted, smaller = [], []
+        wanted = []
         for k in leaves:
-            _, feature[k], cut[k] = nodes[k].split
-            left[k], right[k] = len(feature), len(feature) + 1
-            count = nodes[k].hist[feature[k], : cut[k] + 1, 0].sum()
-            smaller.append(0 if count <= nodes[k].rows - count else 1)
-            wanted.append(len(feature) + smaller[-1])
-            for column, v in ((feature, -1), (cut, 0), (left, 0), (right, 0)):
-                column += [v, v]
-        for k, side, hist in zip(leaves, smaller, self._pass(tuple(np.array(a) for a in (feature, cut, left, right)), wanted)):
-            rest = nodes[k].hist - hist
-            ahead[k] = (hist, rest) if side == 0 else (rest, hist)
+            _, feature, cut = nodes[k].split
+            nodes[k].left, nodes[k].right = len(nodes), len(nodes) + 1
+            count = nodes[k].hist[feature, : cut + 1, 0].sum()
+            wanted.append(nodes[k].left if count <= nodes[k].rows - count else nodes[k].right)
+            nodes += [_Node(0, 0), _Node(0, 0)]
+        for k, small, hist in zip(leaves, wanted, self._pass(_arrays(nodes, range(len(nodes))), wanted)):
+            large = nodes[k].left + nodes[k].right - small
+            self._told(nodes, [small, large], [hist, nodes[k].hist - hist])
+            nodes[k].hist = None
 
     def _write(self) -> None:
         pending, p = self.pending, self.p
