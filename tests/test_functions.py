@@ -150,3 +150,18 @@ def test_quantiles_of_extreme_values_at_any_limit(spark, values, limit):
     a, b = low[int(np.floor(place))], low[int(np.ceil(place))]
     assert (row.a, row.c) == (min(values), max(values))
     assert row.b == pytest.approx(a + (b - a) * (place - np.floor(place)), rel=1e-12, abs=0)
+
+
+def test_settled_keeps_its_result_only(spark):
+    from wattlane import session
+
+    kept = session.materialize(spark.range(4), "kept")
+    inner = []
+
+    def make():
+        inner.append(session.materialize(spark.range(6).repartition(3, "id"), "inner"))
+        return inner[0].where("id > 1")
+
+    result = session.settled(make, spark, "result")
+    assert result.count() == 4 and kept.count() == 4
+    assert not any("wattlane-inner" in p for p in session._made)

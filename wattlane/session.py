@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_KEY = "spark.checkpoint.dir"
+_CLEAN_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _made: list[str] = []
 
 # Settings every deployment wants; shuffle partitions and memory stay with the cluster.
@@ -104,9 +106,26 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    # The write is the only run of this plan, so its shuffle files can go with it.
+    before = spark.conf.get(_CLEAN_KEY)
+    spark.conf.set(_CLEAN_KEY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], spark: SparkSession, label: str = "stage") -> DataFrame:
+    """What ``make`` gives, written; the intermediate tables that it made on the way are deleted."""
+    before = set(_made)
+    result = materialize(make(), label)
+    own = {file.rsplit("/", 2)[-2] for file in result.inputFiles()}
+    for path in [p for p in _made if p not in before and p.rsplit("/", 1)[-1] not in own]:
+        _made.remove(path)
+        _delete(spark, path)
+    return result
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
