@@ -165,3 +165,49 @@ def test_neighbours_of_odd_and_equal_vectors(spark):
     assert nearest_neighbours(frame.where("false"), F.col("vec_id") % 50 == 0).count() == 0
     few = nearest_neighbours(frame.where("vec_id >= 200"), F.col("vec_id") % 50 == 0).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in few) == [(200, 1, 250), (250, 1, 200)]
+
+
+def test_block_similarities_equal_pairs(texts):
+    from wattlane.llm.neardup import Idf, similarities
+
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(30)]
+    some = [t for t in texts if t] + [" ".join(rng.choice(words[:6], 60)) for _ in range(20)]
+    idf = Idf(np.zeros(0, np.uint64), np.zeros(0), 1)
+
+    def bag(t):
+        w = WORD.findall(t.lower())
+        return Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
+
+    def jaccard(a, b):
+        weight = [{s: 1 + np.log(c) for s, c in x.items()} for x in (a, b)]
+        common = sum(min(v, weight[1][s]) for s, v in weight[0].items() if s in weight[1])
+        joint = sum(weight[0].values()) + sum(weight[1].values()) - common
+        return common / joint if joint else 0.0
+
+    bags = [bag(t) for t in some]
+    want = np.array([[jaccard(a, b) for b in bags] for a in bags])
+    np.testing.assert_allclose(similarities(some, None, idf, 0.8), want, atol=1e-12)
+    np.testing.assert_allclose(similarities(some[:9], some[9:], idf, 0.8), want[:9, 9:], atol=1e-12)
+
+
+def test_chains_of_near_copies_at_the_limit_are_joined(spark, monkeypatch):
+    from wattlane.llm import neardup
+
+    # Groups whose similarities lie on both sides of 0.8, in blocks of a few texts.
+    rng = np.random.default_rng(7)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{k}" for k in range(150)]
+        for i in range(25):
+            words = list(base)
+            for at in rng.choice(150, rng.integers(1, 6), replace=False):
+                words[at] = f"x{g}_{i}_{at}"
+            rows.append((len(rows), " ".join(words)))
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 7)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = classes_by_brute_force(rows)
+    got = {r.doc_id: r.class_id for r in near_duplicates(frame, bands=60, rows=3).collect()}
+    assert got == want and 6 < len(set(want.values())) < 150
+    default = {r.doc_id: r.class_id for r in near_duplicates(frame).collect()}
+    assert sum(default[i] == c for i, c in want.items()) >= 0.98 * len(rows)

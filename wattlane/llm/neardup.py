@@ -9,11 +9,11 @@ table of their counts at any corpus size. Counts cover all documents.
    and uniform draws come from a table of 65,536 triples, picked by a hash of shingle and sample.
 2. Documents whose ``rows`` samples of a band agree share a bucket, led by the one that meets most others in
    its buckets: in a group of copies that is the text they were made from, or one near it. Each is compared with
-   the first of its leads, by exact weighted Jaccard similarity of the whole texts; then with those of its other
-   leads that are not in its component yet.
-3. Then, within each bucket, documents of different components are compared with each other too, unless their
-   samples rule it out. So every pair that shares a bucket is either compared, ruled out
-   or already in one class, yet copies are never expanded into all pairs.
+   the best of its leads, by exact weighted Jaccard similarity of the whole texts.
+3. Buckets that still hold several components are compared in blocks of bounded size: the similarities of all
+   pairs of a block are exact matrix products over the shingles they share, and the block gives back the few links
+   that join its components. So every pair that shares a bucket is compared or already in one
+   class, no pair is ruled out by its samples, and what a block gives grows with its rows, not its pairs.
 4. Components of all links are the classes.
 
 Texts with the same words are one node from the start. Buckets, nodes and links stay in Spark.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from wattlane.llm.common import column_of, documents_of, slices, texts_of
 from wattlane.llm.components import connected_components
 from wattlane.llm.words import Words, mix
-from wattlane.session import materialize
+from wattlane.session import materialize, settled
 
 SHINGLE = 5
 BUCKETS = 1 << 18
@@ -46,6 +46,10 @@ SPAN = -np.log(FREQUENT_SHARE)
 _TABLE = 1 << 16
 # Rows up to which a table of (node, row) is sent to all tasks rather than shuffled.
 SENT_ROWS = 100_000
+# Blocks of a bucket: texts and characters on either side, and cells of a dense matrix at a time.
+BLOCK_ROWS = 256
+BLOCK_CHARS = 1 << 20
+DENSE_CELLS = 1 << 22
 
 
 @dataclass
@@ -76,12 +80,16 @@ class Idf:
         rare = np.log(np.maximum(n_docs, 1) / np.maximum(count[order], 1))
         self.value = np.minimum(np.maximum(rare, 0), SPAN) / SPAN
 
-    def log_weights(self, v: Vectors) -> np.ndarray:
-        idf = np.ones(len(v.shingle))
+    def factor(self, shingle: np.ndarray) -> np.ndarray:
+        """(1 + idf) / 2, the weight of a shingle that occurs once."""
+        idf = np.ones(len(shingle))
         if len(self.shingle):
-            at = np.minimum(np.searchsorted(self.shingle, v.shingle), len(self.shingle) - 1)
-            idf = np.where(self.shingle[at] == v.shingle, self.value[at], 1.0)
-        return np.log((1 + np.log(v.times)) * (1 + idf) / 2)
+            at = np.minimum(np.searchsorted(self.shingle, shingle), len(self.shingle) - 1)
+            idf = np.where(self.shingle[at] == shingle, self.value[at], 1.0)
+        return (1 + idf) / 2
+
+    def log_weights(self, v: Vectors) -> np.ndarray:
+        return np.log((1 + np.log(v.times)) * self.factor(v.shingle))
 
 
 class Sampler:
@@ -105,13 +113,12 @@ class Sampler:
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
         return bits.astype(np.uint64) << np.uint64(32)
 
-    def band_keys(self, shingle: np.ndarray, log_weight: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(sets, bands) keys and (sets, samples) 16 bits of each sample; ``first`` is where each (non-empty) set starts."""
+    def band_keys(self, shingle: np.ndarray, log_weight: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """(sets, bands) keys; ``first`` is where each (non-empty) set starts."""
         other = np.flatnonzero(log_weight)
         log_s = log_weight[other].astype(np.float32)
         low = np.uint64(0xFFFFFFFF)
         out = np.zeros((len(first), self.bands), dtype=np.uint64)
-        sketch = np.zeros((len(first), self.bands * self.rows), dtype="<u2")
         for k in range(self.bands * self.rows):
             drawn = (shingle ^ self.salt[k]) * self.factor[k]
             at = (drawn >> np.uint64(48)).astype(np.int64)
@@ -125,10 +132,9 @@ class Sampler:
                 step = t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 key[other] = value | (((drawn[other] >> np.uint64(16)) ^ (step >> np.uint64(20))) & low)
             sample = np.minimum.reduceat(key, first)
-            sketch[:, k] = mix(sample) & np.uint64(0xFFFF)
             band = k // self.rows
             out[:, band] = mix(out[:, band] * np.uint64(0x9FB21C651E98DF25) + sample + np.uint64(band + 1))
-        return out, sketch
+        return out
 
 
 def _node_of(words: Words, d: int) -> bytes:
@@ -178,7 +184,7 @@ def frequent_shingles(docs: DataFrame) -> Idf:
 
 
 def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
-    """(row, doc_id, node, keys, sketch): a node is a text up to case, marks and spacing; keys once for each node and slice."""
+    """(row, doc_id, node, keys): a node is a text up to case, marks and spacing; keys once for each node and slice."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands, rows)
@@ -199,23 +205,20 @@ def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
                 shingle, doc, weight = v.shingle[keep], v.doc[keep], idf.log_weights(v)[keep]
                 first = np.flatnonzero(np.diff(doc, prepend=-1))
                 keys: list[list[int] | None] = [None] * (b - a)
-                sketches: list[bytes | None] = [None] * (b - a)
                 if len(first):
-                    got, samples = sampler.band_keys(shingle, weight, first)
-                    for d, row, sample in zip(doc[first].tolist(), got.view(np.int64).tolist(), samples):
-                        keys[d], sketches[d] = row, sample.tobytes()
+                    for d, row in zip(doc[first].tolist(), sampler.band_keys(shingle, weight, first).view(np.int64).tolist()):
+                        keys[d] = row
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows_of.slice(a, b - a),
                         ids.slice(a, b - a),
                         pa.array(nodes, pa.binary()),
                         pa.array(keys, pa.list_(pa.int64())),
-                        pa.array(sketches, pa.binary()),
                     ],
-                    ["row", "doc_id", "node", "keys", "sketch"],
+                    ["row", "doc_id", "node", "keys"],
                 )
 
-    return docs.mapInArrow(sign, "row long, doc_id long, node binary, keys array<long>, sketch binary")
+    return docs.mapInArrow(sign, "row long, doc_id long, node binary, keys array<long>")
 
 
 def _texts_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -259,42 +262,111 @@ def compare(pairs: DataFrame, texts: DataFrame, idf: Idf, least: float) -> DataF
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a binary, b binary, similarity double").where(F.col("similarity") >= least)
 
 
-def _between_components(members: DataFrame, sketches: DataFrame, components: DataFrame, least: float, block: int = 200) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket but no component and whose samples do not rule them out.
+def similarities(left: list[str], right: list[str] | None, idf: Idf, least: float) -> np.ndarray:
+    """Exact weighted Jaccard similarities of all pairs, of ``left`` with itself if ``right`` is None.
 
-    The share of equal samples estimates the similarity. Pairs of three standard deviations below the limit
-    are ruled out, which a pair at the limit is with a chance of 0.1 %. A pair comes from the least of its buckets.
+    A pair has in common, for each shingle, the weight of the lower of two counts: a sum over counts l of what the
+    l-th occurrence adds where both have it. So each distinct count is one matrix product over shared shingles.
     """
-    placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("n"))
-    placed = placed.join(mixed.where("mixed").select("key", F.ceil(F.col("n") / block).alias("parts")), "key")
-    held = F.collect_list(F.struct("node", "component", "keys", "sketch"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")
-    blocks = materialize(placed.join(sketches, "node").groupBy("key", part).agg(held.alias("held")), "blocks")
-    left = blocks.select("key", F.col("part").alias("c"), F.col("held").alias("left_held"))
-    right = blocks.select("key", F.col("part").alias("d"), F.col("held").alias("right_held"))
-    met = left.join(right, "key").where("c <= d").select("key", "c", "d", "left_held", "right_held")
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = set()
-            for key, c, d, *sides in zip(*(column_of(batch, k).to_pylist() for k in ("key", "c", "d", "left_held", "right_held"))):
-                x, y = (np.array([np.frombuffer(h["sketch"], "<u2") for h in side]) for side in sides)
-                names = {name: k for k, name in enumerate({h["component"] for side in sides for h in side})}
-                in_x, in_y = (np.array([names[h["component"]] for h in side]) for side in sides)
-                keys_x, keys_y = ([frozenset(h["keys"]) for h in side] for side in sides)
-                limit = least - 3 * np.sqrt(least * (1 - least) / x.shape[1])
-                for i, row in enumerate(x):
-                    start = i + 1 if c == d else 0
-                    near = (y[start:] == row).mean(axis=1) >= limit
-                    for j in (start + np.flatnonzero(near & (in_y[start:] != in_x[i]))).tolist():
-                        if key == min(keys_x[i] & keys_y[j]):
-                            p, q = sides[0][i]["node"], sides[1][j]["node"]
-                            found.add((min(p, q), max(p, q)))
-            columns = list(zip(*found)) if found else [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in columns], ["a", "b"])
-
-    return met.mapInArrow(likely, "a binary, b binary").distinct()
+    own = len(left)
+    v = Vectors.of(Words(left if right is None else left + right))
+    n = own if right is None else own + len(right)
+    factor = idf.factor(v.shingle)
+    weight = np.bincount(v.doc, (1 + np.log(v.times)) * factor, minlength=n)
+    _, code = np.unique(v.shingle, return_inverse=True)
+    if right is None:
+        shared = np.bincount(code)[code] > 1
+    else:
+        shared = (np.bincount(code, v.doc < own)[code] > 0) & (np.bincount(code, v.doc >= own)[code] > 0)
+    doc, times, factor, code = v.doc[shared], v.times[shared], factor[shared], code[shared]
+    rows, columns = slice(0, own), slice(0, own) if right is None else slice(own, n)
+    common = np.zeros((own, n if right is None else n - own))
+    if len(code):
+        _, code = np.unique(code, return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        doc, times, factor, code = doc[order], times[order], factor[order], code[order]
+        step = max(1, DENSE_CELLS // n)
+        for start in range(0, int(code[-1]) + 1, step):
+            a, b = np.searchsorted(code, [start, start + step])
+            before = 0.0
+            for count in np.unique(times[a:b]).tolist():
+                at = a + np.flatnonzero(times[a:b] >= count)
+                has = np.zeros((n, step))
+                has[doc[at], code[at] - start] = np.sqrt(factor[at])
+                common += (1 + np.log(count) - before) * (has[rows] @ has[columns].T)
+                before = 1 + np.log(count)
+    joint = weight[rows, None] + weight[None, columns] - common
+    out = np.where(joint > 0, common / np.where(joint > 0, joint, 1.0), 0.0)
+    if right is None:
+        np.fill_diagonal(out, weight > 0)
+    # At the limit the order of summation must not decide.
+    return np.where(np.abs(out - least) < 1e-12, least, out)
+
+
+def _bridges(a: list[int], b: list[int]) -> list[int]:
+    """Positions of as few of the pairs (a, b) of components as join what all of them join."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(a, b)):
+        x, y = find(x), find(y)
+        if x != y:
+            parent[x] = y
+            kept.append(k)
+    return kept
+
+
+def _between_components(members: DataFrame, texts: DataFrame, components: DataFrame, idf: Idf, least: float) -> DataFrame:
+    """Links (a, b) between the components of nodes that share a bucket, found by comparing all pairs in blocks."""
+    sized = texts.select("node", F.length("text").alias("chars"))
+    placed = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sized, "node")
+    marks = [F.sum(F.xxhash64("node", F.lit(salt)).cast("decimal(38,0)")).alias(f"mark{salt}") for salt in (1, 2)]
+    buckets = placed.groupBy("key").agg(
+        (F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("n"), F.sum("chars").alias("chars"), *marks
+    )
+    # Buckets of the same members are compared once.
+    buckets = buckets.where("mixed").groupBy("mark1", "mark2", "n", "chars").agg(F.min("key").alias("key"))
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("chars") / BLOCK_CHARS)).cast("int")
+    buckets = materialize(buckets.select("key", "n", F.least(parts, F.col("n").cast("int")).alias("parts")), "mixed-buckets")
+    small = buckets.where("parts = 1").agg(F.sum("n")).first()[0] or 0
+    units = max(1, -(-small // BLOCK_ROWS))
+
+    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    each = placed.join(buckets.select("key", "parts"), "key").withColumns(
+        {"mine": mine, "other": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))}
+    )
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    # Small buckets share a task's group, a block of a large one is a group of its own.
+    unit = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("key"), F.lit(units))).otherwise(F.lit(units) + F.abs(F.shiftright(F.xxhash64("key", low, high), 2)))
+    side = F.when(low == high, 0).when(F.col("mine") == low, 0).otherwise(1)
+    each = each.select(unit.alias("unit"), "key", low.alias("low"), high.alias("high"), side.alias("side"), "node", "component")
+
+    def compare_blocks(key, table):
+        groups: dict[tuple, tuple[list, list]] = {}
+        columns = (table.column(c).to_pylist() for c in ("key", "low", "high", "side", "node", "component", "text"))
+        for bucket, x, y, where, *row in zip(*columns):
+            groups.setdefault((bucket, x, y), ([], []))[where].append(row)
+        found: list[tuple[bytes, bytes]] = []
+        for (_, x, y), (here, there) in groups.items():
+            other = here if x == y else there
+            if not here or not other:
+                continue
+            near = similarities([r[2] for r in here], None if x == y else [r[2] for r in other], idf, least)
+            names = {name: k for k, name in enumerate({r[1] for r in here + other})}
+            in_here, in_other = (np.array([names[r[1]] for r in rows]) for rows in (here, other))
+            i, j = np.nonzero((near >= least) & (in_here[:, None] != in_other[None]))
+            for k in _bridges(in_here[i].tolist(), in_other[j].tolist()):
+                found.append((here[i[k]][0], other[j[k]][0]))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return each.join(texts, "node").groupBy("unit").applyInArrow(compare_blocks, "a binary, b binary")
 
 
 def _placed(pairs: DataFrame, components: DataFrame, end: str) -> DataFrame:
@@ -303,11 +375,6 @@ def _placed(pairs: DataFrame, components: DataFrame, end: str) -> DataFrame:
     return pairs.join(names, end, "left").withColumn(f"in_{end}", F.coalesce(f"in_{end}", end))
 
 
-def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose nodes are of different components."""
-    return _placed(_placed(pairs, components, "a"), components, "b").where("in_a != in_b").select("a", "b")
-
-
 def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
     """Components after more ``links`` between their nodes: those of the components as nodes, carried over."""
     ends = _placed(_placed(links.select("a", "b"), components, "a"), components, "b")
@@ -329,7 +396,8 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows:
     With 20 bands of 6 samples a pair at the limit shares a bucket with a chance of 99.8 %.
     """
     every = rows_of_documents(docs)
-    out = row_classes(every.where("doc_id IS NOT NULL"), least, bands, rows).select("doc_id", "class_id")
+    known = every.where("doc_id IS NOT NULL")
+    out = settled(lambda: row_classes(known, least, bands, rows).select("doc_id", "class_id"), docs.sparkSession, "classes")
     return out.unionByName(every.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id")))
 
 
@@ -350,22 +418,11 @@ def row_classes(known: DataFrame, least: float = 0.8, bands: int = 20, rows: int
     members = materialize(members.join(lead, "key"), "led-buckets")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "who.row")
     texts = materialize(_texts_of_nodes(known, materialize(wanted, "wanted")), "candidate-texts")
-    pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), "lead_met").distinct()
-    leads = materialize(pairs, "leads")
+    pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), "lead_met")
     best = F.max_by("a", F.struct("lead_met", "a"))
-    done = materialize(leads.groupBy("b").agg(best.alias("a")).select("a", "b"), "best-leads")
-    leads = leads.select("a", "b")
+    done = pairs.groupBy("b").agg(best.alias("a")).select("a", "b")
     component = connected_components(materialize(compare(done, texts, idf, least).select("a", "b"), "links"))
-    apart = _apart(leads.join(done, ["a", "b"], "left_anti"), component)
-    component = _joined(component, compare(apart, texts, idf, least))
-    wanted_nodes = members.select("node").distinct()
-    sketches = signed.where("keys IS NOT NULL").join(wanted_nodes, "node", "left_semi").groupBy("node").agg(
-        F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
-    )
-    rest = _between_components(members.select("key", "node"), sketches, component, least)
-    told = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = materialize(rest.join(told, ["a", "b"], "left_anti"), "rest")
-    component = _joined(component, compare(rest, texts, idf, least))
+    component = _joined(component, _between_components(members.select("key", "node"), texts, component, idf, least))
     named = nodes.join(component, "node")
     least_who = named.groupBy("component").agg(F.min("who").alias("class"))
     classes = named.join(least_who, "component").select("node", "class")
