@@ -66,7 +66,8 @@ def benchmark_items(benchmark: DataFrame, n: int) -> DataFrame:
 
 def _passages(docs: DataFrame, bits: np.ndarray, n: int, short: list[int], reach: int) -> DataFrame:
     """Pieces of documents around possible n-grams of the benchmark, each with its hits."""
-    schema = "passage long, doc_id long, start int, words binary, at array<int>, grams array<long>"
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"passage long, doc_id {kind}, start int, words binary, at array<int>, grams array<long>"
     stride = max(PASSAGE, 4 * reach) - 2 * reach
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +101,7 @@ def _passages(docs: DataFrame, bits: np.ndarray, n: int, short: list[int], reach
                     number += 1
                 if rows:
                     columns = list(zip(*rows))
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                    kinds = [pa.int64(), column_of(batch, "doc_id").type, pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["passage", "doc_id", "start", "words", "at", "grams"]
                     )
@@ -149,6 +150,11 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n
 
     Words are counted from 0 in the document; ``last_word`` is one past the end.
     """
+    return leaked_rows(documents_of(docs), benchmark, least, n)
+
+
+def leaked_rows(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n: int = 4) -> DataFrame:
+    """``leaked_passages`` of (doc_id, text) where doc_id is a key of any orderable kind and text is not null."""
     items = materialize(benchmark_items(benchmark, n), "items")
     seeds = items.select("item_id", "item_key", F.explode("grams").alias("gram")).distinct()
     table_at = F.shiftrightunsigned("gram", 64 - TABLE_BITS).cast("int")
@@ -159,7 +165,7 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n
     short = sorted(r[0] for r in items.where(F.col("length") < n).select("length").distinct().collect())
     packed = np.packbits(bits)
 
-    passages = materialize(_passages(documents_of(docs), np.unpackbits(packed).astype(bool), n, short, reach), "passages")
+    passages = materialize(_passages(docs, np.unpackbits(packed).astype(bool), n, short, reach), "passages")
     met = (
         passages.select("passage", F.explode(F.array_distinct("grams")).alias("gram"))
         .join(seeds, "gram")
@@ -171,6 +177,8 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n
         F.col("item_id").eqNullSafe(F.col("item")) & (F.col("item_key") == F.col("item_text")),
     )
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(w, np.uint64) for w in column_of(batch, "item_words").to_pylist()]
@@ -198,7 +206,7 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, n
             )
 
     scored = pairs.select("doc_id", "item_id", "start", "words", "item_words").mapInArrow(
-        measure, "doc_id long, item_id long, score double, first_word long, last_word long"
+        measure, f"doc_id {kind}, item_id long, score double, first_word long, last_word long"
     )
     best = F.max_by(F.struct("score", "first_word", "last_word"), F.struct(F.col("score"), -F.col("first_word"), -F.col("last_word")))
     return (

@@ -218,7 +218,8 @@ def signatures(docs: DataFrame, idf: Idf, bands: int, rows: int) -> DataFrame:
                     ["row", "doc_id", "node", "keys"],
                 )
 
-    return docs.mapInArrow(sign, "row long, doc_id long, node binary, keys array<long>")
+    kind = docs.schema["row"].dataType.simpleString()
+    return docs.mapInArrow(sign, f"row {kind}, doc_id long, node binary, keys array<long>")
 
 
 def _texts_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -402,7 +403,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 20, rows:
 
 
 def row_classes(known: DataFrame, least: float = 0.8, bands: int = 20, rows: int = 6) -> DataFrame:
-    """(row, doc_id, class_row, class_id) of a table of (row, doc_id, text) with distinct rows.
+    """(row, doc_id, class_row, class_id) of a table of (row, doc_id, text) with distinct rows of any orderable kind.
 
     A class has the name of its row of least doc_id (nulls last), then of least row.
     """
