@@ -8,17 +8,18 @@ goes by its own text. Of rows with equal texts removal keeps one; rows without w
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.llm.common import crc32_text, table, use_package
-from wattlane.llm.decontaminate import leaked_passages
+from wattlane.llm.decontaminate import leaked_rows
 from wattlane.llm.neardup import row_classes
 from wattlane.llm.packing import pack
 from wattlane.llm.quality import fit_quality, score_quality
 from wattlane.llm.queries import tokenizer
 from wattlane.llm.toxicity import fit_toxicity, score_toxicity
-from wattlane.session import materialize
+from wattlane.session import discard, materialize, settled
 
 
 def _unused(df: DataFrame, name: str) -> str:
@@ -28,8 +29,17 @@ def _unused(df: DataFrame, name: str) -> str:
 
 
 def _with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a key of its own for each row, written so that it stays the same, and its name."""
+    """The documents with a key of its own for each row, and its name.
+
+    Rows of files have one already: the file and the place in it. Others are written with a number.
+    """
     name = _unused(docs, "row_key")
+    if "_metadata" not in docs.columns:
+        key = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+        try:
+            return docs.select("*", key.alias(name)), name
+        except AnalysisException:
+            pass  # not a scan of Parquet files
     return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "row-keys"), name
 
 
@@ -59,17 +69,19 @@ def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows = keyed.select(
         F.col(key).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    stay = row_classes(rows).where("row = class_row").select(F.col("row").alias(key))
-    return keyed.join(materialize(stay, "stay"), key, "left_semi").select(*docs.columns)
+    stay = settled(lambda: row_classes(rows).where("row = class_row").select(F.col("row").alias(key)), spark, "stay")
+    return keyed.join(stay, key, "left_semi").select(*docs.columns)
 
 
 def not_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that aligns with a benchmark item."""
     use_package(spark)
     keyed, key = _with_rows(docs)
-    leaked = leaked_passages(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    leaked = leaked.select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(materialize(leaked, "leaked"), key, "left_anti").select(*docs.columns)
+    texts = keyed.select(F.col(key).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    leaked = settled(
+        lambda: leaked_rows(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(key)).distinct(), spark, "leaked"
+    )
+    return keyed.join(leaked, key, "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,7 +105,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, f"pipeline-{name.replace(' ', '-')}")
+            discard(before)
     return docs
