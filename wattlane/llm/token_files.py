@@ -17,6 +17,7 @@ doc_ids and repeated rows: all kept, ordered by text. Empty table: no image. Ext
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlane.llm.common import column_of, crc_of_ids, documents_of, slices, texts_of
+from wattlane.llm.common import column_of, documents_of, slices, texts_of
 from wattlane.llm.tokens import encoder
 from wattlane.session import shuffle_width
 
@@ -105,21 +106,21 @@ class EliasFano:
         return cls(n, low_bits, low, high, samples), at + n_low + n_high + 4 * n_samples
 
 
-def shard_image(keys: list[int | None], parts: list[bytes], dtype: np.dtype) -> tuple[bytes, int]:
-    """An image of the documents and its number of ids; null keys come first."""
+def shard_image(keys: list[int | None], parts: list[bytes], dtype: np.dtype, end: bytes = b"") -> tuple[bytes, int]:
+    """An image of the documents, each with ``end`` after it, and its number of ids; null keys come first."""
     nulls = sum(k is None for k in keys)
     known = np.array(keys[nulls:], dtype=np.int64)
     base = int(known[0]) if len(known) else 0
-    bounds = np.concatenate([[0], np.cumsum([len(p) // dtype.itemsize for p in parts])]).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum([(len(p) + len(end)) // dtype.itemsize for p in parts])]).astype(np.int64)
     gaps = known.astype(np.uint64) - np.int64(base).astype(np.uint64)
     head = MAGIC + struct.pack("<BqQQ", dtype.itemsize, base, nulls, int(bounds[-1]))
-    return head + EliasFano.encode(bounds).pack() + EliasFano.encode(gaps).pack() + b"".join(parts), int(bounds[-1])
+    return head + EliasFano.encode(bounds).pack() + EliasFano.encode(gaps).pack() + end.join([*parts, b""]), int(bounds[-1])
 
 
 class ShardReader:
     """Documents of one image; ``offset(i)`` reads one boundary, ``bounds`` all of them."""
 
-    def __init__(self, image: bytes) -> None:
+    def __init__(self, image: bytes | memoryview) -> None:
         view = memoryview(image)
         if bytes(view[: len(MAGIC)]) != MAGIC:
             raise ValueError("not a token shard")
@@ -138,7 +139,17 @@ class ShardReader:
         return self.ids[self.offset(i) : self.offset(i + 1)]
 
     def keys(self) -> list[int | None]:
-        return [None] * self.nulls + [self.base + int(g) for g in self.gaps.decode()]
+        return self.key_array().to_pylist()
+
+    def key_array(self) -> pa.Array:
+        known = self.gaps.decode() + self.base
+        return pa.concat_arrays([pa.nulls(self.nulls, pa.int64()), pa.array(known, pa.int64())])
+
+    def digests(self, bounds: np.ndarray) -> list[int]:
+        """Unsigned crc32 of each document's ids as little-endian unsigned 32-bit integers, which are made once."""
+        wide = memoryview(self.ids.astype("<u4")).cast("B") if len(self.ids) else memoryview(b"")
+        ends = (4 * bounds).tolist()
+        return [zlib.crc32(wide[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def token_images(docs: DataFrame, tokenizer_path: str, end_id: int = 0, shard_tokens: int = 1 << 21) -> DataFrame:
@@ -157,7 +168,7 @@ def token_images(docs: DataFrame, tokenizer_path: str, end_id: int = 0, shard_to
         size = 0
 
         def close() -> pa.RecordBatch:
-            image, n = shard_image(keys, parts, coder.dtype)
+            image, n = shard_image(keys, parts, coder.dtype, end)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
@@ -180,7 +191,7 @@ def token_images(docs: DataFrame, tokenizer_path: str, end_id: int = 0, shard_to
                         seq, before = seq + 1, before + size
                         keys, parts, size = [], [], 0
                     keys.append(key)
-                    parts.append(got + end)
+                    parts.append(got)
                     size += n
         if keys:
             yield close()
@@ -209,15 +220,14 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                shard = ShardReader(column_of(batch, "image")[i].as_buffer().to_pybytes())
+                shard = ShardReader(memoryview(column_of(batch, "image")[i].as_buffer()))
                 first = column_of(batch, "shard_start")[i].as_py()
                 bounds = shard.boundaries.decode()
-                pieces = [shard.ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
                 out = [
-                    pa.array(shard.keys(), pa.int64()),
+                    shard.key_array(),
                     pa.array(bounds[:-1] + first, pa.int64()),
                     pa.array(np.diff(bounds), pa.int64()),
-                    pa.array([crc_of_ids(p) for p in pieces], pa.int64()),
+                    pa.array(shard.digests(bounds), pa.int64()),
                 ]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_ids:

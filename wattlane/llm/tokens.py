@@ -92,10 +92,10 @@ class PieceEncoder:
             return [self._whole(t) for t in texts]
         out = []
         look, first = self.inner.__getitem__, self.first.__getitem__
+        if len(self.inner) + len(self.first) + len(self.parts) > CACHE_PIECES:
+            for cache in (self.inner, self.first, self.parts):
+                cache.clear()
         for text in texts:
-            if len(self.inner) + len(self.first) + len(self.parts) > CACHE_PIECES:
-                for cache in (self.inner, self.first, self.parts):
-                    cache.clear()
             if _other_space(text) or any(token in text for token in self.added):
                 out.append(self._whole(text))
             elif self.kind == "word":
