@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wattlane.llm.components import connected_components
@@ -211,3 +212,14 @@ def test_chains_of_near_copies_at_the_limit_are_joined(spark, monkeypatch):
     assert got == want and 6 < len(set(want.values())) < 150
     default = {r.doc_id: r.class_id for r in near_duplicates(frame).collect()}
     assert sum(default[i] == c for i, c in want.items()) >= 0.98 * len(rows)
+
+
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (50, [1e-200, 1e-200]), (3, [1.0, 1.0]), (4, [1.0, -1.0]), (5, [5e-324, 0.0]), (6, [1.7e308, 1.7e308])]
+    found = defaultdict(list)
+    for r in sorted(nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect(), key=lambda r: r.rank):
+        found[r.query_id].append((r.vec_id, r.score))
+    for q, others in found.items():
+        assert sorted(i for i, _ in others[:3]) == [i for i in (0, 3, 6, 50) if i != q] and [i for i, _ in others[3:]] == [5, 4]
+        assert [s for _, s in others][:3] == [pytest.approx(1.0, abs=1e-15)] * 3 and others[3][1] == pytest.approx(0.5**0.5) and others[4][1] == 0
+    assert set(found) == {0, 50}

@@ -133,3 +133,17 @@ def test_backoff_of_higher_orders_equals_counters(docs, monkeypatch, order, leas
     got = [(-1 if r.doc_id is None else r.doc_id, r.n_words, 1.0 if r.log_score is None else r.log_score) for r in got]
     for a, b in zip(sorted(got), sorted(want), strict=True):
         assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9)
+
+
+def test_wrappers_and_attributes_do_not_hide_the_article(spark):
+    body = "<p>First line of it.</p><p class='related-work'>Second line.</p>"
+    odd = "<section title=\"the hidden cost\"><p>Third.</p></section><div data-hidden='false' data-x=\"class='ad'\"><p>Fourth.</p></div>"
+    pages = [
+        f"<html><body><nav>Menu</nav><div class='{c}'><article>{body}{odd}</article><div class='ad'>Buy</div></div></body></html>"
+        for c in ("wrapper has-sidebar", "layout no-sidebar", "content ad-free", "plain")
+    ]
+    pages.append(f"<body><article>{body}{odd}</article><div class='comments'><article><p>A reader says.</p></article></div></body>")
+    pages.append(f"<body><article>{body}{odd}<p class='notice'>We use cookies.</p><div hidden><p>No.</p></div></article></body>")
+    rows = [(i, f"http://h{i}.example/a", p) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert set(got.values()) == {"First line of it.\nSecond line.\nThird.\nFourth."}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 _EVENT = re.compile(
@@ -13,7 +13,8 @@ _EVENT = re.compile(
     re.S | re.I,
 )
 _TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READ = {"class", "id", "role", "itemprop", "hidden", "aria-hidden"}
 _WORD = re.compile(r"[a-z]+")
 
 # Element names and the words of class, id and role that mark what is no article text.
@@ -31,6 +32,8 @@ DROPPED_WORDS = {
     "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 MAIN_WORDS = {"main", "articlebody"}
+# Elements of running text: left out for a whole name such as "notice", not for a part of one such as "related-work".
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 _CLOSED_BY = {"p": "p", "li": "li", "dt": "dt", "dd": "dd", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 
 
@@ -42,27 +45,50 @@ class Event:
     dropped: bool  # inside something that is no article text
     main: int  # 2 for an article, 1 for a main element, else 0
     text: str = ""
+    number: int = 0  # of an element, in the order they open
 
 
-def _kind_of(raw: str, name: str) -> tuple[str, bool, int]:
-    """Name with its classes and id, whether it is dropped, and how much it looks like the article."""
-    label, dropped, main = name, name in DROPPED, 2 if name == "article" else 1 if name == "main" else 0
+def _kind_of(raw: str, name: str) -> tuple[str, bool, bool, int]:
+    """Name with its classes and id; whether it is left out for what it is and for how it is called; how much it looks like the article."""
+    label, dropped, called, main = name, name in DROPPED, False, 2 if name == "article" else 1 if name == "main" else 0
     if len(raw) > len(name) + 2:
-        for key, a, b, c in _ATTRIBUTE.findall(raw):
+        for key, a, b, c in _ATTRIBUTE.findall(raw, len(name) + 1):
             key, value = key.lower(), (a or b or c).lower()
+            if key not in _READ:
+                continue
             if key in ("hidden", "aria-hidden"):
                 dropped = dropped or key == "hidden" or value == "true"
                 continue
             words = _WORD.findall(value)
             label += f".{'-'.join(words)}"
             if name not in ("html", "body", "article", "main"):
-                dropped = dropped or not DROPPED_WORDS.isdisjoint(words)
+                called = called or not DROPPED_WORDS.isdisjoint(value.split() if name in PROSE else words)
             if key != "class" and not MAIN_WORDS.isdisjoint(words):
                 main = max(main, 1)
-    return label, dropped, main
+    return label, dropped, called, main
 
 
 def events(page: str) -> Iterator[Event]:
+    """The events in order. Where every article lies inside elements left out for their class, id or role, those wrappers stay."""
+    found = list(_events(page, frozenset()))
+    if not any(e.main for e in found):
+        wrappers: set[int] = set()
+        around: list[int] = []
+        for e in _events(page, None):
+            if e.kind == "open":
+                around.append(e.number)
+                if e.main:
+                    wrappers.update(around)
+            elif e.kind == "close" and around:
+                around.pop()
+        if wrappers:
+            found = list(_events(page, wrappers))
+    return iter(found)
+
+
+def _events(page: str, kept: Container[int] | None) -> Iterator[Event]:
+    """Events where the elements of the numbers ``kept`` (None: all) are not left out for how they are called."""
+    number = 0
     stack: list[tuple[str, str, bool]] = []  # name, path, dropped
     for found in _EVENT.finditer(page):
         raw = found.group()
@@ -97,9 +123,10 @@ def events(page: str) -> Iterator[Event]:
                 if inner not in INLINE:
                     yield Event("close", inner, inner_path, inner_dropped, 0)
             path, dropped = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-        label, own, main = _kind_of(raw, name)
-        path, dropped = f"{path}/{label}", dropped or own
-        yield Event("open", name, path, dropped, 0 if dropped else main)
+        label, own, called, main = _kind_of(raw, name)
+        number += 1
+        path, dropped = f"{path}/{label}", dropped or own or called and kept is not None and number not in kept
+        yield Event("open", name, path, dropped, 0 if dropped else main, number=number)
         if not raw.endswith("/>"):
             stack.append((name, path, dropped))
     while stack:

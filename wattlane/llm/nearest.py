@@ -73,7 +73,7 @@ class Tree:
 def fit_tree(sample: np.ndarray, leaf_rows: int, seed: int = 3, rounds: int = 12) -> Tree:
     """Spherical k-means, split again until a leaf holds at most ``leaf_rows`` of the sample."""
     rng = np.random.default_rng(seed)
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    unit = _unit(sample)
     centres, children, leaf = [unit.mean(axis=0)], [(0, 0)], [-1]
     todo, n_leaves = [(0, np.arange(len(unit)))], 0
     while todo:
@@ -107,9 +107,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.astype(np.float64).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, so that no square overflows or vanishes; cosines stay the same to the bit."""
+    power = np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]
+    # Two steps, as the power itself may be beyond a double.
+    return np.ldexp(np.ldexp(x, -(power // 2)), -(power - power // 2))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    big = np.abs(x).max(axis=1, keepdims=True)
-    x = x / big
+    x = _scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -124,7 +130,7 @@ def best_of(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> t
     k = min(k, len(ids))
     limit = np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k]
     q, r = np.nonzero(near >= limit[:, None] - 1e-9)
-    exact = cosines(queries[q], rows[r])
+    exact = cosines(_scaled(queries)[q], _scaled(rows)[r])
     order = np.lexsort((ids[r], -exact, q))
     q, r, exact = q[order], r[order], exact[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
