@@ -20,6 +20,7 @@ from wattlane.plans.registry import Catalog, rounded
 from wattlane.schema import FEATURES, KEYS, PART, SERIES, TS, VALUE
 from wattlane.session import materialize, scratch_path
 from wattlane.sources import readings, sinks
+from wattlane.streaming import daily
 
 CATALOG = Catalog()
 add = CATALOG.add
@@ -423,6 +424,25 @@ add(
     AS prediction FROM parts, m WHERE part = 'test'""",
 )
 
+# ---- streaming: all files of a table, then what has been appended
+
+
+def _stream_day_sums(s, d):
+    events = daily.stream_of_table(s, f"{d}/events.parquet")
+    rows = events.select(F.col("user_id").alias(SERIES), TS, F.col(VALUE).cast("decimal(18,2)").alias(VALUE))
+    output = scratch_path(s, "day-sums")
+    daily.write_day_sums(rows, output, scratch_path(s, "stream-state"), "2 days").awaitTermination()
+    return rounded(s.read.parquet(output).select("day", F.col("total").cast("double").alias("total"), "readings"))
+
+
+add(
+    "stream_day_sums",
+    _stream_day_sums,
+    f"""SELECT CAST(ts AS DATE) AS day, {r('sum(CAST(value AS DECIMAL(18, 2)))')} AS total, count(value) AS readings FROM events
+    GROUP BY 1 HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY
+      <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY FROM events)""",
+)
+
 # ---- sources and sinks: written below the shared folder, then read back
 
 
