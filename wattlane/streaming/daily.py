@@ -45,4 +45,9 @@ def write_day_sums(
 def stream_of_table(spark: SparkSession, path: str, files_at_once: int = 64) -> DataFrame:
     """The files of a Parquet table as a stream, with the table's own columns."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        # A stream watches folders, so a single file is picked by its name.
+        return stream.option("pathGlobFilter", place.getName()).option("recursiveFileLookup", "true").parquet(str(place.getParent()))
+    return stream.parquet(path)
