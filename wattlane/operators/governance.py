@@ -299,12 +299,40 @@ def promotion_events(
     return accepted.select(MODEL, F.explode(rows).alias("_e")).select(MODEL, "_e.*")
 
 
+def six_digits(value: Column) -> Column:
+    return F.when(value.isNotNull(), F.format_string("%.6f", value))
+
+
+# How a promotion is told on the challenger.
+PROMOTED, HELD, BASIS = "promoted_to_champion", "held_as_challenger", "champion_vs_challenger"
+
+
+def promotion_tags(gate: DataFrame, min_gain: float = 0.02) -> DataFrame:
+    """Tag writes that record a round of ``promotion_gate`` on the challengers; gains and threshold to six digits."""
+    accepted = F.col("promotion_status") == "accepted"
+    met = F.concat(F.lit("gain "), percent(F.col("rmse_gain")), F.lit(" >= "), percent(F.lit(min_gain)))
+    writes = [
+        ("promotion_status", F.col("promotion_status")),
+        ("governance_decision", F.when(accepted, PROMOTED).otherwise(HELD)),
+        ("decision_note", F.concat(F.col("promotion_status"), F.lit(": "), F.when(accepted, met).otherwise(F.col("reasons")))),
+        ("rejected_reason", F.when(~accepted, F.col("reasons"))),
+        ("rmse_gain", six_digits(F.col("rmse_gain"))),
+        ("mae_gain", six_digits(F.col("mae_gain"))),
+        ("promotion_threshold", six_digits(F.lit(min_gain))),
+        ("comparison_basis", F.lit(BASIS)),
+    ]
+    rows = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value"), F.lit(i).cast("long").alias("seq")) for i, (k, v) in enumerate(writes, start=1)])
+    judged = gate.where(F.col("promotion_status") != "none")
+    written = judged.select(MODEL, F.col("challenger_version").alias(VERSION), F.explode(rows).alias("_e")).select(MODEL, VERSION, "_e.*")
+    return written.where(F.col("value").isNotNull())
+
+
 def governance_tags(ranks: DataFrame, decisions: DataFrame) -> DataFrame:
     """Tag writes that record a governance round on the validated versions.
 
     ``ranks`` comes from ``govern_rank`` and ``decisions`` from ``govern_decision``. Every ranked
-    version gets its rank and whether it was selected; the best one also the decision, its
-    reason, the gains and the champion it was compared with.
+    version gets its rank, that it is validated and whether it was selected; the best one also the decision, its
+    reason, the gains (to six digits, so that they can be compared) and the champion it was compared with.
     """
     table = ranks.select(MODEL, VERSION, "rank", "is_best").join(
         decisions.select(MODEL, "decision", "reason", "rmse_gain", "mae_gain", "champion_version"),
@@ -317,9 +345,10 @@ def governance_tags(ranks: DataFrame, decisions: DataFrame) -> DataFrame:
         ("governance_selected", F.col("is_best").cast("string")),
         ("governance_decision", F.when(best, F.col("decision"))),
         ("governance_reason", F.when(best, F.col("reason"))),
-        ("governance_rmse_gain", F.when(best, percent(F.col("rmse_gain")))),
-        ("governance_mae_gain", F.when(best, percent(F.col("mae_gain")))),
+        ("governance_rmse_gain", F.when(best, six_digits(F.col("rmse_gain")))),
+        ("governance_mae_gain", F.when(best, six_digits(F.col("mae_gain")))),
         ("governance_compared_with", F.when(best, F.col("champion_version"))),
+        ("governance_validated", F.lit("true")),
     ]
     rows = F.array(
         *[

@@ -175,6 +175,25 @@ add(
 )
 
 
+add(
+    "promotion_tags",
+    lambda s, d: governance.promotion_tags(_gate(s, d)),
+    _gate_sql(False)
+    + """, w AS (SELECT g.model_name, g.challenger_version AS version, t.key, CAST(t.seq AS BIGINT) AS seq, CASE t.seq
+      WHEN 1 THEN promotion_status
+      WHEN 2 THEN CASE promotion_status WHEN 'accepted' THEN 'promoted_to_champion' ELSE 'held_as_challenger' END
+      WHEN 3 THEN promotion_status || ': ' || CASE promotion_status WHEN 'accepted'
+        THEN printf('gain %.2f%% >= 2.00%%', p.gain * 100) ELSE reasons END
+      WHEN 4 THEN CASE WHEN promotion_status <> 'accepted' THEN reasons END
+      WHEN 5 THEN printf('%.6f', p.gain) WHEN 6 THEN printf('%.6f', p.mgain)
+      WHEN 7 THEN '0.020000' ELSE 'champion_vs_challenger' END AS value
+    FROM gated g JOIN p ON p.model_name = g.model_name,
+      (VALUES ('promotion_status', 1), ('governance_decision', 2), ('decision_note', 3), ('rejected_reason', 4),
+       ('rmse_gain', 5), ('mae_gain', 6), ('promotion_threshold', 7), ('comparison_basis', 8)) t(key, seq)
+    WHERE promotion_status <> 'none') SELECT * FROM w WHERE value IS NOT NULL""",
+)
+
+
 def _governance_tags(s, d):
     versions, events = C.versions(s, d), C.alias_events(s, d)
     ranks = governance.govern_rank(versions, events)
@@ -190,13 +209,13 @@ add(
     w AS (SELECT k.model_name, k.version, t.key, CAST(t.seq AS BIGINT) AS seq, CASE t.seq
       WHEN 1 THEN CAST(k.k AS VARCHAR) WHEN 2 THEN CAST(k.k = 1 AS VARCHAR)
       WHEN 3 THEN CASE WHEN k.k = 1 THEN decision END WHEN 4 THEN CASE WHEN k.k = 1 THEN reason END
-      WHEN 5 THEN CASE WHEN k.k = 1 AND gain IS NOT NULL THEN printf('%.2f%%', gain * 100) END
-      WHEN 6 THEN CASE WHEN k.k = 1 AND mgain IS NOT NULL THEN printf('%.2f%%', mgain * 100) END
-      ELSE CASE WHEN k.k = 1 THEN cv END END AS value
+      WHEN 5 THEN CASE WHEN k.k = 1 AND gain IS NOT NULL THEN printf('%.6f', gain) END
+      WHEN 6 THEN CASE WHEN k.k = 1 AND mgain IS NOT NULL THEN printf('%.6f', mgain) END
+      WHEN 7 THEN CASE WHEN k.k = 1 THEN cv END ELSE 'true' END AS value
     FROM k JOIN decisions d ON d.model_name = k.model_name,
       (VALUES ('governance_rank', 1), ('governance_selected', 2), ('governance_decision', 3),
        ('governance_reason', 4), ('governance_rmse_gain', 5), ('governance_mae_gain', 6),
-       ('governance_compared_with', 7)) t(key, seq))
+       ('governance_compared_with', 7), ('governance_validated', 8)) t(key, seq))
     SELECT * FROM w WHERE value IS NOT NULL""",
 )
 add(
