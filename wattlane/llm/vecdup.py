@@ -67,12 +67,18 @@ def matrix_of(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, dim)
 
 
+def nearest_centre(unit: np.ndarray, centre: np.ndarray, rows: int = 1024) -> np.ndarray:
+    """Number of the nearest direction of each row; the first of equals. ``rows`` bounds the products held at once."""
+    parts = [(unit[a : a + rows] @ centre.T).argmax(axis=1) for a in range(0, len(unit), rows)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+
 def spherical_k_means(unit: np.ndarray, k: int, rounds: int = 10, seed: int = 3) -> np.ndarray:
     """Directions of ``k`` cells (fewer for fewer rows); an empty cell keeps its direction."""
     rng = np.random.default_rng(seed)
     centre = unit[rng.choice(len(unit), min(k, len(unit)), replace=False)]
     for _ in range(rounds):
-        near = (unit @ centre.T).argmax(axis=1)
+        near = nearest_centre(unit, centre)
         total = np.zeros_like(centre)
         np.add.at(total, near, unit)
         size = np.sqrt((total * total).sum(axis=1, keepdims=True))
@@ -96,7 +102,7 @@ class Cells:
 
     def home(self, unit: np.ndarray) -> np.ndarray:
         centre = self.centre.get(unit.shape[1])
-        return np.zeros(len(unit), dtype=np.int64) if centre is None else (unit @ centre.T).argmax(axis=1)
+        return np.zeros(len(unit), dtype=np.int64) if centre is None else nearest_centre(unit, centre)
 
     def probes(self, unit: np.ndarray, home: int, radius: np.ndarray) -> list[list[int]]:
         """Other cells in which each row (a ball of that radius around it) may have links."""
