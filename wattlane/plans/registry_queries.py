@@ -500,6 +500,20 @@ def _read_panel(s, d):
 add("read_panel", _read_panel, f"{with_ctes(NATION_FACTS)} SELECT series_id, ts, value FROM facts")
 
 
+def _read_panel_csv(s, d):
+    """The first 1000 timestamps of a readings file, told by its suffix."""
+    path = scratch_path(s, "readings") + ".csv"
+    sinks.write_readings_csv(nation_wide(s, d), path)
+    return rounded(panel.wide_to_long_dropna(readings.read_panel(s, path, nrows=1000)).select(SERIES, TS, VALUE))
+
+
+add(
+    "read_panel_csv",
+    _read_panel_csv,
+    READINGS_SQL + " WHERE ts IN (SELECT DISTINCT ts FROM facts ORDER BY ts LIMIT 1000)",
+)
+
+
 def _pruned(s, d):
     path = scratch_path(s, "features")
     P.daily_features(s, d).write.parquet(path)
