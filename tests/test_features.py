@@ -5,11 +5,13 @@ import pytest
 from wattlane.functions.ranking import series_positions
 from wattlane.operators.features import (
     build_features,
+    features_of_facts,
     in_blocks,
     persistence_errors,
     step_label,
     sub_day_lags,
 )
+from wattlane.operators.joins import rejoin_target
 from wattlane.operators.panel import dense_panel
 
 
@@ -110,3 +112,45 @@ def test_means_of_doubles_forget_what_has_left_the_window(make_panel):
             else:
                 assert abs(row.m - sum(window) / 7) <= 1e-9 * max(1, abs(row.m))
         assert abs(rows[-1].m - 0.1) < 1e-12
+
+
+def sparse_facts(spark, series=40, steps=3000):
+    """Two facts for each series, at its own place and at the end; the first series has one on the first day."""
+    days = "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(d)"
+    return spark.range(series).selectExpr(
+        "id AS series_id", f"explode(array(int(id * 7), {steps - 1})) AS d", "id + 1 AS value"
+    ).selectExpr("series_id", f"{days} AS ts", "value")
+
+
+@pytest.mark.parametrize("doubles", [False, True])
+def test_features_unfolded_in_blocks_equal_those_of_the_panel(spark, doubles):
+    facts = sparse_facts(spark, 5, 400)
+    lags, windows = {"l3": 3, "l10": 10}, {"w7": 7}
+    change = (lambda df: df.withColumn("value", df.value.cast("double") / 3)) if doubles else (lambda df: df)
+    got = features_of_facts(facts, 86400, 1, lags, windows, min_block=16, change=change)
+    want = build_features(change(dense_panel(facts, 86400)), 1, lags, windows, min_block=100000)
+    assert got.columns == want.columns
+    assert got.count() == 5 * 400
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_dense_panel_keeps_positions_in_a_period_and_skips_what_is_off_the_grid(spark):
+    facts = spark.sql(
+        """SELECT series_id, CAST(ts AS TIMESTAMP_NTZ) AS ts, value FROM VALUES ('a', '2000-01-01', 5),
+        ('a', '2000-01-09', 4), ('a', '2000-01-04', 2), ('a', '2000-01-05 06:00:00', 9), (NULL, '2000-01-04', 3),
+        ('b', NULL, 1) AS t(series_id, ts, value)"""
+    )
+    rows = dense_panel(facts, 86400, "2000-01-03", "2000-01-05 12:00:00").collect()
+    got = {(r.series_id, r.ts.day, r.pos): r.value for r in rows}
+    assert got == {(s, d, d - 1): 2 if (s, d) == ("a", 4) else 0 for s in ("a", "b", None) for d in (3, 4, 5)}
+
+
+def test_a_panel_that_unfolds_from_little_is_not_broadcast(spark):
+    facts = sparse_facts(spark)
+    target = dense_panel(facts, 86400).where("value > 0").select("series_id", "ts", "value")
+    features = features_of_facts(facts, 86400, 1, {"l7": 7}, {}).select("series_id", "ts", "l7")
+    joined = rejoin_target(features, target)
+    assert joined.where("value IS NOT NULL").count() == 80 and joined.count() == 120000
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
