@@ -147,3 +147,14 @@ def test_wrappers_and_attributes_do_not_hide_the_article(spark):
     rows = [(i, f"http://h{i}.example/a", p) for i, p in enumerate(pages)]
     got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert set(got.values()) == {"First line of it.\nSecond line.\nThird.\nFourth."}
+
+
+def test_the_backoff_query_backs_off(spark, docs, tmp_path):
+    from wattlane.llm.queries import QUERIES
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.log_score for r in QUERIES["op8_backoff_scores"](spark, str(tmp_path)).collect()}
+    # Every trigram of the documents is seen once at least, so with a least count of 1 none would back off.
+    scores = {n: {r.doc_id: r.log_score for r in backoff_scores(docs, least_count=n, order=3).collect()} for n in (1, 2)}
+    assert got == {k: None if v is None else pytest.approx(v, abs=1e-3) for k, v in scores[2].items()}
+    assert sum(v is not None and abs(v - scores[1][k]) > 0.1 for k, v in got.items()) > 20

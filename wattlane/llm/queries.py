@@ -88,8 +88,8 @@ ORACLES["op1_chat_repair"] = chat.oracle_sql()
 
 @query
 def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trigrams with all counts; rounded, since partial sums are added in any order."""
-    scores = lmscore.backoff_scores(table(spark, sf_dir, "documents"), least_count=1, order=3)
+    """Trigrams; one seen only where it is scored backs off. Rounded, since partial sums are added in any order."""
+    scores = lmscore.backoff_scores(table(spark, sf_dir, "documents"), least_count=2, order=3)
     return scores.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
