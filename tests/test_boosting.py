@@ -129,3 +129,21 @@ def test_edges_of_many_values_are_percentiles():
     edges = boosting.bin_edges(values)
     assert len(edges) == 255 and np.bincount(np.searchsorted(edges, values)).max() <= 41
     assert boosting.bin_edges(np.array([3.0, 1.0, 3.0])).tolist() == [2.0]
+
+
+def test_rows_of_the_edges_are_those_of_least_hash(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "EDGE_SAMPLE", 300)
+    df = spark.range(5000).selectExpr("id", "cast(id as double) AS a", "1 AS same")
+    for keys in (["id"], ["same"]):
+        want = boosting.sample_n(df, 300, seed=42, keys=[*keys]).select("a").toPandas()["a"]
+        got = boosting._drawn(df, [F.col("a")], keys, 5000)
+        assert len(got) == 300 and (keys == ["same"] or sorted(got[:, 0]) == sorted(want))
+
+
+def test_a_prediction_needs_no_step_by_step_expression(spark, data):
+    df, x, _ = data
+    model = boosting.fit_leafwise(df, ["a", "b", "c"], rounds=3, max_leaves=8)
+    plan = df.select(model.prediction())._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    nan = spark.createDataFrame([(float("nan"), 1.0, 2.0)], "a double, b double, c double").select(model.prediction().alias("p"))
+    assert nan.first().p == pytest.approx(model.predict(np.array([[np.nan, 1.0, 2.0]]))[0])
