@@ -103,3 +103,34 @@ def test_a_split_makes_the_rows_of_its_days(spark, monkeypatch):
     whole = filters.drop_incomplete(panels.daily_features(spark, SF), FEATURES)
     assert got.count() == model_queries.split_v1(whole).count()
     assert made[0].value == panels.daily_panel(spark, SF, *model_queries.V1_DAYS).count()
+
+
+def test_only_asked_rows_of_features_leave_their_blocks(spark, make_panel):
+    facts = make_panel({"a": [float(i * i % 17) for i in range(60)], "b": [float(i) for i in range(60)]})
+    facts = facts.where("value % 3 <> 1").withColumn("value", F.col("value").cast("bigint"))
+    options = {"lags": {"lag_1d": 1, "lag_7d": 7}, "windows": {"mean_7": 7}, "min_block": 16}
+    whole = features.features_of_facts(facts, 86400, 1, **options)
+    # Unknown series, times off the grid and outside of the panel, a null series, repeated keys and steps without a fact.
+    keys = [("a", "2020-01-01"), ("a", "2020-01-17"), ("a", "2020-01-28"), ("b", "2020-02-01"), ("b", "2020-02-02"), ("a", "2020-01-17"),
+            ("c", "2020-01-05"), ("a", "2020-01-05 12:00:00"), ("b", "2021-01-01"), (None, "2020-01-05")]
+    asked = spark.createDataFrame(keys, "series_id string, t string").select("series_id", F.col("t").cast("timestamp_ntz").alias("ts"))
+    got = features.features_of_facts(facts, 86400, 1, **options, asked=asked)
+    want = whole.join(asked.distinct(), ["series_id", "ts"], "left_semi")
+    assert got.columns == whole.columns
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 5
+    assert {r["value"] for r in got.collect()} > {0}
+
+
+@needs_tables
+def test_lookups_join_requested_rows_only(spark, monkeypatch):
+    made = []
+    whole = panels.hourly_features
+
+    def watched(*args):
+        df, seen = counted(whole(*args))
+        made.append(seen)
+        return df
+
+    monkeypatch.setattr(panels, "hourly_features", watched)
+    rows = catalog().queries["lookup_features"](spark, SF).collect()
+    assert len(rows) == 1000 and 0 < made[0].value <= 1000
