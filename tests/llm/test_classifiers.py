@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from wattlane.llm.quality import STATISTICS, document_statistics, fit_trees, quality_scores
-from wattlane.llm.toxicity import fit_noisy_or, score_toxicity, sentences_of, toxicity_scores
+from wattlane.llm.toxicity import fit_noisy_or, fit_toxicity, occurrences_of, score_toxicity, sentences_of, toxicity_scores
 
 
 def corpus(spark, n=500):
@@ -49,6 +49,32 @@ def test_offending_sentences_are_located(spark):
     assert got[1].score > 0.5 and not got[2].offending and got[3].score == 0
 
 
+def test_no_text_reaches_the_task_that_fits(spark, monkeypatch):
+    docs, labels = corpus(spark, 200)
+    gathered = []
+    kind = type(docs)
+    deal = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda df, n, *by: gathered.append(df.columns) or deal(df, n, *by))
+    model = fit_toxicity(docs, labels, F.lit(True))
+    assert gathered and not any("text" in columns for columns in gathered)
+    rows = docs.join(labels.where("toxic is not null"), "doc_id").orderBy("doc_id").collect()
+    want = fit_noisy_or([r.text for r in rows], np.array([r.toxic for r in rows]))
+    assert len(want.at) and np.array_equal(model.at, want.at)
+    assert np.allclose(model.value, want.value) and np.isclose(model.bias, want.bias)
+
+
+def test_occurrences_of_features(texts):
+    some = [t or "" for t in texts]
+    s = sentences_of(some)
+    used = np.unique(s.feature)[::7].astype(np.int64)
+    for d, (n, places, at) in enumerate(occurrences_of(some, used)):
+        own = sentences_of([some[d]])
+        assert n == len(own.doc) == int((s.doc == d).sum())
+        ends = np.append(own.first_word, len(own.feature))
+        want = [(f, k) for k in range(n) for f in own.feature[ends[k] : ends[k + 1]].ravel().tolist() if f in set(used.tolist())]
+        assert list(zip(used[places].tolist(), at.tolist())) == want
+
+
 def test_noisy_or_is_that_of_the_sentences(texts):
     some = [t or "" for t in texts[:50]]
     model = fit_noisy_or(some, np.arange(50) % 2, least_docs=1, least_z=0.0)

@@ -5,8 +5,9 @@ is a logistic score of its words and word beginnings, hashed into ``1 << BITS``
 document's is the noisy-or of its sentences. Only document labels are used for the fit, and the
 sentences that raise a document's score come out of it.
 
-The fit runs in one task on a bounded sample of labelled documents (``per_class`` of each
-class at most); the model is an array of a fixed size. Scores cover whole texts.
+The fit uses a bounded sample of labelled documents (``per_class`` of each class at most). Its words are
+counted and looked up in the tasks that read them; one task gets the occurrences of the chosen features and
+makes the steps. The model is an array of a fixed size. Scores cover whole texts.
 
 Null or empty text: no sentence, score 0. Null doc_id: scored, not held out. Without labels or
 with one class only, every score is 0. Repeated rows: each is scored. Extra columns: ignored.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,9 @@ class Sentences:
     doc: np.ndarray  # of each sentence
     n_docs: int
 
+    def doc_of_words(self) -> np.ndarray:
+        return np.repeat(self.doc, np.diff(np.append(self.first_word, len(self.feature))))
+
 
 def sentences_of(texts: Sequence[str]) -> Sentences:
     words = Words(texts, BEGINNINGS)
@@ -91,73 +96,135 @@ def sentence_logits(weight: np.ndarray, bias: float, feature: np.ndarray, first_
 NO_MODEL = NoisyOr(np.zeros(0, np.int64), np.zeros(0), -800.0)
 
 
-def fit_noisy_or(
-    texts: Sequence[str], y: np.ndarray, rounds: int = 500, l2: float = 0.5, rate: float = 0.15, least_docs: int = 5, least_z: float = 4.0
+def feature_documents(texts: Sequence[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the texts, and in how many texts of label 0 and of label 1 each occurs."""
+    found = [(np.zeros(0, np.int64), np.zeros((0, 2), np.int64))]
+    for a, b in slices(texts):
+        s = sentences_of(texts[a:b])
+        pairs = np.unique(s.feature.astype(np.int64) + (s.doc_of_words()[:, None].astype(np.int64) << BITS))
+        feature, at = np.unique(pairs & ((1 << BITS) - 1), return_inverse=True)
+        label = y[a + (pairs >> BITS)]
+        found.append((feature, np.column_stack([np.bincount(at, label == k, len(feature)).astype(np.int64) for k in (0, 1)])))
+    feature, at = np.unique(np.concatenate([f for f, _ in found]), return_inverse=True)
+    counts = np.zeros((len(feature), 2), dtype=np.int64)
+    np.add.at(counts, at, np.concatenate([c for _, c in found]))
+    return feature, counts
+
+
+def occurrences_of(texts: Sequence[str], used: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of each text the number of its sentences, and the places in ``used`` (ascending) of its features with their sentences."""
+    for a, b in slices(texts):
+        s = sentences_of(texts[a:b])
+        place = np.minimum(np.searchsorted(used, s.feature), max(len(used) - 1, 0))
+        row, column = np.nonzero(used[place] == s.feature) if len(used) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        sentence = np.searchsorted(s.first_word, row, side="right") - 1
+        first = np.searchsorted(s.doc, np.arange(s.n_docs + 1))
+        cut = np.searchsorted(sentence, first)
+        for d in range(s.n_docs):
+            x, z = cut[d], cut[d + 1]
+            yield int(first[d + 1] - first[d]), place[row[x:z], column[x:z]], sentence[x:z] - first[d]
+
+
+def fit_noisy_or(texts: Sequence[str], y: np.ndarray, least_docs: int = 5, least_z: float = 4.0, **options) -> NoisyOr:
+    """``fit_occurrences`` of texts with labels.
+
+    Features are those that occur in ``least_docs`` documents of the sample and, by ``least_z`` standard
+    deviations, more often in those labelled 1 than chance has it.
+    """
+    if len(np.unique(y)) < 2:
+        return NO_MODEL
+    feature, counts = feature_documents(texts, y)
+    docs_with, share = counts.sum(1), float(y.mean())
+    z = (counts[:, 1] - docs_with * share) / np.sqrt(np.maximum(docs_with, 1) * share * (1 - share))
+    kept = (docs_with >= least_docs) & (z >= least_z)
+    return fit_occurrences(feature[kept], docs_with[kept], list(occurrences_of(texts, feature[kept])), y, **options)
+
+
+def fit_occurrences(
+    used: np.ndarray,
+    seen: np.ndarray,
+    found: Sequence[tuple[int, np.ndarray, np.ndarray]],
+    y: np.ndarray,
+    rounds: int = 500,
+    l2: float = 0.5,
+    rate: float = 0.15,
 ) -> NoisyOr:
     """Scaled gradient steps on the log loss of the document labels.
 
-    Features are those that occur in ``least_docs`` documents of the sample and, by ``least_z`` standard
-    deviations, more often in those labelled 1 than chance has it. A weight's step is divided by
-    its documents plus ``l2``, so that rare and frequent features are learnt at the same pace.
+    ``seen`` has the documents that hold each feature of ``used``, ``found`` what ``occurrences_of`` gives of each document.
+    A weight's step is divided by its documents plus ``l2``, so that rare and frequent features are learnt at the same pace.
     """
     if len(np.unique(y)) < 2:
         return NO_MODEL
-    parts = [sentences_of(texts[a:b]) for a, b in slices(texts)]
-    starts = np.cumsum([0, *(p.n_docs for p in parts)])
-    both = np.zeros((2, 1 << BITS), dtype=np.int32)
-    for p, at in zip(parts, starts):
-        word_doc = np.repeat(p.doc, np.diff(np.append(p.first_word, len(p.feature))))
-        pairs = np.unique(p.feature.astype(np.int64) + (word_doc[:, None].astype(np.int64) << BITS))
-        label = y[at + (pairs >> BITS)]
-        for k in (0, 1):
-            both[k] += np.bincount(pairs[label == k] & ((1 << BITS) - 1), minlength=1 << BITS).astype(np.int32)
-    docs_with, share = both.sum(0), float(y.mean())
-    z = (both[1] - docs_with * share) / np.sqrt(np.maximum(docs_with, 1) * share * (1 - share))
-    used = np.flatnonzero((docs_with >= least_docs) & (z >= least_z))
-    place = np.full(1 << BITS, -1, dtype=np.int32)
-    place[used] = np.arange(len(used))
-    # Only the occurrences of features matter, and the number of sentences of each document.
-    feature, sentence, doc, base = [], [], [], 0
-    for p, at in zip(parts, starts):
-        word_sentence = np.repeat(np.arange(len(p.doc)), np.diff(np.append(p.first_word, len(p.feature))))
-        found = place[p.feature]
-        row, column = np.nonzero(found >= 0)
-        feature.append(found[row, column])
-        sentence.append(word_sentence[row] + base)
-        doc.append(p.doc + at)
-        base += len(p.doc)
-    feature, sentence, doc = map(np.concatenate, (feature, sentence, doc))
-    seen = docs_with[used]
+    # Sentences without a feature are alike, so each document has a number of them.
+    size = np.array([n for n, _, _ in found])
+    base = np.cumsum(size) - size
+    feature = np.concatenate([places for _, places, _ in found])
+    sentence, at = np.unique(np.concatenate([at + b for (_, _, at), b in zip(found, base)]), return_inverse=True)
+    doc = np.searchsorted(base, sentence, side="right") - 1
+    plain = size - np.bincount(doc, minlength=len(y))
     weight, bias, pace = np.zeros(len(used)), -4.0, np.zeros(len(used))
     for _ in range(rounds):
-        z = np.clip(bias + np.bincount(sentence, weight[feature], minlength=len(doc)), -30, 30)
-        log_clean = np.bincount(doc, -np.logaddexp(0, z), minlength=len(y))
+        low = np.clip(bias, -30, 30)
+        z = np.clip(bias + np.bincount(at, weight[feature], minlength=len(doc)), -30, 30)
+        log_clean = np.bincount(doc, -np.logaddexp(0, z), minlength=len(y)) - plain * np.logaddexp(0, low)
         odds = np.where(y == 1, -np.exp(log_clean) / np.maximum(-np.expm1(log_clean), 1e-9), 1.0)
-        chance = 1 / (1 + np.exp(-z))
+        chance, rest = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-low))
         dz = odds[doc] * chance
-        grad = np.bincount(feature, dz[sentence], minlength=len(used)) + l2 * weight
+        grad = np.bincount(feature, dz[at], minlength=len(used)) + l2 * weight
         pace = 0.7 * pace - rate * grad / (0.25 * seen + l2)
         weight += pace
-        bias -= rate * float(dz.sum()) / (float((chance * (1 - chance)).sum()) + l2)
+        slope = float(dz.sum()) + rest * float((plain * odds).sum())
+        bias -= rate * slope / (float((chance * (1 - chance)).sum()) + rest * (1 - rest) * float(plain.sum()) + l2)
     return NoisyOr(used, weight.astype(np.float32), bias)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rule: Column, per_class: int = 4_000, **options) -> NoisyOr:
-    """The model of a bounded sample of labelled documents for which ``train_rule`` holds."""
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, train_rule: Column, per_class: int = 4_000, least_docs: int = 5, least_z: float = 4.0, **options
+) -> NoisyOr:
+    """The model of a bounded sample of labelled documents for which ``train_rule`` holds.
+
+    Features are counted and looked up where the documents are; the task that fits gets their occurrences, no text.
+    """
     sample = labelled_sample(documents_of(docs), labels, "toxic", train_rule, per_class)
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        return NO_MODEL
+    share = sizes[1] / (sizes[0] + sizes[1])
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, y = texts_of(batch), column_of(batch, "label").to_numpy()
+            for a, b in slices(texts):
+                feature, counts = feature_documents(texts[a:b], y[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(feature.astype(np.int32)), *(pa.array(c) for c in counts.T)], ["at", "n0", "n1"])
+
+    counted = sample.mapInArrow(count, "at int, n0 long, n1 long").groupBy("at")
+    counted = counted.agg((F.sum("n0") + F.sum("n1")).alias("docs"), F.sum("n1").alias("n1"))
+    z = (F.col("n1") - F.col("docs") * F.lit(share)) / F.sqrt(F.col("docs") * F.lit(share) * F.lit(1 - share))
+    kept = counted.where((F.col("docs") >= least_docs) & (z >= least_z)).select("at", "docs").toPandas().sort_values("at")
+    used, seen = kept["at"].to_numpy(np.int64), kept["docs"].to_numpy(np.int64)
+
+    def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows += zip(column_of(batch, "doc_id").to_pylist(), texts_of(batch), column_of(batch, "label").to_pylist())
-        rows.sort(key=lambda r: (r[0], r[1]))
-        model = fit_noisy_or([r[1] for r in rows], np.array([r[2] for r in rows]), **options)
+            texts = texts_of(batch)
+            if not texts:
+                continue
+            size, places, at = zip(*occurrences_of(texts, used))
+            packed = [pa.array([x.astype("<i4").tobytes() for x in xs], pa.binary()) for xs in (places, at)]
+            order = pa.array([md5(t.encode("utf-8", "surrogatepass")).digest() for t in texts], pa.binary())
+            arrays = [column_of(batch, "doc_id"), order, column_of(batch, "label"), pa.array(size, pa.int32()), *packed]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "order", "label", "size", "places", "sentences"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))), key=lambda r: r[:2])
+        found = [(n, np.frombuffer(places, "<i4"), np.frombuffer(at, "<i4")) for _, _, _, n, places, at in rows]
+        model = fit_occurrences(used, seen, found, np.array([r[2] for r in rows]), **options)
         index = pa.array(np.append(model.at, -1), pa.int32())
         yield pa.RecordBatch.from_arrays([index, pa.array(np.append(model.value, model.bias), pa.float64())], ["at", "value"])
 
-    learnt = sample.repartition(1).mapInArrow(fit, "at int, value double").toPandas()
-    if learnt.empty:
-        return NO_MODEL
+    schema = "doc_id long, order binary, label int, size int, places binary, sentences binary"
+    learnt = sample.mapInArrow(occur, schema).repartition(1).mapInArrow(fit, "at int, value double").toPandas()
     inner = learnt[learnt["at"] >= 0]
     bias = float(learnt.loc[learnt["at"] < 0, "value"].iloc[0])
     return NoisyOr(inner["at"].to_numpy(), inner["value"].to_numpy(np.float32), bias)
