@@ -33,6 +33,15 @@ def test_ids_are_those_of_the_unaltered_tokenizer(name):
         assert np.frombuffer(got, coder.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_word_is_kept_once_in_the_caches():
+    """Twice over, the caches are full and made anew after half as many texts."""
+    coder = PieceEncoder(tokenizer("byte_bpe_50k.json"))
+    text = "The cat, élan's end. cat élan, l'été 12 cats end\nnow it's"
+    assert np.frombuffer(coder.ids([text])[0], coder.dtype).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert {"cat", "élan", "end"} <= coder.inner.keys()
+    assert not any(part.startswith(" ") for part in coder.parts)
+
+
 def test_elias_fano_round_trip_and_single_offsets():
     rng = np.random.default_rng(1)
     for values in ([], [0], [7], [0, 0, 0], [5, 5, 9], np.cumsum(rng.integers(0, 3000, 1000)), np.cumsum(rng.integers(0, 2, 700)), [0, 1 << 40]):

@@ -27,6 +27,7 @@ _LATIN_END = "\u0250"
 # The split of the byte-level tokenizers, and the characters that stand for bytes.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BLANK = chr(256 + 32)
 _BYTES = {b: b if b in _SHOWN else 256 + sum(x not in _SHOWN for x in range(b)) for b in range(256)}
 
 
@@ -73,7 +74,10 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _part(self, part: str) -> bytes:
-        mapped = part.encode().decode("latin-1").translate(_BYTES)
+        if part.isascii() and part.isprintable():
+            mapped = part.replace(" ", _BLANK)
+        else:
+            mapped = part.encode().decode("latin-1").translate(_BYTES)
         return array("I" if self.dtype.itemsize == 4 else "H", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def _inner(self, piece: str) -> bytes:
@@ -81,9 +85,12 @@ class PieceEncoder:
         if not piece.isascii() and max(piece) >= _LATIN_END:
             return self._whole(" " + piece if self.kind == "byte" else piece)
         if self.kind == "byte":
-            text = " " + piece
-        else:
-            text = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
+            if piece.isalpha():
+                return self._part(" " + piece)
+            # Letters before a mark are mostly a piece elsewhere, so each part is kept once.
+            head, *rest = self.split(" " + piece)
+            return b"".join([self.inner[head[1:]], *map(self.parts.__getitem__, rest)]) if rest else self._part(head)
+        text = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
         return b"".join(map(self.parts.__getitem__, self.split(text)))
 
     def ids(self, texts: Sequence[str]) -> list[bytes]:
