@@ -1,4 +1,5 @@
-from datetime import datetime
+from collections import Counter
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -23,6 +24,36 @@ def test_gap_and_duplicate_are_found(spark, make_panel):
     assert (match.only_left, match.only_right, match.matches) == (1, 1, False)
 
 
+def test_key_comparison_of_any_rows(spark):
+    rng = np.random.default_rng(3)
+    start = datetime(1969, 12, 1)
+
+    def rows(seed):
+        out = [("r", start + timedelta(hours=int(h))) for h in range(400) if h % (97 + seed)]
+        out += [("odd", start + timedelta(seconds=int(s))) for s in rng.integers(0, 300, 200)]
+        out += [(None, start + timedelta(days=d)) for d in range(70 + seed)] + [("r", None)] * (2 + seed) + [("late", start)] * seed
+        return [out[i] for i in rng.permutation(len(out))] if seed == 1 else out
+
+    a, b = rows(0), rows(1)
+    left, right = (spark.createDataFrame(x, "series_id string, ts timestamp_ntz").repartition(n) for x, n in ((a, 1), (b, 3)))
+    have, want = Counter(a), Counter(b)
+    want = (sum((have - want).values()), sum((want - have).values()))
+    for step in (None, 3600, 7200, 1):
+        match = quality.keys_match(left, right, step).first()
+        assert (match.only_left, match.only_right) == want
+        assert quality.keys_match(left, left.repartition(5), step).first().matches
+        assert quality.keys_match(left.where("false"), left.where("false"), step).first().matches
+
+
+def test_regular_keys_travel_as_bits(spark, monkeypatch):
+    keys = spark.range(100_000).selectExpr("id div 25000 AS series_id", "timestamp_ntz'2020-01-01' + make_dt_interval(cast(id % 25000 as int)) AS ts")
+    kept = []
+    monkeypatch.setattr(quality, "materialize", lambda df, label, write=quality.materialize: kept.append(write(df, label)) or kept[-1])
+    match = quality.keys_match(keys, keys.where("ts <> timestamp_ntz'2021-01-01'"), 86400).first()
+    assert (match.only_left, match.only_right) == (4, 0)
+    assert len(kept) == 1 and kept[0].count() < 100_000 / 60
+
+
 def test_steps_across_months(make_panel):
     rows = quality.step_histogram(make_panel({"a": [1.0] * 90})).collect()
     assert [(r["step_seconds"], r["n"]) for r in rows] == [(86400, 89)]
