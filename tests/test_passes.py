@@ -134,3 +134,16 @@ def test_lookups_join_requested_rows_only(spark, monkeypatch):
     monkeypatch.setattr(panels, "hourly_features", watched)
     rows = catalog().queries["lookup_features"](spark, SF).collect()
     assert len(rows) == 1000 and 0 < made[0].value <= 1000
+
+
+@needs_tables
+def test_alpha_cv_writes_no_features(spark, monkeypatch):
+    """The folds come from the days of the panel; the features go to the moments at once, and are made once."""
+    times = panels.daily_times(spark, SF)
+    assert times.exceptAll(panels.daily_panel(spark, SF).select("ts").distinct()).isEmpty()
+    assert times.count() == panels.daily_panel(spark, SF).select("ts").distinct().count()
+    made, written = [], []
+    count_features(monkeypatch, made)
+    monkeypatch.setattr(model_queries, "materialize", lambda df, label: written.append(label) or df)
+    assert catalog().queries["alpha_cv"](spark, SF).count() == 3
+    assert not written and [seen.value for seen in made] == [panels.daily_panel(spark, SF).count()]
