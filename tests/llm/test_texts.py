@@ -158,3 +158,37 @@ def test_the_backoff_query_backs_off(spark, docs, tmp_path):
     scores = {n: {r.doc_id: r.log_score for r in backoff_scores(docs, least_count=n, order=3).collect()} for n in (1, 2)}
     assert got == {k: None if v is None else pytest.approx(v, abs=1e-3) for k, v in scores[2].items()}
     assert sum(v is not None and abs(v - scores[1][k]) > 0.1 for k, v in got.items()) > 20
+
+
+def shuffled_bytes(frame):
+    """Bytes that the exchanges of a collected frame have written."""
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "ReusedExchangeExec":
+            return 0
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        own = plan.metrics().apply("shuffleBytesWritten").value() if name == "ShuffleExchangeExec" else 0
+        children = plan.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(frame._jdf.queryExecution().executedPlan())
+
+
+def test_backoff_shuffles_little_more_than_the_hashes(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(60_000)]
+    rows = [(i, " ".join(rng.choices(words, k=400))) for i in range(500)]
+    scores = backoff_scores(spark.createDataFrame(rows, "doc_id long, text string"), order=3)
+    assert len(scores.collect()) == 500
+    # 200,000 words that are mostly different: some 600,000 n-grams of less than 6 bytes, the texts and the answers once.
+    assert 0 < shuffled_bytes(scores) < 6 * 2.9 * 200_000 + 3_200_000 / 2 + 200_000
+
+
+def test_backoff_without_words(spark):
+    rows = [(1, ""), (2, None), (3, "!!! ?"), (None, " ")]
+    got = backoff_scores(spark.createDataFrame(rows, "doc_id long, text string"), order=3).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.log_score, r.mean_log_score) for r in got) == [(i, 0, None, None) for i in range(4)]

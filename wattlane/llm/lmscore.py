@@ -5,16 +5,17 @@ if the n-gram is seen at least ``least_count`` times in all documents, else ``ba
 after one word fewer, down to c(w) / N. Words at a document's start are scored after what there is.
 Counts are exact and cover all documents.
 
-The count tables are partitioned by hash and joined to the documents' own n-grams there:
-
-1. N-grams of all orders that are in at least 1 % of the documents are counted first. There can be 100 times a
-   mean document's worth of them at most, so they are known to all tasks, and no partition gets a hot n-gram.
-2. Every other n-gram of the highest order travels to the partition of its context, the words before its last (or, where
-   that is frequent, of the n-gram), which counts both and sums the log scores it finds for each document.
-   Rows are batched: an array for each slice of documents and partition, with every distinct word once.
-3. The counts of contexts are those of the n-grams of the next lower order; they go on to the partitions of that
-   order, where what has to back off and starts of documents look them up. So on down to words.
-4. The sums of a document's partitions are added up.
+The count table is partitioned by ranges of the n-grams' hashes; a slice of documents asks it once:
+
+1. A slice counts its distinct n-grams of all orders and sends each partition those of its range, in ascending order:
+   the steps between hashes and the counts, as planes of bytes. So an n-gram is sent once by a slice however often it
+   occurs, a partition gets a hot one from every slice at most once, and no word, place or document goes along.
+   The words of the slice's texts go to one of the partitions, its home.
+2. A partition adds up what the slices sent and answers each with the counts of all, in the order asked. The first one
+   gets a row from all slices and adds the number of all words.
+3. The answers go to the homes. What the homes got in the first step is read there once more, not shuffled again; the list
+   of n-grams is made anew from the texts, the answers are put beside it, and every word is scored: each order where it
+   is seen often enough, else the one below.
 
 Null or empty text or none but marks: 0 words and null scores. Null doc_id and repeated rows: one row each.
 Empty table: no rows. Extra columns: ignored.
@@ -22,22 +23,21 @@ Empty table: no rows. Extra columns: ignored.
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlane.llm.common import column_of, documents_of, slices, texts_of
-from wattlane.llm.words import Words, mix
-from wattlane.session import materialize
+from wattlane.llm.common import column_of, documents_of, texts_of
+from wattlane.llm.words import Words, is_word, mix
 
-BUCKETS = 1 << 18
-FREQUENT_SHARE = 0.01
 PART_WORDS = 1_500_000
-SLICE = 1 << 22
+WORD_CHARS = 6
+SLICE = 1 << 23
 END = np.uint64(0)
 _GRAM = np.uint64(0x9FB21C651E98DF25)
 
@@ -46,291 +46,153 @@ def pair_hash(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
     return mix(w1 * _GRAM + w2)
 
 
-class Frequent:
-    """Exact counts of the frequent n-grams, by hash."""
-
-    def __init__(self, gram: np.ndarray, count: np.ndarray) -> None:
-        order = np.argsort(gram)
-        self.gram, self.count = gram[order], count[order].astype(np.float64)
-
-    def find(self, gram: np.ndarray) -> np.ndarray:
-        """Count of each n-gram, 0 if it is not frequent."""
-        if not len(self.gram):
-            return np.zeros(len(gram))
-        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
-        return np.where(self.gram[at] == gram, self.count[at], 0.0)
-
-
-def _gram_of(words: np.ndarray) -> np.ndarray:
-    """Hash of the n-gram in each column of word hashes."""
-    out = mix(words[0])
-    for word in words[1:]:
-        out = pair_hash(out, word)
-    return out
-
-
-def _grams_at(words: Words, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The hash of each word, its place in its document, and the hashes of the n-grams of each order that end there."""
-    word = words.hash
-    place = np.arange(len(word)) - words.first[:-1][words.doc]
-    grams = [mix(word)]
-    for _ in range(order - 1):
-        grams.append(pair_hash(np.concatenate([[END], grams[-1]])[: len(word)], word))
-    return word, place, grams
-
-
-def _grams(words: Words, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of all n-grams of up to ``order`` words inside documents."""
-    _, place, grams = _grams_at(words, order)
-    kept = [np.flatnonzero(place >= k) for k in range(order)]
-    return np.concatenate([g[at] for g, at in zip(grams, kept)]), np.concatenate([words.doc[at] for at in kept])
-
-
-def frequent_grams(docs: DataFrame, order: int = 2) -> tuple[Frequent, int, int]:
-    """Counts of the frequent n-grams, the number of words and of documents with words."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n_words, n_docs = np.zeros(BUCKETS, dtype=np.int64), 0, 0
-        for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts, SLICE):
-                words = Words(texts[a:b])
-                gram, doc = _grams(words, order)
-                # A bucket counts a document once for each of its n-grams' occurrences at most.
-                cell = np.unique((gram >> np.uint64(46)).astype(np.int64) + doc * BUCKETS)
-                total += np.bincount(cell % BUCKETS, minlength=BUCKETS)
-                n_words += len(words.hash)
-                n_docs += int((np.diff(words.first) > 0).sum())
-        at = np.flatnonzero(total)
-        columns = [np.concatenate([at, [-1, -2]]), np.concatenate([total[at], [n_words, n_docs]])]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["bucket", "n"])
-
-    sums = materialize(
-        docs.select("text").mapInArrow(spread, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "gram-buckets"
-    )
-    sizes = {r["bucket"]: r["n"] for r in sums.where("bucket < 0").collect()}
-    n_words, n_docs = int(sizes.get(-1, 0)), int(sizes.get(-2, 0))
-    least = max(2.0, FREQUENT_SHARE * n_docs)
-    full = np.zeros(BUCKETS, dtype=bool)
-    full[[r["bucket"] for r in sums.where((F.col("bucket") >= 0) & (F.col("n") >= least)).collect()]] = True
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts, SLICE):
-                gram, doc = _grams(Words(texts[a:b]), order)
-                kept = full[(gram >> np.uint64(46)).astype(np.int64)]
-                gram, doc = gram[kept], doc[kept]
-                sorted_at = np.lexsort((doc, gram))
-                gram, doc = gram[sorted_at], doc[sorted_at]
-                new = np.diff(gram, prepend=gram[:1] + np.uint64(1)) != 0
-                fresh = new | (np.diff(doc, prepend=-1) != 0)
-                at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(gram)))
-                in_docs = np.add.reduceat(fresh, at, dtype=np.int64) if len(at) else times
-                columns = [pa.array(gram[at].view(np.int64)), pa.array(times, pa.int64()), pa.array(in_docs, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["gram", "n", "docs"])
-
-    found = docs.select("text").mapInArrow(count, "gram long, n long, docs long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    rows = found.where(F.col("docs") >= least).select("gram", "n").toPandas()
-    return Frequent(rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy()), n_words, n_docs
-
-
-BATCHED = "part int, slice long, kind int, docs binary, first binary, second binary"
-# Kinds of batches: sums of documents, n-grams of k words to score (k), counts of n-grams of k words (COUNTS + k).
-SUMS, COUNTS = 0, 100
-
-
-def _small(x: np.ndarray) -> bytes:
-    """Non-negative numbers in 16 bits where they fit, else in 32; the first byte tells."""
-    kind = "<u2" if not len(x) or x.max() < 1 << 16 else "<u4"
-    return bytes([int(kind[2])]) + x.astype(kind).tobytes()
-
-
-def _from_small(raw: memoryview | bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
-
-
-def _coded(columns: np.ndarray) -> bytes:
-    """N-grams (columns of word hashes) as numbers into the list of their distinct words, which comes first."""
-    words, code = np.unique(columns, return_inverse=True)
-    return struct.pack("<II", len(words), columns.shape[1]) + words.astype("<u8").tobytes() + _small(code.ravel())
-
-
-def _from_coded(raw: memoryview | bytes, m: int) -> np.ndarray:
-    n_words, n = struct.unpack_from("<II", raw)
-    words = np.frombuffer(raw, "<u8", n_words, 8)
-    return words[_from_small(raw[8 + 8 * n_words :])].reshape(m, n)
-
-
-def _runs(names: np.ndarray) -> bytes:
-    """Which slices the documents of a batch are of, in runs."""
-    at = np.flatnonzero(np.diff(names, prepend=-1))
-    return names[at].astype("<i8").tobytes() + np.diff(np.append(at, len(names))).astype("<u4").tobytes()
-
-
-def _run_names(raw: bytes) -> np.ndarray:
-    n = len(raw) // 12
-    return np.repeat(np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<u4", n, 8 * n))
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * 6
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["part", "slice", "kind", "docs", "first", "second"]
-    )
-
-
-def _by_part(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(part, kind="stable")
-    cut = np.searchsorted(part[order], np.arange(parts + 1))
-    for k in range(parts):
-        if cut[k] < cut[k + 1]:
-            yield k, order[cut[k] : cut[k + 1]]
+def _grams_of(words: Words, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the words that an n-gram inside their document ends at, and the hashes of these n-grams."""
+    place = np.arange(len(words.hash)) - words.first[:-1][words.doc]
+    gram = mix(words.hash)
+    for k in range(order):
+        if k:
+            gram = pair_hash(np.concatenate([[END], gram])[: len(gram)], words.hash)
+        at = np.flatnonzero(place >= k)
+        yield at, gram[at]
+
+
+def _numbered(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams in ascending order, and the number of each of ``gram`` among them."""
+    order = np.argsort(gram, kind="stable")
+    ascending = gram[order]
+    new = np.diff(ascending, prepend=~ascending[:1]) != 0
+    number = np.empty(len(gram), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ascending[new], number
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Non-negative numbers as planes of their bytes, lowest first and as many as the largest needs, compressed."""
+    width = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(cell: pa.Scalar) -> np.ndarray:
+    raw = cell.as_py()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _texts_cell(ids: list[int | None], words: Words) -> bytes:
+    """The keys and, as one text for each, the words with a space after each."""
+    inside = is_word(words.bytes)
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]
+    data = np.where(inside, words.bytes, np.uint8(32))[keep]
+    offsets = np.concatenate([[0], np.cumsum(keep)])[words.text_start].astype("<i8")
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), texts], ["doc_id", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Keys and texts of bounded total length (a longer document is a slice of its own), across batches."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for i, text in zip(column_of(batch, "doc_id").to_pylist(), texts_of(batch)):
+            if texts and size + len(text) > SLICE:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(text)
+            size += len(text) + 8
+    if texts:
+        yield ids, texts
+
+
+ASKED = "part int, home int, slice long, words long, grams binary, counts binary, texts binary"
+ANSWERED = "home int, slice long, part int, words long, counts binary"
+SCORED = {"doc_id": pa.int64(), "n_words": pa.int64(), "log_score": pa.float64(), "mean_log_score": pa.float64()}
 
 
 def backoff_scores(documents: DataFrame, backoff: float = 0.4, least_count: int = 2, order: int = 2) -> DataFrame:
     """doc_id, n_words, log_score (sum of natural logs) and mean_log_score of every document."""
     docs = documents_of(documents)
-    frequent, n_words, _ = frequent_grams(docs, order)
-    parts = max(1, -(-n_words // PART_WORDS))
-    log_n, log_backoff = np.log(max(n_words, 1)), np.log(backoff)
-
-    def known_scores(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each n-gram (a column of words) is frequent enough to be scored at once, its score, else where it goes."""
-        gram = _gram_of(words)
-        n = frequent.find(gram)
-        if len(words) == 1:
-            return n > 0, np.log(np.maximum(n, 1)) - log_n, gram
-        context = _gram_of(words[:-1])
-        context_n = frequent.find(context)
-        return n >= least_count, np.log(np.maximum(n, 1)) - np.log(np.maximum(context_n, 1)), np.where(context_n > 0, gram, context)
-
-    def deal(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        return _by_part((mix(key ^ np.uint64(77)) % np.uint64(parts)).astype(np.int64), parts)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(1, -(-chars // (WORD_CHARS * PART_WORDS)))
+    bounds = np.array([(k << 64) // parts for k in range(1, parts)], dtype=np.uint64)
+    least, log_backoff = max(least_count, 1), np.log(backoff)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            texts, ids = texts_of(batch), column_of(batch, "doc_id")
-            for a, b in slices(texts, SLICE):
-                words = Words(texts[a:b])
-                word, place, grams = _grams_at(words, order)
-                doc, count = words.doc, np.diff(words.first)
-                total, rows = np.zeros(b - a), []
-                for m in range(1, order + 1):
-                    at = np.flatnonzero(place >= m - 1 if m == order else place == m - 1)
-                    columns = np.array([word[at - m + 1 + j] for j in range(m)])
-                    known, value, key = known_scores(columns)
-                    by = doc[at]
-                    total += np.bincount(by[known], value[known], minlength=b - a)
-                    columns, by, key = columns[:, ~known], by[~known], key[~known]
-                    if m > 1:
-                        # A context at a document's end counts too, without a word after it.
-                        by_end = np.flatnonzero(count >= m - 1)
-                        last = words.first[1:][by_end] - 1
-                        context = grams[m - 2][last]
-                        light = frequent.find(context) == 0
-                        by_end, last, context = by_end[light], last[light], context[light]
-                        ends = np.array([*(word[last - m + 2 + j] for j in range(m - 1)), np.full(len(last), END)])
-                        columns, by, key = np.concatenate([columns, ends], axis=1), np.append(by, by_end), np.append(key, context)
-                    for k, sel in deal(key):
-                        sel = sel[np.argsort(columns[0, sel], kind="stable")]
-                        rows.append((k, number, m, _small(by[sel]), _coded(columns[:, sel]), b""))
-                keys = np.array([-1 if i is None else i for i in ids.slice(a, b - a).to_pylist()], dtype="<i8").tobytes()
-                null = np.array([i is None for i in ids.slice(a, b - a).to_pylist()], dtype=np.uint8).tobytes()
-                rows.append((number % parts, number, SUMS, keys, total.astype("<f8").tobytes(), count.astype("<u4").tobytes() + null))
-                number += 1
-                yield _batch(rows)
-
-    def level(m: int):
-        def score(key, table):
-            part, rows = key[0].as_py(), []
-            none = np.zeros((m, 0), np.uint64)
-            asked, doc, names, given, times = [none], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [none], [np.zeros(0)]
-            kinds = table.column("kind").to_numpy()
-            cells = [table.column(k) for k in ("docs", "first", "second")]
-            for i, (name, kind) in enumerate(zip(table.column("slice").to_pylist(), kinds.tolist())):
-                if kind not in (m, COUNTS + m):
-                    rows.append((part, name, kind, *(c[i].as_py() for c in cells)))
-                    continue
-                # Views of the buffers that Arrow holds, not copies.
-                docs_of, first, second = (memoryview(c[i].as_buffer()) for c in cells)
-                if kind == m:
-                    doc.append(_from_small(docs_of).astype(np.int32))
-                    asked.append(_from_coded(first, m))
-                    names.append(_run_names(second) if len(second) else np.full(len(doc[-1]), name))
-                else:
-                    given.append(_from_coded(first, m))
-                    times.append(np.frombuffer(second, "<f8"))
-            doc, name, asked = np.concatenate(doc).astype(np.int64), np.concatenate(names), np.concatenate(asked, axis=1)
-            n_asked = len(doc)
-            every = np.concatenate([asked, *given], axis=1) if given else asked
-            del names
-            counts = np.ones(n_asked) if m == order else ((asked[-1] == END) & (m > 1)).astype(float)
-            counts = np.concatenate([counts, *times])
-            del given, times
-            _, at = np.unique(_gram_of(every), return_inverse=True)
-            gram_n = np.bincount(at, counts)[at[:n_asked]] if len(at) else np.zeros(0)
-            inner = np.ones(n_asked, dtype=bool) if m == 1 else asked[-1] != END
-            if m == 1:
-                value = np.log(gram_n) - log_n
+        task = TaskContext.get().partitionId()
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["part", "home", "slice", "words", "grams", "counts", "texts"]
+        for i, (ids, texts) in enumerate(_slices(batches)):
+            words = Words(texts)
+            home, name, n_words = (task + i) % parts, task << 32 | i, len(words.hash)
+            ascending = np.sort(np.concatenate([gram for _, gram in _grams_of(words, order)]))
+            at = np.flatnonzero(np.diff(ascending, prepend=~ascending[:1]) != 0)
+            gram, n = ascending[at], np.diff(np.append(at, len(ascending)))
+            del ascending, at
+            cut, rows = [0, *np.searchsorted(gram, bounds).tolist(), len(gram)], []
+            for part, (x, y) in enumerate(zip(cut, cut[1:])):
+                if x < y or part in (0, home):
+                    steps = np.diff(gram[x:y], prepend=np.uint64(0))
+                    rows.append((part, home, name, n_words, _packed(steps), _packed(n[x:y]), _texts_cell(ids, words) if part == home else None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    def answer(key, table):
+        gram = [np.cumsum(_unpacked(cell), dtype=np.uint64) for cell in table.column("grams")]
+        cut = np.cumsum([len(g) for g in gram])[:-1]
+        distinct, number = _numbered(np.concatenate(gram))
+        del gram
+        n = np.concatenate([_unpacked(cell) for cell in table.column("counts")])
+        total = np.bincount(number, n, minlength=len(distinct)).astype(np.uint64)
+        counts = pa.array([_packed(x) for x in np.split(total[number], cut)], pa.binary())
+        n_words = pa.array([sum(table.column("words").to_pylist())] * len(table), pa.int64())
+        return table.select(["home", "slice", "part"]).append_column("words", n_words).append_column("counts", counts)
+
+    def scores(given: pa.Table, answers: pa.Table) -> pa.Table:
+        log_n = np.log(max(answers.column("words")[0].as_py(), 1))
+        total = np.concatenate([_unpacked(cell) for cell in answers.column("counts")]).astype(np.int64)
+        words = Words([raw.decode("utf-8", "surrogatepass") for raw in given.column("text").to_pylist()])
+        lists = [(at, *_numbered(gram)) for at, gram in _grams_of(words, order)]
+        every = np.unique(np.concatenate([distinct for _, distinct, _ in lists]))
+        value, before = np.zeros(len(words.hash)), None
+        for at, distinct, number in lists:
+            n = np.zeros(len(value), dtype=np.int64)
+            n[at] = total[np.searchsorted(every, distinct)][number]
+            if before is None:
+                value = np.log(n) - log_n
             else:
-                word, first, at = np.unique(_gram_of(every[:-1]), return_index=True, return_inverse=True)
-                known = frequent.find(word)
-                word_n = np.where(known > 0, known, np.bincount(at, counts, minlength=len(word)))
-                hit = inner & (gram_n >= least_count)
-                value = np.zeros(n_asked)
-                value[hit] = np.log(gram_n[hit]) - np.log(word_n[at[:n_asked]][hit])
-                # An n-gram backs off to its last m - 1 words: at once if these are frequent, else in their partition.
-                miss = np.flatnonzero(inner & ~hit)
-                lower = asked[1:, miss]
-                quick, found, to = known_scores(lower)
-                value[miss] = log_backoff + np.where(quick, found, 0.0)
-                miss, lower, to = miss[~quick], lower[:, ~quick], to[~quick]
-                for k, sel in deal(to):
-                    rows.append((k, -1, m - 1, _small(doc[miss[sel]]), _coded(lower[:, sel]), _runs(name[miss[sel]])))
-                light = np.flatnonzero(known == 0)
-                contexts, times = every[:-1, first[light]], word_n[light]
-                for k, sel in deal(known_scores(contexts)[2]):
-                    rows.append((k, -1, COUNTS + m - 1, b"", _coded(contexts[:, sel]), times[sel].astype("<f8").tobytes()))
-            order_of = np.lexsort((doc[inner], name[inner]))
-            doc, name, value = doc[inner][order_of], name[inner][order_of], value[inner][order_of]
-            new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(name, prepend=-1) != 0))
-            if len(new):
-                sums, doc, name = np.add.reduceat(value, new), doc[new], name[new]
-                edge = np.flatnonzero(np.diff(name, prepend=-1))
-                for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(name)]):
-                    rows.append((int(name[x]) % parts, int(name[x]), SUMS, _small(doc[x:y]), sums[x:y].astype("<f8").tobytes(), b""))
-            return pa.Table.from_batches([_batch(rows)])
-
-        return score
-
-    sums = docs.mapInArrow(send, BATCHED)
-    for m in range(order, 0, -1):
-        sums = sums.groupBy("part").applyInArrow(level(m), BATCHED)
-
-    def add_up(key, table):
-        lists = {k: table.column(k).to_pylist() for k in ("docs", "first", "second")}
-        head = next(i for i, d in enumerate(lists["second"]) if d)
-        ids, total = np.frombuffer(lists["docs"][head], "<i8"), np.frombuffer(lists["first"][head], "<f8").copy()
-        n_docs = len(ids)
-        count = np.frombuffer(lists["second"][head], "<u4", n_docs).astype(np.int64)
-        null = np.frombuffer(lists["second"][head], np.uint8, n_docs, 4 * n_docs).astype(bool)
-        for i, raw in enumerate(lists["first"]):
-            if i != head:
-                total[_from_small(lists["docs"][i])] += np.frombuffer(raw, "<f8")
+                # The n-gram of the words before is the one of the order below that ends a word earlier.
+                value[at] += log_backoff
+                at = at[n[at] >= least]
+                value[at] = np.log(n[at]) - np.log(before[at - 1])
+            before = n
+        count = np.diff(words.first)
+        sums = np.bincount(words.doc, value, minlength=len(count))
         empty = count == 0
-        return pa.table(
-            {
-                "doc_id": pa.array(ids, pa.int64(), mask=null),
-                "n_words": pa.array(count),
-                "log_score": pa.array(total, pa.float64(), mask=empty),
-                "mean_log_score": pa.array(total / np.maximum(count, 1), pa.float64(), mask=empty),
-            }
-        )
-
-    return sums.groupBy("slice").applyInArrow(add_up, "doc_id long, n_words long, log_score double, mean_log_score double")
+        columns = [given.column("doc_id"), pa.array(count, pa.int64())]
+        columns += [pa.array(x, pa.float64(), mask=empty) for x in (sums, sums / np.maximum(count, 1))]
+        return pa.table(columns, schema=pa.schema(SCORED))
+
+    def score(key, answers, asked):
+        done = [pa.schema(SCORED).empty_table()]
+        answers = answers.sort_by("part")
+        texts = asked.filter(asked.column("texts").is_valid())
+        for name, cell in zip(texts.column("slice"), texts.column("texts")):
+            own = answers.filter(pa.compute.equal(answers.column("slice"), name))
+            done.append(scores(pa.ipc.open_stream(cell.as_buffer()).read_all(), own))
+        return pa.concat_tables(done)
+
+    asked = docs.mapInArrow(ask, ASKED)
+    answers = asked.groupBy("part").applyInArrow(answer, ANSWERED)
+    # Both uses of ``asked`` are the same exchange by part, so it is made and written once.
+    return answers.groupBy("home").cogroup(asked.groupBy("part")).applyInArrow(
+        score, "doc_id long, n_words long, log_score double, mean_log_score double"
+    )

@@ -47,6 +47,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(size)
 
 
+def is_word(flat: np.ndarray) -> np.ndarray:
+    """Which bytes are of words."""
+    return _IS_WORD[flat]
+
+
 def word_starts(flat: np.ndarray) -> np.ndarray:
     """Where words start in an array of bytes."""
     return np.flatnonzero(np.diff(_IS_WORD[flat].view(np.int8), prepend=0) == 1)
