@@ -100,3 +100,18 @@ def test_part_of_a_panel_equals_the_cut_of_the_whole(spark, make_panel):
             cut = cut.where(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
         got = panel.dense_panel(facts, 86400, start, end)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, cut.collect()))
+
+
+@pytest.mark.parametrize("name", ["join_features_target", "rejoin_target"])
+def test_rows_of_one_panel_are_joined_in_their_blocks(spark, name):
+    from __spark_entry__ import queries
+
+    joined = queries()[name](spark, SF)
+    joined.collect()
+    plan = physical(joined).partition("== Initial Plan")[0]
+    # The first exchange below the join is the one that the blocks unfold from: rows that are made are not dealt out again.
+    assert "SortMergeJoin" in plan
+    below = plan[plan.index("SortMergeJoin") :]
+    assert 0 < below.find("Generate explode") < below.index("Exchange")
+    queries()["series_stats"](spark, SF)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
