@@ -52,3 +52,15 @@ def test_forests_have_all_trees_and_levels(spark, rows, monkeypatch, name, count
     assert forest.getOrDefault("minInstancesPerNode") == leaf
     assert {p: r.n for p, r in found.items()} == {"train": 450, "validation": 225, "test": 225}
     assert found["train"].below_mean_model and all(r.within_targets for r in found.values())
+
+
+def test_boosting_is_asked_for_all_rounds(spark, rows, monkeypatch):
+    # 150 rounds take a minute on any rows, so the trainer notes what it is asked for and makes three.
+    asked, real = [], trees.GBTRegressor
+    monkeypatch.setattr(trees, "GBTRegressor", lambda **k: asked.append(k) or real(**{**k, "maxIter": 3}))
+    given, _, found = trained(spark, rows, monkeypatch, "fit_gbt", "fit_gbt")
+    (call,) = asked
+    assert (call["stepSize"], call["maxIter"], call["maxDepth"], call["maxBins"]) == (0.08, 150, 5, 256)
+    assert given["df"].count() == rows.where(F.col("part") == "train").count()
+    assert {p: r.n for p, r in found.items()} == {"train": 450, "validation": 225, "test": 225}
+    assert found["train"].below_mean_model
